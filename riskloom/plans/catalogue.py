@@ -1,0 +1,498 @@
+"""Query catalogue over the driver tables: one entry per operator group.
+
+Every query reads whole driver tables (or data Spark derived from them and
+wrote to the shared folder); each returns a lazy DataFrame. Queries that need
+an intermediate file (CSV round trips, store appends, saved models, stream
+input) write it below the session's shared checkpoint folder first.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from riskloom.functions import (
+    accuracy_percent,
+    round_half_even,
+    verdict_code,
+    verdict_colour,
+    verdict_message,
+)
+from riskloom.operators.evaluate import accuracy, accuracy_report, confusion
+from riskloom.operators.model import load_model, save_model
+from riskloom.operators.prepare import (
+    assemble,
+    cast_project,
+    hash_split_flag,
+    random_split,
+    view_filter,
+)
+from riskloom.operators.score import parse_requests, rounded_pairs, score_requests, score_typed
+from riskloom.plans import fixture as fx
+from riskloom.plans.jobs import ingest, train
+from riskloom.session import shared_path, table_path
+from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv
+from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
+from riskloom.sources.table import read_table, request_frame
+from riskloom.specs import DIABETES, HEART, TreeParams
+from riskloom.streaming import run_scoring_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def _write_csv(df: DataFrame, path: str, header: bool = True) -> None:
+    df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
+
+
+# --------------------------------------------------------------------- sources
+
+
+def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1/S-2: orders written as CSV, read back under an explicit schema."""
+    orders = _table(spark, sf_dir, "orders")
+    path = shared_path(spark, "orders-csv")
+    _write_csv(orders, path)
+    return read_csv_typed(spark, path, orders.schema)
+
+
+def scan_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1 PERMISSIVE: text in a double column becomes NULL and is flagged."""
+    cust = _table(spark, sf_dir, "customer")
+    bad = (F.col("c_custkey") % 10) == 0
+    dirty = cust.select(
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        F.when(bad, F.lit("x")).otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+        "c_mktsegment",
+    )
+    path = shared_path(spark, "customer-dirty-csv")
+    _write_csv(dirty, path)
+    df = read_csv_typed(spark, path, cust.schema, corrupt_column="_corrupt")
+    return df.select(*cust.columns, F.col("_corrupt").isNotNull().alias("is_malformed"))
+
+
+def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-7: inferred CSV types, then cast to the table's schema."""
+    cust = _table(spark, sf_dir, "customer")
+    path = shared_path(spark, "customer-csv")
+    _write_csv(cust, path)
+    return cast_to(read_csv_inferred(spark, path), cust.schema)
+
+
+def scan_text_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-8: header-less CSV lines read as text and parsed with from_csv."""
+    cust = _table(spark, sf_dir, "customer")
+    path = shared_path(spark, "customer-lines")
+    _write_csv(cust, path, header=False)
+    return read_text_csv(spark, path, cust.schema)
+
+
+def table_append_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-1/S-3/M-5: append twice to an empty store; the read sees both."""
+    cust = _table(spark, sf_dir, "customer")
+    store = shared_path(spark, "store-customer")
+    append_table(cust, store)
+    append_table(cust, store)
+    return cast_project(read_table(spark, store), cust.schema)
+
+
+# --------------------------------------------------------- projection, filter
+
+
+def cast_project_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-1: price to int (truncation) and back, key to double and back."""
+    orders = _table(spark, sf_dir, "orders")
+    return orders.select(
+        F.col("o_orderkey").cast("double").cast("bigint").alias("o_orderkey"),
+        F.col("o_totalprice").cast("int").alias("price_int"),
+        F.col("o_totalprice").cast("int").cast("double").alias("price_back"),
+    )
+
+
+def sql_view_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-5/P-6: temp view + SELECT * ... WHERE (pushed to the scan)."""
+    return view_filter(spark, _table(spark, sf_dir, "customer"), "riskloom_customer", "c_acctbal < 20")
+
+
+# -------------------------------------------------------- features, splitting
+
+
+def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-1/P-2: assemble, then sum each vector position with a vector aggregate."""
+    li = _table(spark, sf_dir, "lineitem")
+    vec = assemble(li, fx.FEATURES, keep=[])
+    sums = vec.agg(Summarizer.sum(F.col("features")).alias("s"))
+    names = F.array(*[F.lit(n) for n in fx.FEATURES])
+    exploded = sums.select(F.posexplode(vector_to_array("s")).alias("pos", "total"))
+    return exploded.select(
+        "pos", F.element_at(names, F.col("pos") + 1).alias("feature"), F.round("total", 4).alias("total")
+    )
+
+
+def assemble_skip_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-1 handleInvalid=skip: rows with a NULL feature are dropped."""
+    orders = _table(spark, sf_dir, "orders")
+    holed = orders.select(
+        "o_orderkey",
+        "o_custkey",
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("o_totalprice"))
+        .alias("o_totalprice"),
+    )
+    return assemble(holed, ["o_totalprice", "o_custkey"], handle_invalid="skip", keep=["o_orderkey"]).select(
+        "o_orderkey"
+    )
+
+
+def random_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-2: a seeded 80/20 split is disjoint and complete.
+
+    One shuffle on the key: source, train and test rows are tagged and
+    counted per key, then reduced to one row of invariants.
+    """
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    tr, te = random_split(orders, [0.8, 0.2], seed=42)
+    tagged = (
+        orders.select("o_orderkey", F.lit(1).alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))
+        .unionByName(tr.select("o_orderkey", F.lit(0).alias("s"), F.lit(1).alias("a"), F.lit(0).alias("b")))
+        .unionByName(te.select("o_orderkey", F.lit(0).alias("s"), F.lit(0).alias("a"), F.lit(1).alias("b")))
+    )
+    per_key = tagged.groupBy("o_orderkey").agg(F.sum("s").alias("s"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    inv = per_key.agg(
+        F.sum("s").cast("long").alias("total"),
+        F.sum(F.col("a") + F.col("b")).cast("long").alias("n_split"),
+        F.count(F.when((F.col("a") > 0) & (F.col("b") > 0), 1)).alias("overlap"),
+        F.count(F.when((F.col("s") > 0) & (F.col("a") + F.col("b") == 0), 1)).alias("missing"),
+        F.sum("a").cast("double").alias("n_train"),
+    )
+    share = F.col("n_train") / F.col("total")
+    # within 4 standard deviations of the requested 0.8
+    tol = F.lit(4.0) * F.sqrt(F.lit(0.8 * 0.2) / F.col("total"))
+    return inv.select(
+        "total", "n_split", "overlap", "missing", (F.abs(share - F.lit(0.8)) <= tol).alias("share_ok")
+    )
+
+
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-3: reproducible split flag from md5 of the key."""
+    orders = _table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", hash_split_flag("o_orderkey", 0.8).alias("is_train"))
+
+
+# --------------------------------------------------------------------- trees
+
+
+def _test_confusion(scored: DataFrame) -> DataFrame:
+    pairs = rounded_pairs(scored, fx.LABEL)
+    return confusion(pairs, "label")
+
+
+def dt_classifier_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 depth 0: every row gets the training majority class."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.MAJORITY)
+    return _test_confusion(fx.scored_test(spark, sf_dir, model))
+
+
+def dt_classifier_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1/T-3 depth 1 (gini): test-set confusion counts."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    return _test_confusion(fx.scored_test(spark, sf_dir, model))
+
+
+def dt_classifier_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 depth 5 on a separable label: every test prediction is right."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.DEEP, label_kind="separable")
+    scored = fx.scored_test(spark, sf_dir, model, label_kind="separable")
+    return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+def _regressor_output(scored: DataFrame) -> DataFrame:
+    return scored.groupBy(
+        F.round("prediction", 6).alias("prediction"), F.col(fx.LABEL).alias("label")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def dt_regressor_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 depth 0: the prediction is the training label mean."""
+    model = fx.fitted(spark, sf_dir, "regressor", fx.MAJORITY)
+    return _regressor_output(fx.scored_test(spark, sf_dir, model))
+
+
+def dt_regressor_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 depth 1 (variance): raw, unrounded leaf means on the test set."""
+    model = fx.fitted(spark, sf_dir, "regressor", fx.STUMP)
+    return _regressor_output(fx.scored_test(spark, sf_dir, model))
+
+
+def predict_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-3: class probabilities of the stump's leaves."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    scored = fx.scored_test(spark, sf_dir, model)
+    prob = vector_to_array("probability")
+    return scored.groupBy(
+        round_half_even("prediction").alias("prediction"),
+        F.round(prob[0], 6).alias("p0"),
+        F.round(prob[1], 6).alias("p1"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _roundtrip(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    model = fx.fitted(spark, sf_dir, kind, fx.STUMP)
+    path = shared_path(spark, f"model-{kind}")
+    save_model(model, path)  # first save: path is new
+    save_model(model, path, overwrite=True)  # second save replaces it
+    loaded = load_model(spark, path)  # class read from the metadata
+    scored = fx.scored_test(spark, sf_dir, loaded)
+    return _test_confusion(scored) if kind == "classifier" else _regressor_output(scored)
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-3/K-4/S-5: save, overwrite, load, predict (classifier)."""
+    return _roundtrip(spark, sf_dir, "classifier")
+
+
+def model_roundtrip_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-6: the same for a regression tree."""
+    return _roundtrip(spark, sf_dir, "regressor")
+
+
+# ------------------------------------------------------- rounding and pairing
+
+
+def round_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-2: half-to-even rounding (0.5 -> 0, 1.5 -> 2, 2.5 -> 2)."""
+    li = _table(spark, sf_dir, "lineitem")
+    half = (F.col("l_quantity") / 2).alias("half")
+    return li.select("l_orderkey", "l_linenumber", half).select(
+        "l_orderkey", "l_linenumber", "half", round_half_even("half").alias("prediction")
+    )
+
+
+def _stump_pairs(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    return rounded_pairs(fx.scored_test(spark, sf_dir, model), fx.LABEL, keep=keep)
+
+
+def prediction_label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-1/R-3/P-3: one (prediction, label) row per test row."""
+    return _stump_pairs(spark, sf_dir)
+
+
+# ------------------------------------------------------------------- metrics
+
+
+def accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1: share of test rows predicted right."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    acc = accuracy(fx.scored_test(spark, sf_dir, model), fx.LABEL)
+    return acc.select(F.round("accuracy", 6).alias("accuracy"))
+
+
+def accuracy_percent_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-2: accuracy percent, rounded up."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    rep = accuracy_report(fx.scored_test(spark, sf_dir, model), fx.LABEL)
+    return rep.select(F.round("accuracy", 6).alias("accuracy"), "accuracy_percent")
+
+
+# ------------------------------------------------------------------- verdicts
+
+
+def _verdicts(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    pred = (F.col("l_linenumber") % 3).cast("int")
+    return li.select("l_orderkey", "l_linenumber", pred.alias("prediction")).select(
+        "l_orderkey",
+        "l_linenumber",
+        "prediction",
+        verdict_message("prediction", spec.verdict).alias("message"),
+        verdict_code("prediction", spec.verdict).alias("val"),
+        verdict_colour("prediction", spec.verdict).alias("colour"),
+    )
+
+
+def verdict_default_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-3/X-5: 0 -> negative, anything else (1 and 2) -> positive."""
+    return _verdicts(spark, sf_dir, DIABETES)
+
+
+def verdict_default_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-4/X-5: 1 -> positive, anything else (0 and 2) -> negative."""
+    return _verdicts(spark, sf_dir, HEART)
+
+
+# ------------------------------------------------------------------- scoring
+
+
+def order_requests(orders: DataFrame) -> DataFrame:
+    """Diabetes-shaped text requests derived from orders; some values are bad."""
+    k = F.col("o_orderkey")
+    s = lambda c: c.cast("string")
+    return orders.select(
+        "o_orderkey",
+        F.when(k % 11 == 0, F.lit("x"))
+        .when(k % 13 == 0, F.concat(s(k % 17), F.lit(".5")))
+        .otherwise(s(k % 17))
+        .alias("Pregnancies"),
+        F.when(k % 19 == 0, F.lit("abc")).otherwise(s(F.col("o_totalprice"))).alias("Glucose"),
+        s(F.col("o_custkey") % 120).alias("BloodPressure"),
+        F.when(k % 23 == 0, F.lit("")).otherwise(s(k % 99)).alias("SkinThickness"),
+        s(F.col("o_custkey") % 846).alias("Insulin"),
+        s((F.col("o_custkey") % 500) / 10.0).alias("BMI"),
+        s(F.col("o_totalprice") / 100000.0).alias("DiabetesPedigreeFunction"),
+        s(21 + k % 60).alias("Age"),
+    )
+
+
+def parse_requests_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-1/X-2 tolerant mode: bad text -> NULL, row flagged ``rejected``."""
+    reqs = order_requests(_table(spark, sf_dir, "orders"))
+    return parse_requests(reqs, DIABETES, strict=False, keep=["o_orderkey"])
+
+
+# Fixed literal requests for the one-record path (quantity, discount, tax).
+ONE_RECORDS = [(1, "5", "0.04", "0.02"), (2, "17", "0.1", "0.0"), (3, "18", "0.0", "0.08"), (4, "50", "0.07", "0.05")]
+
+
+def score_one_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4/P-4: single records (typed tuple + literal label 0) scored by a
+    model trained on the whole lineitem train split."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.DEEP, label_kind="separable")
+    spec = fx.LINEITEM_RISK
+    parts = []
+    for rid, q, d, t in ONE_RECORDS:
+        # the reference parses each form value in Python before building the frame
+        one = request_frame(spark, spec, [(float(q), float(d), float(t))])
+        parts.append(one.select(F.lit(rid).alias("request_id"), *one.columns))
+    frame = parts[0]
+    for p in parts[1:]:
+        frame = frame.unionByName(p)
+    return score_typed(model, frame, spec, keep=["request_id"])
+
+
+def lineitem_requests(li: DataFrame) -> DataFrame:
+    """Text requests (form-like strings) derived from every lineitem row."""
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        *[F.col(c).cast("string").alias(c) for c in fx.FEATURES],
+    )
+
+
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-1: a table of text requests scored in one lazy, map-only plan."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    reqs = lineitem_requests(_table(spark, sf_dir, "lineitem"))
+    return score_requests(model, reqs, fx.LINEITEM_RISK, strict=False, keep=["l_orderkey", "l_linenumber"])
+
+
+def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-2: the same scoring as a file stream (availableNow, checkpointed)."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
+    reqs = lineitem_requests(_table(spark, sf_dir, "lineitem"))
+    src = shared_path(spark, "requests")
+    # requests arrive as several files
+    reqs.repartition(4).write.mode("overwrite").parquet(src)
+    return run_scoring_stream(
+        spark,
+        fx.LINEITEM_RISK,
+        model,
+        src,
+        reqs.schema,
+        shared_path(spark, "scored-sink"),
+        shared_path(spark, "scored-ckpt"),
+        keep=["l_orderkey", "l_linenumber"],
+    )
+
+
+# --------------------------------------------------------------------- sinks
+
+
+PAIRS_SCHEMA = StructType([StructField("prediction", IntegerType()), StructField("label", IntegerType())])
+
+
+def predictions_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-2: pairs written as CSV (header, CRLF), read back typed."""
+    path = shared_path(spark, "predictions-csv")
+    write_predictions_csv(_stump_pairs(spark, sf_dir), path)
+    return read_csv_typed(spark, path, PAIRS_SCHEMA, lineSep="\r\n")
+
+
+def predictions_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-7: each pair as a JSON object, parsed back."""
+    js = predictions_json(_stump_pairs(spark, sf_dir)).select("json")
+    parsed = js.select("json", F.from_json("json", PAIRS_SCHEMA).alias("r"))
+    return parsed.select(F.col("r.prediction").alias("prediction"), F.col("r.label").alias("label"), "json")
+
+
+def display_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-5: header row + string cells of the test confusion counts."""
+    counts = confusion(_stump_pairs(spark, sf_dir), "label")
+    # at most classes^2 rows, so one ordered window over them is bounded
+    ordered = counts.withColumn("row_no", F.row_number().over(Window.orderBy("prediction", "label")))
+    return display_table(ordered, ["prediction", "label", "n"], "row_no")
+
+
+def train_eval_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3: ingest to the store -> read back -> split -> fit -> save ->
+    predict -> export predictions -> one row of test metrics."""
+    spec = fx.LINEITEM_RISK
+    src = fx.lineitem_risk(spark, sf_dir).select(fx.KEY, *spec.features, spec.label)
+    data = ingest(spark, spec, src, shared_path(spark, "store-lineitem-risk"), keep=[fx.KEY])
+    res = train(
+        spark,
+        spec,
+        data,
+        split_key=fx.KEY,
+        model_path=shared_path(spark, "model-train-eval"),
+        predictions_path=shared_path(spark, "predictions-train-eval"),
+        params=fx.STUMP,
+    )
+    return res.metrics
+
+
+QUERIES: dict[str, Query] = {
+    "train_eval_end_to_end": train_eval_end_to_end,
+    "scan_csv_typed": scan_csv_typed,
+    "scan_csv_malformed": scan_csv_malformed,
+    "scan_csv_infer": scan_csv_infer,
+    "scan_text_from_csv": scan_text_from_csv,
+    "table_append_readback": table_append_readback,
+    "cast_project": cast_project_query,
+    "sql_view_filter": sql_view_filter,
+    "assemble_features": assemble_features,
+    "assemble_skip_invalid": assemble_skip_invalid,
+    "random_split_invariants": random_split_invariants,
+    "hash_split": hash_split,
+    "dt_classifier_majority": dt_classifier_majority,
+    "dt_classifier_stump": dt_classifier_stump,
+    "dt_classifier_separable": dt_classifier_separable,
+    "dt_regressor_mean": dt_regressor_mean,
+    "dt_regressor_stump": dt_regressor_stump,
+    "predict_probability": predict_probability,
+    "model_roundtrip": model_roundtrip,
+    "model_roundtrip_regressor": model_roundtrip_regressor,
+    "round_predictions": round_predictions,
+    "prediction_label_pairs": prediction_label_pairs,
+    "accuracy": accuracy_query,
+    "accuracy_percent": accuracy_percent_query,
+    "verdict_default_positive": verdict_default_positive,
+    "verdict_default_negative": verdict_default_negative,
+    "parse_requests": parse_requests_query,
+    "score_one_record": score_one_record,
+    "score_batch": score_batch,
+    "score_stream": score_stream,
+    "predictions_csv_roundtrip": predictions_csv_roundtrip,
+    "predictions_json": predictions_json_query,
+    "display_table": display_table_query,
+}
