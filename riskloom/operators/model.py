@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.specs import TreeParams
 
@@ -47,6 +48,16 @@ def estimator(kind: str, label: str, params: TreeParams, features_col: str = "fe
     return est
 
 
+def with_class_count(df: DataFrame, label: str, num_classes: int) -> DataFrame:
+    """Declare the label's class count in column metadata (labels 0..k-1).
+
+    The classifier otherwise runs a separate pass over the data to find the
+    largest label. A label outside 0..k-1 still fails the fit.
+    """
+    meta = {"ml_attr": {"type": "nominal", "num_vals": int(num_classes), "name": label}}
+    return df.withColumn(label, F.col(label).cast("double").alias(label, metadata=meta))
+
+
 def fit_tree(
     df: DataFrame,
     kind: str,
@@ -54,14 +65,19 @@ def fit_tree(
     params: TreeParams = TreeParams(),
     features_col: str = "features",
     persist_input: bool = True,
+    num_classes: int | None = 2,
 ):
     """Fit a tree on ``(label, features)``.
 
     The learner scans its input several times (metadata, split sampling,
     binning); ``persist_input`` keeps the narrow assembled input
     (label + vector) on executors, spilling to disk, for the length of the fit.
+    ``num_classes`` (classifier only) declares the label domain up front;
+    ``None`` lets MLlib find it with an extra pass.
     """
     data = df.select(label, features_col)
+    if kind == "classifier" and num_classes is not None:
+        data = with_class_count(data, label, num_classes)
     cached = persist_input and not df.is_cached
     if cached:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)

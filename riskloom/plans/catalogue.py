@@ -38,7 +38,7 @@ from riskloom.plans.jobs import ingest, train
 from riskloom.session import shared_path, table_path
 from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
-from riskloom.sources.table import read_table, request_frame
+from riskloom.sources.table import read_table, rebalance, request_frame
 from riskloom.specs import DIABETES, HEART, TreeParams
 from riskloom.streaming import run_scoring_stream
 
@@ -392,7 +392,7 @@ def lineitem_requests(li: DataFrame) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-1: a table of text requests scored in one lazy, map-only plan."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
-    reqs = lineitem_requests(_table(spark, sf_dir, "lineitem"))
+    reqs = lineitem_requests(rebalance(_table(spark, sf_dir, "lineitem")))
     return score_requests(model, reqs, fx.LINEITEM_RISK, strict=False, keep=["l_orderkey", "l_linenumber"])
 
 
@@ -402,7 +402,7 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     reqs = lineitem_requests(_table(spark, sf_dir, "lineitem"))
     src = shared_path(spark, "requests")
     # requests arrive as several files
-    reqs.repartition(4).write.mode("overwrite").parquet(src)
+    rebalance(reqs).write.mode("overwrite").parquet(src)
     return run_scoring_stream(
         spark,
         fx.LINEITEM_RISK,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.model import fit_tree
 from riskloom.operators.prepare import assemble, hash_split_flag
 from riskloom.session import table_path
+from riskloom.sources.table import rebalance
 from riskloom.specs import DIABETES, HEART, DatasetSpec, TreeParams, _schema, register
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -64,6 +65,7 @@ def lineitem_risk(spark: SparkSession, sf_dir: str, label: Column | None = None)
     Only the five needed columns are read from the Parquet scan.
     """
     li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    li = rebalance(li.select(KEY, "l_linenumber", *FEATURES))
     return li.select(
         KEY,
         "l_linenumber",

@@ -39,3 +39,17 @@ def request_frame(
 def with_placeholder_label(df: DataFrame, spec: DatasetSpec, value: int = 0) -> DataFrame:
     """Unlabelled input gets a literal label so the scoring plan has one shape."""
     return df.withColumn(spec.label, F.lit(value).cast("int"))
+
+
+def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-partitioned input over the cluster before heavy per-row work.
+
+    Only acts when the plan has fewer partitions than the cluster's default
+    parallelism (e.g. one big Parquet row group). A large table already
+    arrives in many splits, and then this is a no-op: no extra shuffle.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
