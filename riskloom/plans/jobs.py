@@ -15,16 +15,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.functions import accuracy_percent
 from riskloom.operators.model import fit_tree, load_model, save_model
 from riskloom.operators.prepare import assemble, cast_project, hash_split_flag
 from riskloom.operators.score import rounded_pairs, score_requests
-from riskloom.sinks import append_table, write_predictions_csv
+from riskloom.sinks import CRLF, append_table, write_predictions_csv
 from riskloom.sources.csv import read_csv_typed
 from riskloom.sources.table import read_table
 from riskloom.specs import DatasetSpec, TreeParams
 
+PAIRS_SCHEMA = StructType([StructField("prediction", IntegerType()), StructField("label", IntegerType())])
+
 
 def ingest(
     spark: SparkSession,
@@ -111,9 +114,13 @@ def train(
         save_model(model, model_path, overwrite=overwrite)
     scored = model.transform(assemble(data.where(~is_train), spec.features))
     pairs = rounded_pairs(scored, spec.label, keep=keep)
-    if predictions_path:
-        write_predictions_csv(pairs, predictions_path)
-    return TrainResult(model, pairs, metrics_frame(scored, spec.label))
+    if not predictions_path:
+        return TrainResult(model, pairs, metrics_frame(scored, spec.label))
+    write_predictions_csv(pairs, predictions_path)
+    # Metrics come from the written file, so the test side is scanned and
+    # scored once. For a classifier the rounded prediction equals the raw one.
+    written = read_csv_typed(spark, predictions_path, PAIRS_SCHEMA, lineSep=CRLF)
+    return TrainResult(model, written, metrics_frame(written, "label"))
 
 
 def score(
