@@ -160,7 +160,7 @@ def random_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     One shuffle on the key: source, train and test rows are tagged and
     counted per key, then reduced to one row of invariants.
     """
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
     tr, te = random_split(orders, [0.8, 0.2], seed=42)
     tagged = (
         orders.select("o_orderkey", F.lit(1).alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.model import fit_tree
 from riskloom.operators.prepare import assemble, hash_split_flag
-from riskloom.session import table_path
+from riskloom.session import session_key, table_path
 from riskloom.sources.table import rebalance
 from riskloom.specs import DIABETES, HEART, DatasetSpec, TreeParams, _schema, register
 
@@ -83,7 +83,7 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str, params: TreeParams, labe
 
     Each fit costs several Spark jobs; the query catalogue shares models.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, kind, params, label_kind)
+    key = (session_key(spark), sf_dir, kind, params, label_kind)
     if key not in _MODELS:
         label = separable_label() if label_kind == "separable" else risk_label()
         train = lineitem_risk(spark, sf_dir, label).where(F.col("is_train"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from riskloom.functions import accuracy_percent
 from riskloom.operators.model import fit_tree, load_model, save_model
@@ -27,6 +27,7 @@ from riskloom.sources.table import read_table
 from riskloom.specs import DatasetSpec, TreeParams
 
 PAIRS_SCHEMA = StructType([StructField("prediction", IntegerType()), StructField("label", IntegerType())])
+RAW_PAIRS_SCHEMA = StructType([StructField("prediction", DoubleType()), StructField("label", IntegerType())])
 
 
 def ingest(
@@ -113,14 +114,25 @@ def train(
     if model_path:
         save_model(model, model_path, overwrite=overwrite)
     scored = model.transform(assemble(data.where(~is_train), spec.features))
-    pairs = rounded_pairs(scored, spec.label, keep=keep)
+    if kind == "regressor":
+        # regression scores are exported raw (no rounding), as the offline
+        # trainers do; metrics use their half-even rounding
+        pairs = scored.select(*keep, "prediction", F.col(spec.label).alias("label"))
+        schema = RAW_PAIRS_SCHEMA
+    else:
+        pairs = rounded_pairs(scored, spec.label, keep=keep)
+        schema = PAIRS_SCHEMA
     if not predictions_path:
-        return TrainResult(model, pairs, metrics_frame(scored, spec.label))
+        return TrainResult(model, pairs, metrics_frame(_rounded(scored), spec.label))
     write_predictions_csv(pairs, predictions_path)
     # Metrics come from the written file, so the test side is scanned and
     # scored once. For a classifier the rounded prediction equals the raw one.
-    written = read_csv_typed(spark, predictions_path, PAIRS_SCHEMA, lineSep=CRLF)
-    return TrainResult(model, written, metrics_frame(written, "label"))
+    written = read_csv_typed(spark, predictions_path, schema, lineSep=CRLF)
+    return TrainResult(model, written, metrics_frame(_rounded(written), "label"))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", F.bround(F.col("prediction").cast("double"), 0))
 
 
 def score(

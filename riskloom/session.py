@@ -46,9 +46,18 @@ def build_session(
     return spark
 
 
+_FALLBACK_ROOTS: dict[int, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a local one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        return _FALLBACK_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="riskloom-ckpt-"))
     root = sc.getCheckpointDir()
     if root:
         return root
@@ -59,6 +68,14 @@ def shared_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for in-process caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return f"session-{id(spark)}"
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared folder (never reused)."""
     return f"{shared_root(spark).rstrip('/')}/riskloom/{label}-{uuid.uuid4().hex}"

@@ -20,6 +20,8 @@ def request_stream(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files_per_trigger: int | None = None
 ) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

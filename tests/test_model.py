@@ -90,3 +90,13 @@ def test_single_class_and_bad_labels(spark):
     nul = spark.createDataFrame([(None, 1.0), (1, 2.0)], "y int, x double")
     with pytest.raises(Exception):
         fit_tree(assemble(nul, ["x"], keep=["y"]), "classifier", "y")
+
+
+def test_evaluator_accuracy_equals_aggregate(spark):
+    from riskloom.operators.evaluate import accuracy, evaluator_accuracy
+
+    model = fx.fitted(spark, SF_SMALL, "classifier", fx.STUMP)
+    scored = fx.scored_test(spark, SF_SMALL, model)
+    agg = accuracy(scored, fx.LABEL).first().accuracy
+    assert abs(evaluator_accuracy(scored, fx.LABEL) - agg) < 1e-12
+    assert accuracy(scored.limit(0), fx.LABEL).first().accuracy is None

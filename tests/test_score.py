@@ -16,7 +16,7 @@ from riskloom.sources.table import request_frame
 from riskloom.specs import DIABETES, HEART, TreeParams, select_job
 
 
-def _invented_diabetes_csv(path: str, n: int = 400, seed: int = 3) -> str:
+def _invented_diabetes_csv(path: str, n: int = 400, seed: int = 3, noise: float = 0.0) -> str:
     rng = np.random.default_rng(seed)
     preg = rng.integers(0, 15, n)
     glucose = rng.integers(60, 200, n)
@@ -27,6 +27,7 @@ def _invented_diabetes_csv(path: str, n: int = 400, seed: int = 3) -> str:
     dpf = np.round(rng.uniform(0.05, 2.0, n), 3)
     age = rng.integers(21, 80, n)
     y = ((glucose > 140) | ((bmi > 35) & (age > 45))).astype(int)
+    y = np.where(rng.uniform(size=n) < noise, 1 - y, y)
     header = ",".join(f.name for f in DIABETES.schema.fields)
     lines = [header] + [
         f"{preg[i]},{glucose[i]},{bp[i]},{skin[i]},{insulin[i]},{bmi[i]},{dpf[i]},{age[i]},{y[i]}" for i in range(n)
