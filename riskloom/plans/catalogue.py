@@ -44,6 +44,8 @@ from riskloom.streaming import run_scoring_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+STREAM_TIMEOUT_S = 1800.0  # an availableNow stream that has not drained by then is stopped
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -412,6 +414,7 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared_path(spark, "scored-sink"),
         shared_path(spark, "scored-ckpt"),
         keep=["l_orderkey", "l_linenumber"],
+        timeout_s=STREAM_TIMEOUT_S,
     )
 
 
