@@ -1,7 +1,7 @@
 """Command line: ``python -m riskloom <command> ...``.
 
-    ingest  --dataset D --csv PATH --store PATH
-    train   --dataset D --store PATH --model PATH --predictions PATH [--kind K]
+    ingest  --dataset D --csv PATH [--store PATH]
+    train   --dataset D [--store PATH] --model PATH --predictions PATH [--kind K]
     score   --dataset D --requests CSV --model PATH --out PATH [--strict]
     stream  --dataset D --source DIR --model PATH --sink DIR --checkpoint DIR
 
@@ -38,9 +38,9 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--dataset", required=True)
         p.add_argument("--format", default="parquet", help="store format")
     sub.choices["ingest"].add_argument("--csv", required=True)
-    sub.choices["ingest"].add_argument("--store", required=True)
+    sub.choices["ingest"].add_argument("--store", help="store path; default: the dataset's catalog table")
     t = sub.choices["train"]
-    t.add_argument("--store", required=True)
+    t.add_argument("--store", help="store path; default: the dataset's catalog table")
     t.add_argument("--model", required=True)
     t.add_argument("--predictions")
     t.add_argument("--kind", choices=("classifier", "regressor"))
@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
         n = ingest(spark, spec, a.csv, a.store, a.format).count()
         print(json.dumps({"store_rows": n}))
     elif a.cmd == "train":
-        data = read_table(spark, a.store, a.format)
+        data = read_table(spark, a.store, a.format, table=None if a.store else spec.table)
         key = a.split_key.split(",") if a.split_key else [f.name for f in spec.schema.fields]
         params = TreeParams(max_depth=a.max_depth, max_bins=a.max_bins, seed=a.seed)
         res = train(spark, spec, data, key, a.model, a.predictions, kind=a.kind, params=params,

@@ -34,7 +34,7 @@ def ingest(
     spark: SparkSession,
     spec: DatasetSpec,
     source: DataFrame | str,
-    store_path: str | None,
+    store_path: str | None = None,
     fmt: str = "parquet",
     keep: list[str] | None = None,
     **store_options: str,
@@ -42,13 +42,16 @@ def ingest(
     """Append the source to the store and return the whole store, typed.
 
     ``source`` is a typed frame or a CSV path (header, spec schema). The
-    store is append-only: every run adds its rows again.
+    store is ``store_path`` or, when neither a path nor format options are
+    given, the catalog table named by the spec. It is append-only: every run
+    adds its rows again.
     """
     keep = list(keep or [])
     if isinstance(source, str):
         source = read_csv_typed(spark, source, spec.schema)
-    append_table(source, store_path, fmt, **store_options)
-    stored = read_table(spark, store_path, fmt, **store_options)
+    table = spec.table if store_path is None and not store_options else None
+    append_table(source, store_path, fmt, table=table, **store_options)
+    stored = read_table(spark, store_path, fmt, table=table, **store_options)
     typed = cast_project(stored, spec.schema)
     if keep:
         # carry key columns (e.g. a record id) next to the typed columns

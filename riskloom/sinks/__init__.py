@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 CRLF = "\r\n"
 
 
-def append_table(df: DataFrame, path: str | None = None, fmt: str = "parquet", **options: str) -> None:
-    """Append to a store table, creating it when absent. Never deduplicates."""
+def append_table(
+    df: DataFrame, path: str | None = None, fmt: str = "parquet", table: str | None = None, **options: str
+) -> None:
+    """Append to a store, creating it when absent. Never deduplicates.
+
+    The store is a path (``path``), a catalog table (``table``, kept under the
+    session's warehouse) or, with neither, whatever the format's options
+    name (e.g. a connector's collection URI).
+    """
     writer = df.write.format(fmt).mode("append")
     for k, v in options.items():
         writer = writer.option(k, v)
-    if path is None:
+    if table is not None:
+        writer.saveAsTable(table)
+    elif path is None:
         writer.save()
     else:
         writer.save(path)

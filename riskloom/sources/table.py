@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from riskloom.specs import DatasetSpec
 
 
-def read_table(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Full scan of a store table (every earlier append is visible)."""
+def read_table(
+    spark: SparkSession, path: str | None = None, fmt: str = "parquet", table: str | None = None, **options: str
+) -> DataFrame:
+    """Full scan of a store (every earlier append is visible)."""
+    if table is not None:
+        return spark.table(table)
     reader = spark.read.format(fmt)
     for k, v in options.items():
         reader = reader.option(k, v)

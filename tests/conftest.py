@@ -25,6 +25,7 @@ def spark():
             "spark.driver.memory": "8g",
             # a shared checkpoint folder, as a cluster would configure
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="riskloom-test-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="riskloom-test-warehouse-"),
         },
     )
     yield s

@@ -37,3 +37,17 @@ def test_json_and_display(spark):
     counts = spark.createDataFrame([(0, 0, 5, 1), (1, 1, 7, 2)], "prediction int, label int, n long, r int")
     rows = sorted(tuple(r) for r in display_table(counts, ["prediction", "label", "n"], "r").collect())
     assert rows == [(0, "prediction", "label", "n"), (1, "0", "0", "5"), (2, "1", "1", "7")]
+
+
+def test_named_store_table_accumulates(spark, workdir):
+    from riskloom.plans.jobs import ingest
+    from riskloom.specs import DatasetSpec, HEART
+
+    spec = DatasetSpec("heart_named", HEART.schema, HEART.label, "riskloom_heart_store", HEART.verdict)
+    rows = [(50, 1, 2, 120, 200, 0, 1, 150, 0, 1.5, 2, 0, 3, 1), (41, 0, 1, 110, 180, 0, 0, 170, 0, 0.0, 1, 0, 2, 0)]
+    df = spark.createDataFrame(rows, HEART.schema).withColumn("_id", F.monotonically_increasing_id())
+    spark.sql(f"DROP TABLE IF EXISTS {spec.table}")
+    assert ingest(spark, spec, df).count() == 2
+    out = ingest(spark, spec, df)
+    assert out.count() == 4
+    assert out.columns == [f.name for f in HEART.schema.fields]  # store-added column dropped
