@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.functions import (
-    accuracy_percent,
     round_half_even,
     verdict_code,
     verdict_colour,
@@ -39,7 +38,7 @@ from riskloom.session import shared_path, table_path
 from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
 from riskloom.sources.table import read_table, rebalance, request_frame
-from riskloom.specs import DIABETES, HEART, TreeParams
+from riskloom.specs import DIABETES, HEART
 from riskloom.streaming import run_scoring_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -371,14 +370,9 @@ def score_one_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     model trained on the whole lineitem train split."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.DEEP, label_kind="separable")
     spec = fx.LINEITEM_RISK
-    parts = []
-    for rid, q, d, t in ONE_RECORDS:
-        # the reference parses each form value in Python before building the frame
-        one = request_frame(spark, spec, [(float(q), float(d), float(t))])
-        parts.append(one.select(F.lit(rid).alias("request_id"), *one.columns))
-    frame = parts[0]
-    for p in parts[1:]:
-        frame = frame.unionByName(p)
+    # the reference parses each form value in Python before building the frame
+    typed = [(rid, float(q), float(d), float(t)) for rid, q, d, t in ONE_RECORDS]
+    frame = request_frame(spark, spec, typed, id_col="request_id")
     return score_typed(model, frame, spec, keep=["request_id"])
 
 

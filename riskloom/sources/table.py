@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.specs import DatasetSpec
 
@@ -28,16 +29,24 @@ def read_table(
 
 
 def request_frame(
-    spark: SparkSession, spec: DatasetSpec, records: Iterable[Sequence], label_value: int = 0
+    spark: SparkSession,
+    spec: DatasetSpec,
+    records: Iterable[Sequence],
+    label_value: int = 0,
+    id_col: str | None = None,
 ) -> DataFrame:
     """Typed frame of scoring requests with a placeholder label.
 
-    ``records`` hold the feature values in spec order, already typed. This is
-    the single-request path; tables of requests go through
+    ``records`` hold the feature values in spec order, already typed (with
+    ``id_col``, each record starts with an integer id). This is the
+    single-request path; tables of requests go through
     ``operators.score.parse_requests`` instead.
     """
     rows = [tuple(r) + (label_value,) for r in records]
-    return spark.createDataFrame(rows, spec.schema)
+    schema = spec.schema
+    if id_col:
+        schema = StructType([StructField(id_col, IntegerType(), False)] + list(spec.schema.fields))
+    return spark.createDataFrame(rows, schema)
 
 
 def with_placeholder_label(df: DataFrame, spec: DatasetSpec, value: int = 0) -> DataFrame:
