@@ -63,6 +63,9 @@ def shared_root(spark: SparkSession) -> str:
         return root
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         configured = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
