@@ -217,6 +217,13 @@ def dt_classifier_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", "l_quantity"])
 
 
+def dt_classifier_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 depth 2 (gini): every test row's prediction from a two-level tree."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.DEPTH2)
+    scored = fx.scored_test(spark, sf_dir, model)
+    return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", *fx.FEATURES])
+
+
 def _regressor_output(scored: DataFrame) -> DataFrame:
     return scored.groupBy(
         F.round("prediction", 6).alias("prediction"), F.col(fx.LABEL).alias("label")
@@ -474,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "dt_classifier_majority": dt_classifier_majority,
     "dt_classifier_stump": dt_classifier_stump,
     "dt_classifier_separable": dt_classifier_separable,
+    "dt_classifier_depth2": dt_classifier_depth2,
     "dt_regressor_mean": dt_regressor_mean,
     "dt_regressor_stump": dt_regressor_stump,
     "predict_probability": predict_probability,

@@ -25,6 +25,7 @@ TRAIN_FRACTION = 0.8
 
 STUMP = TreeParams(max_depth=1, max_bins=64, seed=42)
 MAJORITY = TreeParams(max_depth=0, max_bins=64, seed=42)
+DEPTH2 = TreeParams(max_depth=2, max_bins=64, seed=42)
 DEEP = TreeParams(max_depth=5, max_bins=64, seed=42)
 
 LINEITEM_RISK = register(

@@ -1,7 +1,7 @@
 """DuckDB SQL oracles for the query catalogue.
 
 Each string computes, from the raw driver tables, what the Spark query
-returns. The tree oracles grow the depth-0/1 tree in SQL: per feature,
+returns. The tree oracles grow depth-0, 1 and 2 trees in SQL: per feature,
 candidate thresholds are midpoints of neighbouring distinct training values,
 the split with the lowest weighted impurity wins (gini; for the regressor the
 sum of squared errors, which orders splits identically on a 0/1 label),
@@ -79,6 +79,61 @@ majority AS (
 """
 
 
+def _depth2_ctes(label: str = RISK) -> str:
+    """Second level of the tree: each child of the root is split again.
+
+    Candidate thresholds stay the root's (global midpoints); within a child a
+    candidate is valid when both sides are non-empty, ties go to the first
+    feature, then the lowest threshold; a pure child, or one whose best split
+    does not lower the impurity, stays a leaf.
+    """
+    return _tree_ctes(label) + """,
+tr AS (
+  SELECT *, CASE (SELECT f FROM leaf) WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END
+              <= (SELECT thr FROM leaf) AS go_left
+  FROM base WHERE is_train),
+child_long AS (
+  SELECT go_left, 0 AS f, l_quantity AS v, risk AS y FROM tr
+  UNION ALL SELECT go_left, 1 AS f, l_discount AS v, risk AS y FROM tr
+  UNION ALL SELECT go_left, 2 AS f, l_tax AS v, risk AS y FROM tr),
+child_cnt AS (
+  SELECT go_left, f, v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS p
+  FROM child_long GROUP BY go_left, f, v),
+child_tot AS (
+  SELECT go_left, CAST(count(*) AS DOUBLE) AS tn, CAST(sum(risk) AS DOUBLE) AS tp FROM tr GROUP BY go_left),
+thresholds AS (SELECT f, (v + nv) / 2.0 AS thr FROM cum WHERE nv IS NOT NULL),
+child_cand AS (
+  SELECT c.go_left, t.f, t.thr, sum(c.n) AS ln, sum(c.p) AS lp
+  FROM thresholds t JOIN child_cnt c ON c.f = t.f AND c.v <= t.thr
+  GROUP BY c.go_left, t.f, t.thr),
+child_scored AS (
+  SELECT k.go_left, k.f, k.thr, k.ln, k.lp, s.tn - k.ln AS rn, s.tp - k.lp AS rp, s.tn, s.tp,
+         k.ln / s.tn * (1 - (k.lp / k.ln) * (k.lp / k.ln) - (1 - k.lp / k.ln) * (1 - k.lp / k.ln))
+       + (s.tn - k.ln) / s.tn * (1 - ((s.tp - k.lp) / (s.tn - k.ln)) * ((s.tp - k.lp) / (s.tn - k.ln))
+                                   - (1 - (s.tp - k.lp) / (s.tn - k.ln)) * (1 - (s.tp - k.lp) / (s.tn - k.ln))) AS imp,
+         1 - (s.tp / s.tn) * (s.tp / s.tn) - (1 - s.tp / s.tn) * (1 - s.tp / s.tn) AS parent_imp
+  FROM child_cand k JOIN child_tot s ON k.go_left = s.go_left
+  WHERE k.ln > 0 AND s.tn - k.ln > 0),
+child_best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY go_left ORDER BY imp, f, thr) AS rk FROM child_scored) WHERE rk = 1),
+child_node AS (
+  SELECT s.go_left,
+         (b.f IS NOT NULL AND s.tp > 0 AND s.tp < s.tn AND b.imp < b.parent_imp) AS splits,
+         b.f, b.thr,
+         CASE WHEN 2 * b.lp > b.ln THEN 1 ELSE 0 END AS lpred,
+         CASE WHEN 2 * b.rp > b.rn THEN 1 ELSE 0 END AS rpred,
+         CASE WHEN 2 * s.tp > s.tn THEN 1 ELSE 0 END AS own_pred
+  FROM child_tot s LEFT JOIN child_best b ON s.go_left = b.go_left),
+depth2 AS (
+  SELECT t.*,
+         CASE WHEN NOT n.splits THEN n.own_pred
+              WHEN CASE n.f WHEN 0 THEN t.l_quantity WHEN 1 THEN t.l_discount ELSE t.l_tax END <= n.thr
+              THEN n.lpred ELSE n.rpred END AS prediction
+  FROM test t JOIN child_node n ON t.go_left = n.go_left)
+"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -202,6 +257,10 @@ FROM orders""",
         "dt_classifier_separable": _with(
             sep, "SELECT l_orderkey, l_linenumber, l_quantity, prediction, risk AS label FROM stump"
         ),
+        "dt_classifier_depth2": _with(
+            _depth2_ctes(),
+            "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, prediction, risk AS label FROM depth2",
+        ),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_stump": _with(t, REG_OUT.format(src="stump")),
         "predict_probability": _with(
