@@ -242,6 +242,12 @@ def dt_regressor_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressor_output(fx.scored_test(spark, sf_dir, model))
 
 
+def dt_regressor_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 depth 2 (variance): leaf means of a two-level regression tree."""
+    model = fx.fitted(spark, sf_dir, "regressor", fx.DEPTH2)
+    return _regressor_output(fx.scored_test(spark, sf_dir, model))
+
+
 def predict_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-3: class probabilities of the stump's leaves."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
@@ -484,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "dt_classifier_depth2": dt_classifier_depth2,
     "dt_regressor_mean": dt_regressor_mean,
     "dt_regressor_stump": dt_regressor_stump,
+    "dt_regressor_depth2": dt_regressor_depth2,
     "predict_probability": predict_probability,
     "model_roundtrip": model_roundtrip,
     "model_roundtrip_regressor": model_roundtrip_regressor,

@@ -123,13 +123,17 @@ child_node AS (
          b.f, b.thr,
          CASE WHEN 2 * b.lp > b.ln THEN 1 ELSE 0 END AS lpred,
          CASE WHEN 2 * b.rp > b.rn THEN 1 ELSE 0 END AS rpred,
-         CASE WHEN 2 * s.tp > s.tn THEN 1 ELSE 0 END AS own_pred
+         CASE WHEN 2 * s.tp > s.tn THEN 1 ELSE 0 END AS own_pred,
+         b.lp / b.ln AS lmean, b.rp / b.rn AS rmean, s.tp / s.tn AS own_mean
   FROM child_tot s LEFT JOIN child_best b ON s.go_left = b.go_left),
 depth2 AS (
   SELECT t.*,
          CASE WHEN NOT n.splits THEN n.own_pred
               WHEN CASE n.f WHEN 0 THEN t.l_quantity WHEN 1 THEN t.l_discount ELSE t.l_tax END <= n.thr
-              THEN n.lpred ELSE n.rpred END AS prediction
+              THEN n.lpred ELSE n.rpred END AS prediction,
+         CASE WHEN NOT n.splits THEN n.own_mean
+              WHEN CASE n.f WHEN 0 THEN t.l_quantity WHEN 1 THEN t.l_discount ELSE t.l_tax END <= n.thr
+              THEN n.lmean ELSE n.rmean END AS leaf_mean
   FROM test t JOIN child_node n ON t.go_left = n.go_left)
 """
 
@@ -262,6 +266,7 @@ FROM orders""",
             "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, prediction, risk AS label FROM depth2",
         ),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
+        "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_stump": _with(t, REG_OUT.format(src="stump")),
         "predict_probability": _with(
             t,
