@@ -224,6 +224,13 @@ def dt_classifier_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", *fx.FEATURES])
 
 
+def dt_classifier_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 at the reference's depth (5, gini): every test row's prediction."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.DEEP)
+    scored = fx.scored_test(spark, sf_dir, model)
+    return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", *fx.FEATURES])
+
+
 def _regressor_output(scored: DataFrame) -> DataFrame:
     return scored.groupBy(
         F.round("prediction", 6).alias("prediction"), F.col(fx.LABEL).alias("label")
@@ -488,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "dt_classifier_stump": dt_classifier_stump,
     "dt_classifier_separable": dt_classifier_separable,
     "dt_classifier_depth2": dt_classifier_depth2,
+    "dt_classifier_depth5": dt_classifier_depth5,
     "dt_regressor_mean": dt_regressor_mean,
     "dt_regressor_stump": dt_regressor_stump,
     "dt_regressor_depth2": dt_regressor_depth2,

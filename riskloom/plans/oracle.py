@@ -138,6 +138,86 @@ depth2 AS (
 """
 
 
+def _gini(n: str, p: str) -> str:
+    # 1 - f0^2 - f1^2 with class 0 first, as the learner accumulates it
+    return f"(1.0 - (({n} - {p}) / {n}) * (({n} - {p}) / {n}) - ({p} / {n}) * ({p} / {n}))"
+
+
+def _levels_ctes(depth: int, label: str = RISK) -> str:
+    """A classification tree of any depth, grown level by level in SQL.
+
+    Rows carry the id of the node they sit in (root 1, children 2i and
+    2i+1). At each level, every open node scores all global candidate
+    thresholds with the learner's gain (parent impurity minus weighted child
+    impurities), keeps the first maximum (lowest feature, then threshold),
+    and splits when that gain is positive and the node is not pure. Leaves
+    predict their majority class (ties to class 0). Sibling leaves with equal
+    predictions are merged by the learner, which does not change predictions.
+    """
+    x = "CASE {f} WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END"
+    parts = [
+        f"""
+base AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+         {label} AS risk, {IS_TRAIN} AS is_train
+  FROM lineitem),
+gthr AS (
+  SELECT f, (v + nv) / 2.0 AS thr FROM (
+    SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM (
+      SELECT DISTINCT 0 AS f, l_quantity AS v FROM base WHERE is_train
+      UNION SELECT DISTINCT 1 AS f, l_discount AS v FROM base WHERE is_train
+      UNION SELECT DISTINCT 2 AS f, l_tax AS v FROM base WHERE is_train))
+  WHERE nv IS NOT NULL),
+r0 AS (SELECT l_quantity, l_discount, l_tax, risk, 1 AS node, false AS done FROM base WHERE is_train),
+e0 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, risk, 1 AS node FROM base WHERE NOT is_train)"""
+    ]
+    for k in range(depth):
+        parts.append(
+            f"""
+cnt{k} AS (
+  SELECT node, f, v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(risk) AS DOUBLE) AS p FROM (
+    SELECT node, 0 AS f, l_quantity AS v, risk FROM r{k} WHERE NOT done
+    UNION ALL SELECT node, 1 AS f, l_discount AS v, risk FROM r{k} WHERE NOT done
+    UNION ALL SELECT node, 2 AS f, l_tax AS v, risk FROM r{k} WHERE NOT done)
+  GROUP BY node, f, v),
+tot{k} AS (
+  SELECT node, CAST(count(*) AS DOUBLE) AS tn, CAST(sum(risk) AS DOUBLE) AS tp FROM r{k} WHERE NOT done GROUP BY node),
+cand{k} AS (
+  SELECT c.node, t.f, t.thr, sum(c.n) AS ln, sum(c.p) AS lp
+  FROM gthr t JOIN cnt{k} c ON c.f = t.f AND c.v <= t.thr GROUP BY c.node, t.f, t.thr),
+gain{k} AS (
+  SELECT c.node, c.f, c.thr,
+         {_gini("o.tn", "o.tp")}
+         - (c.ln / o.tn) * {_gini("c.ln", "c.lp")}
+         - ((o.tn - c.ln) / o.tn) * {_gini("(o.tn - c.ln)", "(o.tp - c.lp)")} AS gain
+  FROM cand{k} c JOIN tot{k} o ON c.node = o.node
+  WHERE c.ln > 0 AND o.tn - c.ln > 0 AND o.tp > 0 AND o.tp < o.tn),
+split{k} AS (
+  SELECT node, f, thr FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, thr) AS rk FROM gain{k})
+  WHERE rk = 1 AND gain > 0),
+r{k + 1} AS (
+  SELECT r.l_quantity, r.l_discount, r.l_tax, r.risk,
+         CASE WHEN s.node IS NULL THEN r.node
+              ELSE 2 * r.node + CASE WHEN {x.format(f="s.f")} <= s.thr THEN 0 ELSE 1 END END AS node,
+         s.node IS NULL AS done
+  FROM r{k} r LEFT JOIN split{k} s ON r.node = s.node AND NOT r.done),
+e{k + 1} AS (
+  SELECT e.l_orderkey, e.l_linenumber, e.l_quantity, e.l_discount, e.l_tax, e.risk,
+         CASE WHEN s.node IS NULL THEN e.node
+              ELSE 2 * e.node + CASE WHEN {x.format(f="s.f")} <= s.thr THEN 0 ELSE 1 END END AS node
+  FROM e{k} e LEFT JOIN split{k} s ON e.node = s.node)"""
+        )
+    parts.append(
+        f"""
+leafpred AS (
+  SELECT node, CASE WHEN 2 * sum(risk) > count(*) THEN 1 ELSE 0 END AS prediction FROM r{depth} GROUP BY node),
+grown AS (
+  SELECT e.*, l.prediction FROM e{depth} e JOIN leafpred l ON e.node = l.node)"""
+    )
+    return ",".join(parts)
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -265,6 +345,10 @@ FROM orders""",
             _depth2_ctes(),
             "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, prediction, risk AS label FROM depth2",
         ),
+        "dt_classifier_depth5": _with(
+            _levels_ctes(5),
+            "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, prediction, risk AS label FROM grown",
+        ),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_stump": _with(t, REG_OUT.format(src="stump")),
