@@ -255,6 +255,12 @@ def dt_regressor_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressor_output(fx.scored_test(spark, sf_dir, model))
 
 
+def dt_regressor_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 at the reference's depth (5, variance): leaf means on the test set."""
+    model = fx.fitted(spark, sf_dir, "regressor", fx.DEEP)
+    return _regressor_output(fx.scored_test(spark, sf_dir, model))
+
+
 def predict_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-3: class probabilities of the stump's leaves."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
@@ -499,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "dt_regressor_mean": dt_regressor_mean,
     "dt_regressor_stump": dt_regressor_stump,
     "dt_regressor_depth2": dt_regressor_depth2,
+    "dt_regressor_depth5": dt_regressor_depth5,
     "predict_probability": predict_probability,
     "model_roundtrip": model_roundtrip,
     "model_roundtrip_regressor": model_roundtrip_regressor,

@@ -143,17 +143,25 @@ def _gini(n: str, p: str) -> str:
     return f"(1.0 - (({n} - {p}) / {n}) * (({n} - {p}) / {n}) - ({p} / {n}) * ({p} / {n}))"
 
 
-def _levels_ctes(depth: int, label: str = RISK) -> str:
-    """A classification tree of any depth, grown level by level in SQL.
+def _variance(n: str, p: str) -> str:
+    # (sum of squares - sum^2 / n) / n; a 0/1 label's sum of squares is its sum
+    return f"(({p} - ({p} * {p}) / {n}) / {n})"
+
+
+def _levels_ctes(depth: int, label: str = RISK, impurity: str = "gini") -> str:
+    """A tree of any depth (gini classifier or variance regressor), grown
+    level by level in SQL.
 
     Rows carry the id of the node they sit in (root 1, children 2i and
     2i+1). At each level, every open node scores all global candidate
     thresholds with the learner's gain (parent impurity minus weighted child
     impurities), keeps the first maximum (lowest feature, then threshold),
     and splits when that gain is positive and the node is not pure. Leaves
-    predict their majority class (ties to class 0). Sibling leaves with equal
-    predictions are merged by the learner, which does not change predictions.
+    predict their majority class (ties to class 0) or their mean. Sibling
+    leaves with equal predictions are merged by the learner, which does not
+    change predictions.
     """
+    imp = {"gini": _gini, "variance": _variance}[impurity]
     x = "CASE {f} WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END"
     parts = [
         f"""
@@ -187,9 +195,9 @@ cand{k} AS (
   FROM gthr t JOIN cnt{k} c ON c.f = t.f AND c.v <= t.thr GROUP BY c.node, t.f, t.thr),
 gain{k} AS (
   SELECT c.node, c.f, c.thr,
-         {_gini("o.tn", "o.tp")}
-         - (c.ln / o.tn) * {_gini("c.ln", "c.lp")}
-         - ((o.tn - c.ln) / o.tn) * {_gini("(o.tn - c.ln)", "(o.tp - c.lp)")} AS gain
+         {imp("o.tn", "o.tp")}
+         - (c.ln / o.tn) * {imp("c.ln", "c.lp")}
+         - ((o.tn - c.ln) / o.tn) * {imp("(o.tn - c.ln)", "(o.tp - c.lp)")} AS gain
   FROM cand{k} c JOIN tot{k} o ON c.node = o.node
   WHERE c.ln > 0 AND o.tn - c.ln > 0 AND o.tp > 0 AND o.tp < o.tn),
 split{k} AS (
@@ -211,9 +219,11 @@ e{k + 1} AS (
     parts.append(
         f"""
 leafpred AS (
-  SELECT node, CASE WHEN 2 * sum(risk) > count(*) THEN 1 ELSE 0 END AS prediction FROM r{depth} GROUP BY node),
+  SELECT node, CASE WHEN 2 * sum(risk) > count(*) THEN 1 ELSE 0 END AS prediction,
+         CAST(sum(risk) AS DOUBLE) / count(*) AS leaf_mean
+  FROM r{depth} GROUP BY node),
 grown AS (
-  SELECT e.*, l.prediction FROM e{depth} e JOIN leafpred l ON e.node = l.node)"""
+  SELECT e.*, l.prediction, l.leaf_mean FROM e{depth} e JOIN leafpred l ON e.node = l.node)"""
     )
     return ",".join(parts)
 
@@ -351,6 +361,7 @@ FROM orders""",
         ),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
+        "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),
         "dt_regressor_stump": _with(t, REG_OUT.format(src="stump")),
         "predict_probability": _with(
             t,
