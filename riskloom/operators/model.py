@@ -38,6 +38,7 @@ def estimator(kind: str, label: str, params: TreeParams, features_col: str = "fe
         minInstancesPerNode=params.min_instances_per_node,
         minInfoGain=params.min_info_gain,
         seed=params.seed,
+        maxMemoryInMB=params.max_memory_mb,
     )
     if params.impurity:
         est = est.setImpurity(params.impurity)

@@ -36,6 +36,8 @@ class TreeParams:
     min_info_gain: float = 0.0
     impurity: str | None = None  # None -> gini (classifier) / variance (regressor)
     seed: int = 42
+    # memory for one pass's histograms; more lets one pass grow more nodes
+    max_memory_mb: int = 256
 
 
 @dataclass(frozen=True)

@@ -61,3 +61,14 @@ def test_random_split_seeded(spark):
     assert tr.count() + te.count() == orders.count()
     assert sorted(r[0] for r in tr.collect()) == sorted(r[0] for r in tr2.collect())
     assert tr.join(te, "o_orderkey", "left_semi").count() == 0
+
+
+def test_rebalance_only_when_under_partitioned(spark):
+    from riskloom.sources.table import rebalance
+
+    one = spark.range(1000).coalesce(1)
+    spread = rebalance(one, min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in spread.collect()) == list(range(1000))  # nothing lost or duplicated
+    many = spark.range(1000).repartition(6)
+    assert rebalance(many, min_partitions=4) is many  # no extra shuffle
