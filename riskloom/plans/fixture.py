@@ -16,7 +16,7 @@ from riskloom.operators.model import fit_tree
 from riskloom.operators.prepare import assemble, hash_split_flag
 from riskloom.session import session_key, table_path
 from riskloom.sources.table import rebalance
-from riskloom.specs import DIABETES, HEART, DatasetSpec, TreeParams, _schema, register
+from riskloom.specs import DIABETES, DatasetSpec, TreeParams, _schema, register
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 LABEL = "risk"
@@ -38,17 +38,6 @@ LINEITEM_RISK = register(
         params=STUMP,
     )
 )
-# Same data, scored under the other verdict rule (1 -> positive, else negative).
-LINEITEM_RISK_HEART_RULE = register(
-    DatasetSpec(
-        name="lineitem_risk_heart_rule",
-        schema=LINEITEM_RISK.schema,
-        label=LABEL,
-        table="lineitem_risk",
-        verdict=HEART.verdict,
-        params=STUMP,
-    )
-)
 
 
 def risk_label(quantity: str = "l_quantity", key: str = KEY) -> Column:
