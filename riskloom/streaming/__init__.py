@@ -17,13 +17,27 @@ from riskloom.specs import DatasetSpec
 
 
 def request_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    **options: str,
 ) -> DataFrame:
+    """File stream of requests under a fixed schema.
+
+    ``max_files_per_trigger`` bounds each micro-batch when a large backlog
+    is waiting; ``cleanSource="archive"`` (with ``sourceArchiveDir``) or
+    ``"delete"`` keeps an ever-growing input folder from being listed again
+    and again.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    for k, v in options.items():
+        reader = reader.option(k, v)
     return reader.load(path)
 
 
@@ -40,8 +54,12 @@ def start_scoring_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    source_options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    requests = request_stream(spark, source_path, source_schema, fmt)
+    requests = request_stream(
+        spark, source_path, source_schema, fmt, max_files_per_trigger, **(source_options or {})
+    )
     scored = score_requests(model, requests, spec, strict=strict, keep=keep)
     writer = (
         scored.writeStream.format("parquet")

@@ -26,3 +26,19 @@ def test_stream_equals_batch_and_is_exactly_once(spark, workdir):
     # same checkpoint again: nothing new to process, no duplicate rows
     again = run_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, ckpt, keep=keep, timeout_s=300)
     assert again.count() == n
+
+
+def test_stream_in_bounded_batches(spark, workdir):
+    from riskloom.streaming import start_scoring_stream
+
+    model = fx.fitted(spark, SF_SMALL, "classifier", fx.STUMP)
+    reqs = cat.lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    src = os.path.join(workdir, "src")
+    reqs.repartition(4).write.parquet(src)
+    sink = os.path.join(workdir, "sink")
+    q = start_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, os.path.join(workdir, "ck"),
+                             keep=["l_orderkey", "l_linenumber"], max_files_per_trigger=1)
+    q.awaitTermination(300)
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 4  # one file per micro-batch
+    assert spark.read.parquet(sink).count() == reqs.count()
