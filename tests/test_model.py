@@ -100,3 +100,69 @@ def test_evaluator_accuracy_equals_aggregate(spark):
     agg = accuracy(scored, fx.LABEL).first().accuracy
     assert abs(evaluator_accuracy(scored, fx.LABEL) - agg) < 1e-12
     assert accuracy(scored.limit(0), fx.LABEL).first().accuracy is None
+
+
+def _grow(X, y, thresholds, depth, impurity):
+    """Greedy level-wise tree over fixed candidate thresholds (numpy)."""
+
+    def imp(n, p):
+        if impurity == "gini":
+            f0, f1 = (n - p) / n, p / n
+            return 1.0 - f0 * f0 - f1 * f1
+        return (p - p * p / n) / n
+
+    def node(idx, level):
+        n, p = float(len(idx)), float(y[idx].sum())
+        leaf = {"pred": int(2 * p > n), "mean": p / n}
+        if level == depth or p == 0 or p == n:
+            return leaf
+        parent, best = imp(n, p), None
+        for f in range(X.shape[1]):
+            xs = X[idx, f]
+            for t in thresholds[f]:
+                left = xs <= t
+                ln = float(left.sum())
+                if ln == 0 or ln == n:
+                    continue
+                lp = float(y[idx][left].sum())
+                gain = parent - (ln / n) * imp(ln, lp) - ((n - ln) / n) * imp(n - ln, p - lp)
+                if best is None or gain > best[0]:
+                    best = (gain, f, t)
+        if best is None or best[0] <= 0:
+            return leaf
+        _, f, t = best
+        go = X[idx, f] <= t
+        return {"f": f, "t": t, "l": node(idx[go], level + 1), "r": node(idx[~go], level + 1)}
+
+    return node(np.arange(len(y)), 0)
+
+
+def _predict(tree, x, key):
+    while "f" in tree:
+        tree = tree["l"] if x[tree["f"]] <= tree["t"] else tree["r"]
+    return tree[key]
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_depth5_tree_equals_brute_force(spark, kind):
+    t = pq.read_table(f"{SF_SMALL}/lineitem.parquet", columns=["l_orderkey"] + fx.FEATURES).to_pandas()
+    q = t.l_quantity.astype(int)
+    y = ((((q * 7) + t.l_orderkey * 13) % 50) + q > 40).astype(int).to_numpy()
+    train = np.array([hashlib.md5(str(k).encode()).hexdigest()[:4] < "cccc" for k in t.l_orderkey])
+    X = t[fx.FEATURES].to_numpy()
+    thresholds = []
+    for f in range(3):
+        vals = np.unique(X[train, f])
+        thresholds.append((vals[:-1] + vals[1:]) / 2)
+    tree = _grow(X[train], y[train], thresholds, 5, "gini" if kind == "classifier" else "variance")
+    key = "pred" if kind == "classifier" else "mean"
+    want = sorted(
+        (int(k), round(float(_predict(tree, x, key)), 9))
+        for k, x in zip(t.l_orderkey[~train], X[~train])
+    )
+    model = fx.fitted(spark, SF_SMALL, kind, fx.DEEP)
+    got = sorted(
+        (r.l_orderkey, round(float(r.prediction), 9))
+        for r in fx.scored_test(spark, SF_SMALL, model).select("l_orderkey", "prediction").collect()
+    )
+    assert got == want
