@@ -106,13 +106,14 @@ def train(
     train_fraction: float = 0.8,
     overwrite: bool = True,
     keep: list[str] | None = None,
+    split_hash: str = "md5",
 ) -> TrainResult:
     """Fit on the training side of a hash split, evaluate on the other side."""
     kind = kind or spec.model_kind
     params = params or spec.params
     keep = list(keep or [])
     # split before assembling, so the filter sits next to the scan
-    is_train = hash_split_flag(split_key, train_fraction)
+    is_train = hash_split_flag(split_key, train_fraction, split_hash)
     model = fit_tree(assemble(data.where(is_train), spec.features), kind, spec.label, params)
     if model_path:
         save_model(model, model_path, overwrite=overwrite)

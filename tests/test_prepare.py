@@ -72,3 +72,14 @@ def test_rebalance_only_when_under_partitioned(spark):
     assert sorted(r[0] for r in spread.collect()) == list(range(1000))  # nothing lost or duplicated
     many = spark.range(1000).repartition(6)
     assert rebalance(many, min_partitions=4) is many  # no extra shuffle
+
+
+def test_xxhash_split_is_deterministic_and_near_fraction(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    tr, te = hash_split(orders, "o_orderkey", 0.8, method="xxhash64")
+    n, a = orders.count(), tr.count()
+    assert a + te.count() == n and abs(a / n - 0.8) < 0.05
+    again = orders.repartition(3).where(hash_split_flag("o_orderkey", 0.8, "xxhash64")).count()
+    assert again == a
+    with pytest.raises(ValueError):
+        hash_split_flag("o_orderkey", 0.8, "sha1")
