@@ -63,6 +63,7 @@ def split_fit_confusion(spark, sf_dir):
 TRAINING = [
     "train_eval_end_to_end",
     "dt_classifier_depth5",
+    "dt_classifier_defaults",
     "dt_classifier_separable",
     "dt_regressor_stump",
 ]

@@ -231,6 +231,13 @@ def dt_classifier_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", *fx.FEATURES])
 
 
+def dt_classifier_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 with the learner's defaults (depth 5, 32 bins, gini) on coded columns."""
+    model = fx.fitted(spark, sf_dir, "classifier", fx.DEFAULTS, label_kind="coded")
+    scored = fx.scored_test(spark, sf_dir, model, label_kind="coded")
+    return rounded_pairs(scored, fx.LABEL, keep=["l_orderkey", "l_linenumber", "l_discount", "l_tax"])
+
+
 def _regressor_output(scored: DataFrame) -> DataFrame:
     return scored.groupBy(
         F.round("prediction", 6).alias("prediction"), F.col(fx.LABEL).alias("label")
@@ -261,6 +268,12 @@ def dt_regressor_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressor_output(fx.scored_test(spark, sf_dir, model))
 
 
+def dt_regressor_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 with the learner's defaults (depth 5, 32 bins, variance): raw scores."""
+    model = fx.fitted(spark, sf_dir, "regressor", fx.DEFAULTS, label_kind="coded")
+    return _regressor_output(fx.scored_test(spark, sf_dir, model, label_kind="coded"))
+
+
 def predict_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-3: class probabilities of the stump's leaves."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
@@ -502,10 +515,12 @@ QUERIES: dict[str, Query] = {
     "dt_classifier_separable": dt_classifier_separable,
     "dt_classifier_depth2": dt_classifier_depth2,
     "dt_classifier_depth5": dt_classifier_depth5,
+    "dt_classifier_defaults": dt_classifier_defaults,
     "dt_regressor_mean": dt_regressor_mean,
     "dt_regressor_stump": dt_regressor_stump,
     "dt_regressor_depth2": dt_regressor_depth2,
     "dt_regressor_depth5": dt_regressor_depth5,
+    "dt_regressor_defaults": dt_regressor_defaults,
     "predict_probability": predict_probability,
     "model_roundtrip": model_roundtrip,
     "model_roundtrip_regressor": model_roundtrip_regressor,

@@ -19,6 +19,9 @@ from riskloom.sources.table import rebalance
 from riskloom.specs import DIABETES, DatasetSpec, TreeParams, _schema, register
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
+# few-valued columns only (7, 11 and 9 distinct values): exact under the
+# learner's default 32 bins
+CODED_FEATURES = ["l_linenumber", "l_discount", "l_tax"]
 LABEL = "risk"
 KEY = "l_orderkey"
 TRAIN_FRACTION = 0.8
@@ -27,6 +30,7 @@ STUMP = TreeParams(max_depth=1, max_bins=64, seed=42)
 MAJORITY = TreeParams(max_depth=0, max_bins=64, seed=42)
 DEPTH2 = TreeParams(max_depth=2, max_bins=64, seed=42)
 DEEP = TreeParams(max_depth=5, max_bins=64, seed=42)
+DEFAULTS = TreeParams(seed=42)  # the learner's defaults: depth 5, 32 bins
 
 LINEITEM_RISK = register(
     DatasetSpec(
@@ -49,6 +53,21 @@ def separable_label(quantity: str = "l_quantity") -> Column:
     return (F.col(quantity) > 17).cast("int")
 
 
+def coded_label() -> Column:
+    """A label from line number, discount and tax codes plus the order key."""
+    d = F.floor(F.col("l_discount") * 100 + 0.5)
+    t = F.floor(F.col("l_tax") * 100 + 0.5)
+    return ((d + t * 2 + F.col("l_linenumber") + F.col(KEY) % 4) > 14).cast("int")
+
+
+# label kind -> (label column, feature columns)
+LABELS = {
+    "risk": (risk_label, FEATURES),
+    "separable": (separable_label, FEATURES),
+    "coded": (coded_label, CODED_FEATURES),
+}
+
+
 def lineitem_risk(
     spark: SparkSession, sf_dir: str, label: Column | None = None, balanced: bool = True
 ) -> DataFrame:
@@ -58,13 +77,12 @@ def lineitem_risk(
     spreads an under-partitioned scan before heavy per-row work (a fit);
     a light pass (predicting with a small tree) is cheaper without it.
     """
-    li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(KEY, "l_linenumber", *FEATURES)
+    cols = [KEY, "l_linenumber", *FEATURES]
+    li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(*cols)
     if balanced:
         li = rebalance(li)
     return li.select(
-        KEY,
-        "l_linenumber",
-        *FEATURES,
+        *cols,
         (label if label is not None else risk_label()).alias(LABEL),
         hash_split_flag(KEY, TRAIN_FRACTION).alias("is_train"),
     )
@@ -80,15 +98,15 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str, params: TreeParams, labe
     """
     key = (session_key(spark), sf_dir, kind, params, label_kind)
     if key not in _MODELS:
-        label = separable_label() if label_kind == "separable" else risk_label()
-        train = lineitem_risk(spark, sf_dir, label).where(F.col("is_train"))
-        vec = assemble(train, FEATURES, keep=[LABEL])
+        label, features = LABELS[label_kind]
+        train = lineitem_risk(spark, sf_dir, label()).where(F.col("is_train"))
+        vec = assemble(train, features, keep=[LABEL])
         _MODELS[key] = fit_tree(vec, kind, LABEL, params)
     return _MODELS[key]
 
 
 def scored_test(spark: SparkSession, sf_dir: str, model, label_kind: str = "risk") -> DataFrame:
     """The test side of the split with the model's output columns."""
-    label = separable_label() if label_kind == "separable" else risk_label()
-    test = lineitem_risk(spark, sf_dir, label, balanced=False).where(~F.col("is_train"))
-    return model.transform(assemble(test, FEATURES))
+    label, features = LABELS[label_kind]
+    test = lineitem_risk(spark, sf_dir, label(), balanced=False).where(~F.col("is_train"))
+    return model.transform(assemble(test, features))

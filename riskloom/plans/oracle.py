@@ -23,6 +23,12 @@ from riskloom.specs import (
 Q = "CAST(trunc(l_quantity) AS BIGINT)"
 RISK = f"CAST(((({Q} * 7 + l_orderkey * 13) % 50) + {Q}) > 40 AS INTEGER)"
 SEPARABLE = "CAST(l_quantity > 17 AS INTEGER)"
+CODED = (
+    "CAST((CAST(floor(l_discount * 100 + 0.5) AS BIGINT) + CAST(floor(l_tax * 100 + 0.5) AS BIGINT) * 2"
+    " + l_linenumber + l_orderkey % 4) > 14 AS INTEGER)"
+)
+FEATURES = ("l_quantity", "l_discount", "l_tax")
+CODED_FEATURES = ("l_linenumber", "l_discount", "l_tax")
 IS_TRAIN = "substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 4) < 'cccc'"
 
 
@@ -148,7 +154,9 @@ def _variance(n: str, p: str) -> str:
     return f"(({p} - ({p} * {p}) / {n}) / {n})"
 
 
-def _levels_ctes(depth: int, label: str = RISK, impurity: str = "gini") -> str:
+def _levels_ctes(
+    depth: int, label: str = RISK, impurity: str = "gini", features: tuple[str, ...] = FEATURES
+) -> str:
     """A tree of any depth (gini classifier or variance regressor), grown
     level by level in SQL.
 
@@ -162,7 +170,20 @@ def _levels_ctes(depth: int, label: str = RISK, impurity: str = "gini") -> str:
     change predictions.
     """
     imp = {"gini": _gini, "variance": _variance}[impurity]
-    x = "CASE {f} WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END"
+    cases = " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(features))
+    x = "CASE {f} " + cases + " END"
+    fcols = ", ".join(features)
+    rcols = ", ".join(f"r.{c}" for c in features)
+    distinct = "\n      UNION ".join(
+        f"SELECT DISTINCT {i} AS f, CAST({c} AS DOUBLE) AS v FROM base WHERE is_train" for i, c in enumerate(features)
+    )
+
+    def unpivot(k: int) -> str:
+        return "\n    UNION ALL ".join(
+            f"SELECT node, {i} AS f, CAST({c} AS DOUBLE) AS v, risk FROM r{k} WHERE NOT done"
+            for i, c in enumerate(features)
+        )
+
     parts = [
         f"""
 base AS (
@@ -172,11 +193,9 @@ base AS (
 gthr AS (
   SELECT f, (v + nv) / 2.0 AS thr FROM (
     SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM (
-      SELECT DISTINCT 0 AS f, l_quantity AS v FROM base WHERE is_train
-      UNION SELECT DISTINCT 1 AS f, l_discount AS v FROM base WHERE is_train
-      UNION SELECT DISTINCT 2 AS f, l_tax AS v FROM base WHERE is_train))
+      {distinct}))
   WHERE nv IS NOT NULL),
-r0 AS (SELECT l_quantity, l_discount, l_tax, risk, 1 AS node, false AS done FROM base WHERE is_train),
+r0 AS (SELECT {fcols}, risk, 1 AS node, false AS done FROM base WHERE is_train),
 e0 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, risk, 1 AS node FROM base WHERE NOT is_train)"""
     ]
     for k in range(depth):
@@ -184,9 +203,7 @@ e0 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, risk, 1 A
             f"""
 cnt{k} AS (
   SELECT node, f, v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(risk) AS DOUBLE) AS p FROM (
-    SELECT node, 0 AS f, l_quantity AS v, risk FROM r{k} WHERE NOT done
-    UNION ALL SELECT node, 1 AS f, l_discount AS v, risk FROM r{k} WHERE NOT done
-    UNION ALL SELECT node, 2 AS f, l_tax AS v, risk FROM r{k} WHERE NOT done)
+    {unpivot(k)})
   GROUP BY node, f, v),
 tot{k} AS (
   SELECT node, CAST(count(*) AS DOUBLE) AS tn, CAST(sum(risk) AS DOUBLE) AS tp FROM r{k} WHERE NOT done GROUP BY node),
@@ -205,7 +222,7 @@ split{k} AS (
     SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, thr) AS rk FROM gain{k})
   WHERE rk = 1 AND gain > 0),
 r{k + 1} AS (
-  SELECT r.l_quantity, r.l_discount, r.l_tax, r.risk,
+  SELECT {rcols}, r.risk,
          CASE WHEN s.node IS NULL THEN r.node
               ELSE 2 * r.node + CASE WHEN {x.format(f="s.f")} <= s.thr THEN 0 ELSE 1 END END AS node,
          s.node IS NULL AS done
@@ -359,6 +376,13 @@ FROM orders""",
             _levels_ctes(5),
             "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, prediction, risk AS label FROM grown",
         ),
+        "dt_classifier_defaults": _with(
+            _levels_ctes(5, CODED, features=CODED_FEATURES),
+            "SELECT l_orderkey, l_linenumber, l_discount, l_tax, prediction, risk AS label FROM grown",
+        ),
+        "dt_regressor_defaults": _with(
+            _levels_ctes(5, CODED, impurity="variance", features=CODED_FEATURES), REG_OUT.format(src="grown")
+        ),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),
