@@ -62,6 +62,8 @@ def split_fit_confusion(spark, sf_dir):
 
 TRAINING = [
     "train_eval_end_to_end",
+    "train_eval_diabetes",
+    "train_eval_heart",
     "dt_classifier_depth5",
     "dt_classifier_defaults",
     "dt_classifier_separable",

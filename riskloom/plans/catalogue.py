@@ -32,6 +32,7 @@ from riskloom.operators.prepare import (
     view_filter,
 )
 from riskloom.operators.score import parse_requests, rounded_pairs, score_requests, score_typed
+from riskloom.plans import clinical
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
 from riskloom.session import shared_path, table_path
@@ -497,8 +498,46 @@ def train_eval_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.metrics
 
 
+def _train_eval_clinical(spark: SparkSession, sf_dir: str, spec, rows, kind: str = "classifier") -> DataFrame:
+    """The reference's training flow on a clinical schema, learner defaults
+    (depth 5, 32 bins): ingest -> store -> split -> fit -> save -> export ->
+    metrics."""
+    src = rows(_table(spark, sf_dir, "orders"))
+    data = ingest(spark, spec, src, shared_path(spark, f"store-{spec.name}"), keep=[clinical.KEY])
+    res = train(
+        spark,
+        spec,
+        rebalance(data),
+        split_key=clinical.KEY,
+        model_path=shared_path(spark, f"model-{spec.name}-{kind}"),
+        predictions_path=shared_path(spark, f"predictions-{spec.name}-{kind}"),
+        kind=kind,
+        params=fx.DEFAULTS,
+    )
+    return res.metrics
+
+
+def train_eval_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 on the diabetes schema (8 features), classification tree."""
+    return _train_eval_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows)
+
+
+def train_eval_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 on the heart schema (13 features), classification tree."""
+    return _train_eval_clinical(spark, sf_dir, HEART, clinical.heart_rows)
+
+
+def train_eval_diabetes_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offline trainer's path: regression tree, raw scores exported,
+    metrics on their half-even rounding."""
+    return _train_eval_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows, kind="regressor")
+
+
 QUERIES: dict[str, Query] = {
     "train_eval_end_to_end": train_eval_end_to_end,
+    "train_eval_diabetes": train_eval_diabetes,
+    "train_eval_heart": train_eval_heart,
+    "train_eval_diabetes_regressor": train_eval_diabetes_regressor,
     "scan_csv_typed": scan_csv_typed,
     "scan_csv_malformed": scan_csv_malformed,
     "scan_csv_infer": scan_csv_infer,

@@ -11,6 +11,7 @@ positive share is above one half, a regressor leaf predicts its mean.
 
 from __future__ import annotations
 
+from riskloom.plans.clinical import DIABETES_SQL, HEART_SQL
 from riskloom.specs import (
     COLOUR_NEGATIVE,
     COLOUR_POSITIVE,
@@ -154,8 +155,19 @@ def _variance(n: str, p: str) -> str:
     return f"(({p} - ({p} * {p}) / {n}) / {n})"
 
 
+def _lineitem_base(label: str) -> str:
+    return f"""SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+         {label} AS risk, {IS_TRAIN} AS is_train
+  FROM lineitem"""
+
+
 def _levels_ctes(
-    depth: int, label: str = RISK, impurity: str = "gini", features: tuple[str, ...] = FEATURES
+    depth: int,
+    label: str = RISK,
+    impurity: str = "gini",
+    features: tuple[str, ...] = FEATURES,
+    base: str | None = None,
+    carry: tuple[str, ...] = ("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"),
 ) -> str:
     """A tree of any depth (gini classifier or variance regressor), grown
     level by level in SQL.
@@ -184,19 +196,20 @@ def _levels_ctes(
             for i, c in enumerate(features)
         )
 
+    base = base or _lineitem_base(label)
+    ccols = ", ".join(carry)
+    ecols = ", ".join(f"e.{c}" for c in carry)
     parts = [
         f"""
 base AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
-         {label} AS risk, {IS_TRAIN} AS is_train
-  FROM lineitem),
+  {base}),
 gthr AS (
   SELECT f, (v + nv) / 2.0 AS thr FROM (
     SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM (
       {distinct}))
   WHERE nv IS NOT NULL),
 r0 AS (SELECT {fcols}, risk, 1 AS node, false AS done FROM base WHERE is_train),
-e0 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, risk, 1 AS node FROM base WHERE NOT is_train)"""
+e0 AS (SELECT {ccols}, risk, 1 AS node FROM base WHERE NOT is_train)"""
     ]
     for k in range(depth):
         parts.append(
@@ -228,7 +241,7 @@ r{k + 1} AS (
          s.node IS NULL AS done
   FROM r{k} r LEFT JOIN split{k} s ON r.node = s.node AND NOT r.done),
 e{k + 1} AS (
-  SELECT e.l_orderkey, e.l_linenumber, e.l_quantity, e.l_discount, e.l_tax, e.risk,
+  SELECT {ecols}, e.risk,
          CASE WHEN s.node IS NULL THEN e.node
               ELSE 2 * e.node + CASE WHEN {x.format(f="s.f")} <= s.thr THEN 0 ELSE 1 END END AS node
   FROM e{k} e LEFT JOIN split{k} s ON e.node = s.node)"""
@@ -313,6 +326,27 @@ FROM (SELECT request_id, CAST(q > 17 AS INTEGER) AS prediction
 """
 
 
+def _grown_metrics(regressor: bool = False) -> str:
+    p = "CAST(round_even(leaf_mean, 0) AS INTEGER)" if regressor else "prediction"
+    return f"""
+SELECT count(*) AS n_test,
+       CAST(sum(CASE WHEN p = risk THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       count(*) FILTER (WHERE p = 0 AND risk = 0) AS tn,
+       count(*) FILTER (WHERE p = 1 AND risk = 0) AS fp,
+       count(*) FILTER (WHERE p = 0 AND risk = 1) AS fn,
+       count(*) FILTER (WHERE p = 1 AND risk = 1) AS tp,
+       round(avg(CASE WHEN p = risk THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       CAST(ceil(avg(CASE WHEN p = risk THEN 1.0 ELSE 0.0 END) * 100) AS BIGINT) AS accuracy_percent
+FROM (SELECT risk, {p} AS p FROM grown)
+"""
+
+
+def _clinical_sql(spec, base: str, impurity: str = "gini") -> str:
+    feats = tuple(spec.features)
+    ctes = _levels_ctes(5, impurity=impurity, features=feats, base=base, carry=("o_orderkey", *feats))
+    return _with(ctes, _grown_metrics(regressor=impurity == "variance"))
+
+
 PARSE_REQUESTS = """
 SELECT o_orderkey,
   CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 17 AS INTEGER) END AS Pregnancies,
@@ -383,6 +417,9 @@ FROM orders""",
         "dt_regressor_defaults": _with(
             _levels_ctes(5, CODED, impurity="variance", features=CODED_FEATURES), REG_OUT.format(src="grown")
         ),
+        "train_eval_diabetes": _clinical_sql(DIABETES, DIABETES_SQL),
+        "train_eval_heart": _clinical_sql(HEART, HEART_SQL),
+        "train_eval_diabetes_regressor": _clinical_sql(DIABETES, DIABETES_SQL, impurity="variance"),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),
