@@ -23,7 +23,7 @@ from riskloom.functions import (
     verdict_message,
 )
 from riskloom.operators.evaluate import accuracy, accuracy_report, confusion
-from riskloom.operators.model import load_model, save_model
+from riskloom.operators.model import fit_tree, load_model, save_model
 from riskloom.operators.prepare import (
     assemble,
     cast_project,
@@ -35,7 +35,7 @@ from riskloom.operators.score import parse_requests, rounded_pairs, score_reques
 from riskloom.plans import clinical
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
-from riskloom.session import shared_path, table_path
+from riskloom.session import session_key, shared_path, table_path
 from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
 from riskloom.sources.table import read_table, rebalance, request_frame
@@ -533,6 +533,36 @@ def train_eval_diabetes_regressor(spark: SparkSession, sf_dir: str) -> DataFrame
     return _train_eval_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows, kind="regressor")
 
 
+_CLINICAL_MODELS: dict[tuple, object] = {}
+
+
+def _clinical_model(spark: SparkSession, sf_dir: str, spec, rows):
+    """Default tree on the training side of the clinical rows (fit once per session)."""
+    key = (session_key(spark), sf_dir, spec.name)
+    if key not in _CLINICAL_MODELS:
+        data = rebalance(rows(_table(spark, sf_dir, "orders")))
+        train_rows = data.where(hash_split_flag(clinical.KEY, 0.8))
+        vec = assemble(train_rows, spec.features, keep=[spec.label])
+        _CLINICAL_MODELS[key] = fit_tree(vec, "classifier", spec.label, fx.DEFAULTS)
+    return _CLINICAL_MODELS[key]
+
+
+def _score_clinical(spark: SparkSession, sf_dir: str, spec, rows) -> DataFrame:
+    model = _clinical_model(spark, sf_dir, spec, rows)
+    reqs = clinical.text_requests(rebalance(rows(_table(spark, sf_dir, "orders"))), spec)
+    return score_requests(model, reqs, spec, strict=False, keep=[clinical.KEY])
+
+
+def score_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-1 + X-3: every order as a diabetes request, scored, diabetes verdicts."""
+    return _score_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows)
+
+
+def score_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-1 + X-4: every order as a heart request, scored, heart verdicts."""
+    return _score_clinical(spark, sf_dir, HEART, clinical.heart_rows)
+
+
 QUERIES: dict[str, Query] = {
     "train_eval_end_to_end": train_eval_end_to_end,
     "train_eval_diabetes": train_eval_diabetes,
@@ -573,6 +603,8 @@ QUERIES: dict[str, Query] = {
     "score_one_record": score_one_record,
     "score_batch": score_batch,
     "score_stream": score_stream,
+    "score_diabetes": score_diabetes,
+    "score_heart": score_heart,
     "predictions_csv_roundtrip": predictions_csv_roundtrip,
     "predictions_json": predictions_json_query,
     "display_table": display_table_query,

@@ -71,6 +71,11 @@ def heart_rows(orders: DataFrame) -> DataFrame:
     return feats.withColumn("heartdisease", _flip(rule, 11))
 
 
+def text_requests(rows: DataFrame, spec) -> DataFrame:
+    """The feature columns as form-like text, keyed by order."""
+    return rows.select(KEY, *[F.col(c).cast("string").alias(c) for c in spec.features])
+
+
 # The same derivations in SQL, for the oracles.
 DIABETES_SQL = """
 SELECT o_orderkey, Pregnancies, Glucose, BloodPressure, SkinThickness, Insulin, BMI,

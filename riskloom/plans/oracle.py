@@ -168,6 +168,7 @@ def _levels_ctes(
     features: tuple[str, ...] = FEATURES,
     base: str | None = None,
     carry: tuple[str, ...] = ("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"),
+    route_all: bool = False,
 ) -> str:
     """A tree of any depth (gini classifier or variance regressor), grown
     level by level in SQL.
@@ -209,7 +210,7 @@ gthr AS (
       {distinct}))
   WHERE nv IS NOT NULL),
 r0 AS (SELECT {fcols}, risk, 1 AS node, false AS done FROM base WHERE is_train),
-e0 AS (SELECT {ccols}, risk, 1 AS node FROM base WHERE NOT is_train)"""
+e0 AS (SELECT {ccols}, risk, 1 AS node FROM base WHERE {"true" if route_all else "NOT is_train"})"""
     ]
     for k in range(depth):
         parts.append(
@@ -347,6 +348,23 @@ def _clinical_sql(spec, base: str, impurity: str = "gini") -> str:
     return _with(ctes, _grown_metrics(regressor=impurity == "variance"))
 
 
+def _clinical_score_sql(spec, base: str) -> str:
+    """Every row scored by the spec's default tree, then its verdict."""
+    feats = tuple(spec.features)
+    ctes = _levels_ctes(5, features=feats, base=base, carry=("o_orderkey", *feats), route_all=True)
+    rule = spec.verdict
+    pos = f"prediction = {rule.match_value}" if rule.match_is_positive else f"prediction <> {rule.match_value}"
+    return _with(
+        ctes,
+        f"""
+SELECT o_orderkey, false AS rejected, prediction,
+       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
+       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
+       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
+FROM grown""",
+    )
+
+
 PARSE_REQUESTS = """
 SELECT o_orderkey,
   CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 17 AS INTEGER) END AS Pregnancies,
@@ -420,6 +438,8 @@ FROM orders""",
         "train_eval_diabetes": _clinical_sql(DIABETES, DIABETES_SQL),
         "train_eval_heart": _clinical_sql(HEART, HEART_SQL),
         "train_eval_diabetes_regressor": _clinical_sql(DIABETES, DIABETES_SQL, impurity="variance"),
+        "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL),
+        "score_heart": _clinical_score_sql(HEART, HEART_SQL),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),
