@@ -553,6 +553,27 @@ def _score_clinical(spark: SparkSession, sf_dir: str, spec, rows) -> DataFrame:
     return score_requests(model, reqs, spec, strict=False, keep=[clinical.KEY])
 
 
+def _score_one_clinical(spark: SparkSession, sf_dir: str, spec, rows, forms) -> DataFrame:
+    """The single-user endpoint: form text -> typed one-row frames with the
+    placeholder label -> model loaded from disk -> rounded -> verdict."""
+    path = shared_path(spark, f"model-{spec.name}-serving")
+    save_model(_clinical_model(spark, sf_dir, spec, rows), path)
+    model = load_model(spark, path)  # class read from the saved metadata
+    typed = [(rid, *clinical.parse_form(spec, vals)) for rid, vals in forms]
+    frame = request_frame(spark, spec, typed, id_col="request_id")
+    return score_typed(model, frame, spec, keep=["request_id"])
+
+
+def score_one_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4/S-5/P-4/X-3: diabetes form submissions."""
+    return _score_one_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows, clinical.DIABETES_FORMS)
+
+
+def score_one_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4/S-5/P-4/X-4: heart form submissions."""
+    return _score_one_clinical(spark, sf_dir, HEART, clinical.heart_rows, clinical.HEART_FORMS)
+
+
 def score_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-1 + X-3: every order as a diabetes request, scored, diabetes verdicts."""
     return _score_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows)
@@ -603,6 +624,8 @@ QUERIES: dict[str, Query] = {
     "score_one_record": score_one_record,
     "score_batch": score_batch,
     "score_stream": score_stream,
+    "score_one_diabetes": score_one_diabetes,
+    "score_one_heart": score_one_heart,
     "score_diabetes": score_diabetes,
     "score_heart": score_heart,
     "predictions_csv_roundtrip": predictions_csv_roundtrip,

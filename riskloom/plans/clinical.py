@@ -76,6 +76,31 @@ def text_requests(rows: DataFrame, spec) -> DataFrame:
     return rows.select(KEY, *[F.col(c).cast("string").alias(c) for c in spec.features])
 
 
+# Form submissions for the single-record path: (request id, form values as
+# text, in the schema's feature order).
+DIABETES_FORMS = [
+    (1, ("2", "160", "70", "20", "100", "25.5", "0.45", "30")),
+    (2, ("1", "95", "64", "12", "0", "21", "0.3", "25")),
+    (3, ("13", "110", "80", "30", "250", "24", "1.1", "41")),
+    (4, ("4", "120", "88", "40", "90", "31.5", "0.2", "52")),
+]
+HEART_FORMS = [
+    (1, ("63", "1", "4", "145", "233", "1", "2", "140", "0", "2.3", "3", "0", "2")),
+    (2, ("41", "0", "2", "130", "204", "0", "0", "172", "0", "1.4", "1", "0", "3")),
+    (3, ("57", "1", "1", "120", "354", "0", "1", "163", "1", "3.6", "2", "2", "1")),
+    (4, ("54", "1", "3", "110", "239", "0", "1", "126", "1", "2.8", "2", "1", "3")),
+]
+
+
+def parse_form(spec, values) -> tuple:
+    """Form text to typed values, as the single-user endpoints do (Python
+    ``int`` / ``float``: a bad value raises)."""
+    out = []
+    for f, v in zip(spec.feature_schema.fields, values):
+        out.append(int(v) if f.dataType.simpleString() == "int" else float(v))
+    return tuple(out)
+
+
 # The same derivations in SQL, for the oracles.
 DIABETES_SQL = """
 SELECT o_orderkey, Pregnancies, Glucose, BloodPressure, SkinThickness, Insulin, BMI,

@@ -11,7 +11,7 @@ positive share is above one half, a regressor leaf predicts its mean.
 
 from __future__ import annotations
 
-from riskloom.plans.clinical import DIABETES_SQL, HEART_SQL
+from riskloom.plans.clinical import DIABETES_FORMS, DIABETES_SQL, HEART_FORMS, HEART_SQL
 from riskloom.specs import (
     COLOUR_NEGATIVE,
     COLOUR_POSITIVE,
@@ -169,6 +169,7 @@ def _levels_ctes(
     base: str | None = None,
     carry: tuple[str, ...] = ("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"),
     route_all: bool = False,
+    route: str | None = None,
 ) -> str:
     """A tree of any depth (gini classifier or variance regressor), grown
     level by level in SQL.
@@ -210,7 +211,7 @@ gthr AS (
       {distinct}))
   WHERE nv IS NOT NULL),
 r0 AS (SELECT {fcols}, risk, 1 AS node, false AS done FROM base WHERE is_train),
-e0 AS (SELECT {ccols}, risk, 1 AS node FROM base WHERE {"true" if route_all else "NOT is_train"})"""
+e0 AS ({route or f"SELECT {ccols}, risk, 1 AS node FROM base WHERE {'true' if route_all else 'NOT is_train'}"})"""
     ]
     for k in range(depth):
         parts.append(
@@ -365,6 +366,30 @@ FROM grown""",
     )
 
 
+def _clinical_one_sql(spec, base: str, forms) -> str:
+    """Literal form submissions routed through the spec's default tree."""
+    feats = tuple(spec.features)
+    types = {f.name: f.dataType.simpleString() for f in spec.feature_schema.fields}
+    rows = ", ".join(
+        "(" + ", ".join([str(rid)] + [f"CAST('{v}' AS {'INTEGER' if types[c] == 'int' else 'DOUBLE'})"
+                                      for c, v in zip(feats, vals)]) + ", 0, 1)"
+        for rid, vals in forms
+    )
+    route = f"SELECT * FROM (VALUES {rows}) AS r(request_id, {', '.join(feats)}, risk, node)"
+    ctes = _levels_ctes(5, features=feats, base=base, carry=("request_id", *feats), route=route)
+    rule = spec.verdict
+    pos = f"prediction = {rule.match_value}" if rule.match_is_positive else f"prediction <> {rule.match_value}"
+    return _with(
+        ctes,
+        f"""
+SELECT CAST(request_id AS INTEGER) AS request_id, prediction,
+       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
+       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
+       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
+FROM grown""",
+    )
+
+
 PARSE_REQUESTS = """
 SELECT o_orderkey,
   CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 17 AS INTEGER) END AS Pregnancies,
@@ -438,6 +463,8 @@ FROM orders""",
         "train_eval_diabetes": _clinical_sql(DIABETES, DIABETES_SQL),
         "train_eval_heart": _clinical_sql(HEART, HEART_SQL),
         "train_eval_diabetes_regressor": _clinical_sql(DIABETES, DIABETES_SQL, impurity="variance"),
+        "score_one_diabetes": _clinical_one_sql(DIABETES, DIABETES_SQL, DIABETES_FORMS),
+        "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_FORMS),
         "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL),
         "score_heart": _clinical_score_sql(HEART, HEART_SQL),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
