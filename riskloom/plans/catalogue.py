@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from riskloom.functions import (
     round_half_even,
@@ -574,6 +574,29 @@ def score_one_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_one_clinical(spark, sf_dir, HEART, clinical.heart_rows, clinical.HEART_FORMS)
 
 
+def score_stream_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-2 on the heart schema: every order arrives as a line of form text in
+    CSV files; the stream scores them (availableNow, checkpointed)."""
+    model = _clinical_model(spark, sf_dir, HEART, clinical.heart_rows)
+    reqs = clinical.text_requests(rebalance(clinical.heart_rows(_table(spark, sf_dir, "orders"))), HEART)
+    src = shared_path(spark, "heart-requests")
+    reqs.write.mode("overwrite").option("header", "true").csv(src)
+    schema = StructType([StructField(clinical.KEY, LongType())] +
+                        [StructField(c, StringType()) for c in HEART.features])
+    return run_scoring_stream(
+        spark,
+        HEART,
+        model,
+        src,
+        schema,
+        shared_path(spark, "heart-verdicts"),
+        shared_path(spark, "heart-ckpt"),
+        keep=[clinical.KEY],
+        timeout_s=STREAM_TIMEOUT_S,
+        fmt="csv",
+    )
+
+
 def score_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-1 + X-3: every order as a diabetes request, scored, diabetes verdicts."""
     return _score_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows)
@@ -628,6 +651,7 @@ QUERIES: dict[str, Query] = {
     "score_one_heart": score_one_heart,
     "score_diabetes": score_diabetes,
     "score_heart": score_heart,
+    "score_stream_heart": score_stream_heart,
     "predictions_csv_roundtrip": predictions_csv_roundtrip,
     "predictions_json": predictions_json_query,
     "display_table": display_table_query,

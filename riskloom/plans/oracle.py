@@ -467,6 +467,7 @@ FROM orders""",
         "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_FORMS),
         "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL),
         "score_heart": _clinical_score_sql(HEART, HEART_SQL),
+        "score_stream_heart": _clinical_score_sql(HEART, HEART_SQL),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),

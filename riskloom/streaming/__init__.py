@@ -85,11 +85,12 @@ def run_scoring_stream(
     keep: list[str] | None = None,
     strict: bool = False,
     timeout_s: float | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Process everything available now, then return the sink as a batch frame."""
     q = start_scoring_stream(
         spark, spec, model, source_path, source_schema, sink_path, checkpoint_path,
-        keep=keep, strict=strict, available_now=True,
+        keep=keep, strict=strict, available_now=True, fmt=fmt,
     )
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
