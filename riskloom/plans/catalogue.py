@@ -607,11 +607,17 @@ def score_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_clinical(spark, sf_dir, HEART, clinical.heart_rows)
 
 
+def train_eval_heart_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offline trainer's path on the heart schema (regression tree)."""
+    return _train_eval_clinical(spark, sf_dir, HEART, clinical.heart_rows, kind="regressor")
+
+
 QUERIES: dict[str, Query] = {
     "train_eval_end_to_end": train_eval_end_to_end,
     "train_eval_diabetes": train_eval_diabetes,
     "train_eval_heart": train_eval_heart,
     "train_eval_diabetes_regressor": train_eval_diabetes_regressor,
+    "train_eval_heart_regressor": train_eval_heart_regressor,
     "scan_csv_typed": scan_csv_typed,
     "scan_csv_malformed": scan_csv_malformed,
     "scan_csv_infer": scan_csv_infer,

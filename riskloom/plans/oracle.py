@@ -463,6 +463,7 @@ FROM orders""",
         "train_eval_diabetes": _clinical_sql(DIABETES, DIABETES_SQL),
         "train_eval_heart": _clinical_sql(HEART, HEART_SQL),
         "train_eval_diabetes_regressor": _clinical_sql(DIABETES, DIABETES_SQL, impurity="variance"),
+        "train_eval_heart_regressor": _clinical_sql(HEART, HEART_SQL, impurity="variance"),
         "score_one_diabetes": _clinical_one_sql(DIABETES, DIABETES_SQL, DIABETES_FORMS),
         "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_FORMS),
         "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL),
