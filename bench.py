@@ -28,7 +28,7 @@ from riskloom.operators.evaluate import accuracy, confusion  # noqa: E402
 from riskloom.operators.model import fit_tree  # noqa: E402
 from riskloom.operators.prepare import assemble  # noqa: E402
 from riskloom.operators.score import rounded_pairs  # noqa: E402
-from riskloom.plans import catalogue as cat  # noqa: E402
+from riskloom.plans.queries import QUERIES  # noqa: E402
 from riskloom.plans import fixture as fx  # noqa: E402
 from riskloom.session import build_session  # noqa: E402
 
@@ -97,7 +97,7 @@ def main() -> None:
     # on the smallest table set (not the measured data)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
-        _run(cat.QUERIES["dt_classifier_stump"](spark, warm_dir))
+        _run(QUERIES["dt_classifier_stump"](spark, warm_dir))
         fx._MODELS.clear()
 
     def timed(name, fn, fresh_models=False):
@@ -121,10 +121,10 @@ def main() -> None:
 
     # serving: the stump fitted (and timed) by split_fit_confusion is reused
     for name in SERVING + OTHER:
-        timed(name, lambda: _run(cat.QUERIES[name](spark, SF_DIR)))
+        timed(name, lambda: _run(QUERIES[name](spark, SF_DIR)))
 
     for name in TRAINING:
-        timed(name, lambda: _run(cat.QUERIES[name](spark, SF_DIR)), fresh_models=True)
+        timed(name, lambda: _run(QUERIES[name](spark, SF_DIR)), fresh_models=True)
 
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     sf = float(m.group(1)) if m else None

@@ -313,7 +313,7 @@ all_scored AS (
 
 
 def _one_record_sql() -> str:
-    from riskloom.plans.catalogue import ONE_RECORDS
+    from riskloom.plans.queries.serving import ONE_RECORDS
 
     rule = DIABETES.verdict
     values = ", ".join(f"({rid}, {float(q)})" for rid, q, _d, _t in ONE_RECORDS)

@@ -4,14 +4,14 @@ import os
 
 from conftest import SF_SMALL
 from riskloom.operators.score import score_requests
-from riskloom.plans import catalogue as cat
+from riskloom.plans.queries.serving import lineitem_requests
 from riskloom.plans import fixture as fx
 from riskloom.streaming import run_scoring_stream
 
 
 def test_stream_equals_batch_and_is_exactly_once(spark, workdir):
     model = fx.fitted(spark, SF_SMALL, "classifier", fx.STUMP)
-    reqs = cat.lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    reqs = lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
     src = os.path.join(workdir, "src")
     reqs.repartition(4).write.parquet(src)
     sink, ckpt = os.path.join(workdir, "sink"), os.path.join(workdir, "ckpt")
@@ -32,7 +32,7 @@ def test_stream_in_bounded_batches(spark, workdir):
     from riskloom.streaming import start_scoring_stream
 
     model = fx.fitted(spark, SF_SMALL, "classifier", fx.STUMP)
-    reqs = cat.lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    reqs = lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
     src = os.path.join(workdir, "src")
     reqs.repartition(4).write.parquet(src)
     sink = os.path.join(workdir, "sink")
