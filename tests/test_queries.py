@@ -26,12 +26,25 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+DUCK_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     res = con.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    # same column types on both sides
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes} == dtypes
     assert _rows(df.columns, df.collect()) == _rows(dcols, res.fetchall())
 
 
