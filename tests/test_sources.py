@@ -83,3 +83,14 @@ def test_inferred_and_text(spark, workdir):
     t = _write(os.path.join(workdir, "t.csv"), "1,2.5,3\nx,4,5\n")
     rows = [tuple(r) for r in read_text_csv(spark, t, EDGE_SCHEMA).collect()]
     assert rows == [(1, 2.5, 3), (None, 4.0, 5)]
+
+
+def test_timestamp_ntz_round_trip_keeps_microseconds(spark, workdir):
+    from conftest import SF_SMALL
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    out = os.path.join(workdir, "events")
+    events.write.option("header", "true").option("timestampNTZFormat", fmt).csv(out)
+    back = read_csv_typed(spark, out, events.schema, timestampNTZFormat=fmt)
+    assert back.exceptAll(events).count() == 0 and events.exceptAll(back).count() == 0
