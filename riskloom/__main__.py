@@ -26,8 +26,13 @@ from riskloom.specs import TreeParams, select_job
 from riskloom.streaming import start_scoring_stream
 
 
-def _text_schema(spec) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in spec.feature_schema.fields])
+def _text_schema(spec, keep: list[str] | None = None) -> StructType:
+    cols = list(keep or []) + [f.name for f in spec.feature_schema.fields]
+    return StructType([StructField(c, StringType(), True) for c in cols])
+
+
+def _keep(arg: str | None) -> list[str]:
+    return [c for c in (arg or "").split(",") if c]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -55,12 +60,15 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--model", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--strict", action="store_true")
+    s.add_argument("--keep", help="comma-separated id columns that lead each request row and are carried through")
     st = sub.choices["stream"]
     st.add_argument("--source", required=True)
     st.add_argument("--model", required=True)
     st.add_argument("--sink", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--processing-time", help="e.g. '10 seconds'; default: process what is available and stop")
+    st.add_argument("--keep", help="comma-separated id columns that lead each request row and are carried through")
+    st.add_argument("--max-files-per-trigger", type=int)
     a = ap.parse_args(argv)
 
     action = "train" if a.cmd in ("ingest", "train") else "score"
@@ -78,13 +86,16 @@ def main(argv: list[str] | None = None) -> int:
                     train_fraction=a.train_fraction, split_hash=a.split_hash)
         print(json.dumps(res.metrics.first().asDict()))
     elif a.cmd == "score":
-        reqs = read_csv_typed(spark, a.requests, _text_schema(spec))
-        score(spark, spec, reqs, a.model, strict=a.strict).write.mode("overwrite").parquet(a.out)
+        keep = _keep(a.keep)
+        reqs = read_csv_typed(spark, a.requests, _text_schema(spec, keep))
+        score(spark, spec, reqs, a.model, strict=a.strict, keep=keep).write.mode("overwrite").parquet(a.out)
     else:
         model = load_model(spark, a.model)
+        keep = _keep(a.keep)
         q = start_scoring_stream(
-            spark, spec, model, a.source, _text_schema(spec), a.sink, a.checkpoint,
+            spark, spec, model, a.source, _text_schema(spec, keep), a.sink, a.checkpoint, keep=keep,
             available_now=a.processing_time is None, processing_time=a.processing_time, fmt="csv",
+            max_files_per_trigger=a.max_files_per_trigger,
         )
         q.awaitTermination()
     return 0

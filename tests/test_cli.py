@@ -27,6 +27,16 @@ def test_cli_flow(spark, workdir, capsys):
     assert main(["score", "--dataset", "diabetes", "--requests", req_dir, "--model", model, "--out", out]) == 0
     rows = spark.read.parquet(out).collect()
     assert sorted(r.rejected for r in rows) == [False, False, True]
+    keyed = os.path.join(workdir, "keyed")
+    os.makedirs(keyed)
+    with open(os.path.join(keyed, "r.csv"), "w") as f:
+        f.write("rid,Pregnancies,Glucose,BloodPressure,SkinThickness,Insulin,BMI,DiabetesPedigreeFunction,Age\n")
+        f.write("a1,1,190,70,20,0,30.1,0.5,30\nb2,x,90,70,20,0,22.0,0.3,25\n")
+    out2 = os.path.join(workdir, "scored2")
+    assert main(["score", "--dataset", "diabetes", "--requests", keyed, "--model", model, "--out", out2,
+                 "--keep", "rid"]) == 0
+    got = {r.rid: r.rejected for r in spark.read.parquet(out2).collect()}
+    assert got == {"a1": False, "b2": True}
     sink = os.path.join(workdir, "sink")
     assert main(["stream", "--dataset", "diabetes", "--source", req_dir, "--model", model, "--sink", sink,
                  "--checkpoint", os.path.join(workdir, "ckpt")]) == 0
