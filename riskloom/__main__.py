@@ -2,7 +2,8 @@
 
     ingest  --dataset D --csv PATH [--store PATH]
     train   --dataset D [--store PATH] --model PATH --predictions PATH [--kind K]
-    score   --dataset D --requests CSV --model PATH --out PATH [--strict]
+    score   --dataset D --requests CSV --model PATH --out PATH [--strict] [--keep COLS]
+    score-one --dataset D --model PATH --values v1,v2,...
     stream  --dataset D --source DIR --model PATH --sink DIR --checkpoint DIR
 
 The session comes from the environment (``spark-submit`` / cluster config);
@@ -19,9 +20,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.operators.model import load_model
+from riskloom.operators.score import score_typed
+from riskloom.plans.clinical import parse_form
 from riskloom.plans.jobs import ingest, score, train
 from riskloom.sources.csv import read_csv_typed
-from riskloom.sources.table import read_table
+from riskloom.sources.table import read_table, request_frame
 from riskloom.specs import TreeParams, select_job
 from riskloom.streaming import start_scoring_stream
 
@@ -38,7 +41,7 @@ def _keep(arg: str | None) -> list[str]:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="riskloom")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("ingest", "train", "score", "stream"):
+    for name in ("ingest", "train", "score", "score-one", "stream"):
         p = sub.add_parser(name)
         p.add_argument("--dataset", required=True)
         p.add_argument("--format", default="parquet", help="store format")
@@ -61,6 +64,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--strict", action="store_true")
     s.add_argument("--keep", help="comma-separated id columns that lead each request row and are carried through")
+    one = sub.choices["score-one"]
+    one.add_argument("--model", required=True)
+    one.add_argument("--values", required=True, help="comma-separated form values in the schema's feature order")
     st = sub.choices["stream"]
     st.add_argument("--source", required=True)
     st.add_argument("--model", required=True)
@@ -89,6 +95,13 @@ def main(argv: list[str] | None = None) -> int:
         keep = _keep(a.keep)
         reqs = read_csv_typed(spark, a.requests, _text_schema(spec, keep))
         score(spark, spec, reqs, a.model, strict=a.strict, keep=keep).write.mode("overwrite").parquet(a.out)
+    elif a.cmd == "score-one":
+        # the single-user form: values parsed like the form handler (a bad value raises)
+        values = parse_form(spec, a.values.split(","))
+        model = load_model(spark, a.model)
+        row = score_typed(model, request_frame(spark, spec, [values]), spec).first()
+        print(json.dumps({"prediction": row.prediction, "message": row.message, "val": row.val,
+                          "colour": row.colour}))
     else:
         model = load_model(spark, a.model)
         keep = _keep(a.keep)

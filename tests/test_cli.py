@@ -37,6 +37,10 @@ def test_cli_flow(spark, workdir, capsys):
                  "--keep", "rid"]) == 0
     got = {r.rid: r.rejected for r in spark.read.parquet(out2).collect()}
     assert got == {"a1": False, "b2": True}
+    capsys.readouterr()
+    assert main(["score-one", "--dataset", "diabetes", "--model", model, "--values", "1,190,70,20,0,30.1,0.5,30"]) == 0
+    verdict = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert verdict == {"prediction": 1, "message": "person is diabetic", "val": "1", "colour": "red"}
     sink = os.path.join(workdir, "sink")
     assert main(["stream", "--dataset", "diabetes", "--source", req_dir, "--model", model, "--sink", sink,
                  "--checkpoint", os.path.join(workdir, "ckpt")]) == 0
