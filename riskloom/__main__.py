@@ -21,10 +21,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.operators.model import load_model
 from riskloom.operators.score import score_typed
-from riskloom.plans.clinical import parse_form
 from riskloom.plans.jobs import ingest, score, train
 from riskloom.sources.csv import read_csv_typed
-from riskloom.sources.table import read_table, request_frame
+from riskloom.sources.table import parse_form, read_table, request_frame
 from riskloom.specs import TreeParams, select_job
 from riskloom.streaming import start_scoring_stream
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.sources.table import parse_form  # noqa: F401 - re-exported for the queries
+
 KEY = "o_orderkey"
 
 
@@ -92,15 +94,6 @@ HEART_FORMS = [
 ]
 
 
-def parse_form(spec, values) -> tuple:
-    """Form text to typed values, as the single-user endpoints do (Python
-    ``int`` / ``float``: a bad value raises)."""
-    out = []
-    for f, v in zip(spec.feature_schema.fields, values):
-        out.append(int(v) if f.dataType.simpleString() == "int" else float(v))
-    return tuple(out)
-
-
 # The same derivations in SQL, for the oracles.
 DIABETES_SQL = """
 SELECT o_orderkey, Pregnancies, Glucose, BloodPressure, SkinThickness, Insulin, BMI,

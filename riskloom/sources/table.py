@@ -49,6 +49,17 @@ def request_frame(
     return spark.createDataFrame(rows, schema)
 
 
+def parse_form(spec: DatasetSpec, values: Sequence[str]) -> tuple:
+    """One form's text to typed feature values, as the single-user form
+    handler does (Python ``int`` / ``float``: a bad value raises)."""
+    if len(values) != len(spec.features):
+        raise ValueError(f"expected {len(spec.features)} values, got {len(values)}")
+    out = []
+    for f, v in zip(spec.feature_schema.fields, values):
+        out.append(int(v) if isinstance(f.dataType, IntegerType) else float(v))
+    return tuple(out)
+
+
 def with_placeholder_label(df: DataFrame, spec: DatasetSpec, value: int = 0) -> DataFrame:
     """Unlabelled input gets a literal label so the scoring plan has one shape."""
     return df.withColumn(spec.label, F.lit(value).cast("int"))
