@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.sources.table import parse_form  # noqa: F401 - re-exported for the queries
-
 KEY = "o_orderkey"
 
 

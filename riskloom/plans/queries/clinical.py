@@ -13,7 +13,7 @@ from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
 from riskloom.plans.queries.common import STREAM_TIMEOUT_S, read_driver_table
 from riskloom.session import session_key, shared_path
-from riskloom.sources.table import rebalance, request_frame
+from riskloom.sources.table import parse_form, rebalance, request_frame
 from riskloom.specs import DIABETES, HEART
 from riskloom.streaming import run_scoring_stream
 
@@ -84,7 +84,7 @@ def _score_one_clinical(spark: SparkSession, sf_dir: str, spec, rows, forms) ->
     path = shared_path(spark, f"model-{spec.name}-serving")
     save_model(_clinical_model(spark, sf_dir, spec, rows), path)
     model = load_model(spark, path)  # class read from the saved metadata
-    typed = [(rid, *clinical.parse_form(spec, vals)) for rid, vals in forms]
+    typed = [(rid, *parse_form(spec, vals)) for rid, vals in forms]
     frame = request_frame(spark, spec, typed, id_col="request_id")
     return score_typed(model, frame, spec, keep=["request_id"])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from riskloom.plans import clinical
+from riskloom.sources.table import parse_form
 from riskloom.specs import DIABETES, HEART
 
 
@@ -21,6 +22,6 @@ def test_schema_bins_and_labels(spark, spec, rows):
 
 
 def test_parse_form_is_strict():
-    assert clinical.parse_form(DIABETES, clinical.DIABETES_FORMS[0][1])[0] == 2
+    assert parse_form(DIABETES, clinical.DIABETES_FORMS[0][1])[0] == 2
     with pytest.raises(ValueError):
-        clinical.parse_form(DIABETES, ("2.5",) + clinical.DIABETES_FORMS[0][1][1:])
+        parse_form(DIABETES, ("2.5",) + clinical.DIABETES_FORMS[0][1][1:])
