@@ -65,12 +65,16 @@ def write_predictions_json(df: DataFrame, path: str, columns: tuple[str, ...] =
     df.select(*columns).write.mode("overwrite").json(path)
 
 
-def display_table(df: DataFrame, columns: list[str], order_col: str) -> DataFrame:
+def display_table(df: DataFrame, columns: list[str], order_col: str, preview: int | None = None) -> DataFrame:
     """String cells with the header as row 0, like a CSV re-read as text.
 
     ``order_col`` must be a deterministic 1-based row order of ``df``. Output
-    columns: ``row_no`` then ``c0``, ``c1``, ... (all strings).
+    columns: ``row_no`` then ``c0``, ``c1``, ... (all strings). ``preview``
+    keeps the first rows only (an ordered top-k: each task keeps its own
+    best rows, then they are merged), for pages over large inputs.
     """
+    if preview is not None:
+        df = df.orderBy(order_col).limit(preview)
     cells = [f"c{i}" for i in range(len(columns))]
     spark = df.sparkSession
     header = spark.createDataFrame(
