@@ -23,8 +23,8 @@ def spark():
         shuffle_partitions=8,
         extra_conf={
             "spark.driver.memory": "8g",
-            # a shared checkpoint folder, as a cluster would configure
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="riskloom-test-ckpt-"),
+            # spark.checkpoint.dir comes from the environment's Spark config;
+            # riskloom.session.shared_root picks a local one only if it is unset
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="riskloom-test-warehouse-"),
         },
     )
