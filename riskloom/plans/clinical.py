@@ -85,10 +85,10 @@ DIABETES_FORMS = [
     (4, ("4", "120", "88", "40", "90", "31.5", "0.2", "52")),
 ]
 HEART_FORMS = [
-    (1, ("63", "1", "4", "145", "233", "1", "2", "140", "0", "2.3", "3", "0", "2")),
-    (2, ("41", "0", "2", "130", "204", "0", "0", "172", "0", "1.4", "1", "0", "3")),
-    (3, ("57", "1", "1", "120", "354", "0", "1", "163", "1", "3.6", "2", "2", "1")),
-    (4, ("54", "1", "3", "110", "239", "0", "1", "126", "1", "2.8", "2", "1", "3")),
+    (1, ("58", "1", "4", "140", "250", "0", "1", "130", "0", "1.2", "2", "0", "2")),
+    (2, ("44", "0", "2", "120", "210", "0", "0", "175", "0", "0.4", "1", "0", "3")),
+    (3, ("61", "1", "1", "132", "300", "1", "2", "160", "1", "3.4", "3", "2", "1")),
+    (4, ("52", "0", "3", "115", "190", "0", "1", "120", "1", "2.6", "2", "3", "2")),
 ]
 
 
