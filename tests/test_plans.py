@@ -19,8 +19,20 @@ MAP_ONLY = {"score_batch", "score_diabetes", "score_heart", "round_predictions",
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
-    return {name: summarise(plan_text(fn(spark, SF_SMALL))) for name, fn in QUERIES.items()}
+def texts(spark):
+    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in QUERIES.items()}
+
+
+@pytest.fixture(scope="module")
+def plans(texts):
+    return {name: summarise(t) for name, t in texts.items()}
+
+
+def test_grouped_counts_preaggregate_per_task(texts, plans):
+    # a hot key is reduced inside every task before any row crosses the shuffle
+    for name in ("dt_classifier_stump", "random_split_invariants", "predict_probability", "dt_regressor_depth5"):
+        assert "hashpartitioning" in plans[name]["exchanges"], name
+        assert "partial_" in texts[name], name
 
 
 def test_no_python_no_pair_joins_no_broadcast(plans):
