@@ -69,8 +69,31 @@ def main(argv: list[str]) -> None:
             f"| {name} | {', '.join(s['exchanges']) or 'none'} | {'yes' if s['broadcast'] else 'no'} | "
             f"{', '.join(s['python']) or 'none'} | {', '.join(s['bad_joins']) or 'none'} | {scans} |"
         )
+    print()
+    print(NOTES.rstrip())
     spark.stop()
 
 
+NOTES = """## Reading the table
+
+* **RoundRobinPartitioning** is `sources.rebalance`. It appears only because
+  each test table is one Parquet row group, so the scan is one task. It is
+  skipped when the scan already has at least the default parallelism, which is
+  always the case for a large table.
+* **hashpartitioning** on the tree queries is the `(prediction, label)` count,
+  or in `random_split_invariants` the per-key tag count. Each is preceded by
+  map-side partial aggregation, so a hot key is reduced inside every task
+  before the shuffle.
+* **SinglePartition** is the final merge of a global aggregate (metrics,
+  vector sums), where each task contributes one partial row. The display table
+  numbers its at most classes² rows with a single ordered window.
+* Queries that write an intermediate file (CSV round trips, store, stream
+  sink, predictions) show the plan of the read-back. The write itself is a
+  map-only job over the pruned scan.
+* `score_one_record` scans four literal request rows (`ExistingRDD`). Its
+  model is trained on the whole lineitem training split.
+"""
+
+
 if __name__ == "__main__":
     main(sys.argv[1:])
