@@ -90,8 +90,10 @@ NOTES = """## Reading the table
 * Queries that write an intermediate file (CSV round trips, store, stream
   sink, predictions) show the plan of the read-back. The write itself is a
   map-only job over the pruned scan.
-* `score_one_record` scans four literal request rows (`ExistingRDD`). Its
-  model is trained on the whole lineitem training split.
+* `score_one_record`, `score_one_diabetes` and `score_one_heart` scan four
+  literal form rows each (`ExistingRDD`). Their models are trained on whole
+  driver tables (the lineitem split, or the clinical rows derived from
+  orders).
 """
 
 
