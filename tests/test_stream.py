@@ -42,3 +42,24 @@ def test_stream_in_bounded_batches(spark, workdir):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 4  # one file per micro-batch
     assert spark.read.parquet(sink).count() == reqs.count()
+
+
+def test_running_stream_picks_up_new_files_once(spark, workdir):
+    from riskloom.streaming import start_scoring_stream
+
+    model = fx.fitted(spark, SF_SMALL, "classifier", fx.STUMP)
+    reqs = lineitem_requests(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    src, sink = os.path.join(workdir, "incoming"), os.path.join(workdir, "sink")
+    first, second = reqs.where("l_linenumber <= 3"), reqs.where("l_linenumber > 3")
+    first.write.parquet(os.path.join(src, "drop1"))
+    q = start_scoring_stream(spark, fx.LINEITEM_RISK, model, os.path.join(src, "*"), reqs.schema, sink,
+                             os.path.join(workdir, "ck"), keep=["l_orderkey", "l_linenumber"],
+                             available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert spark.read.parquet(sink).count() == first.count()
+        second.write.parquet(os.path.join(src, "drop2"))
+        q.processAllAvailable()
+        assert spark.read.parquet(sink).count() == reqs.count()
+    finally:
+        q.stop()
