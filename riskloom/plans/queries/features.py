@@ -43,7 +43,11 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_skip_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-1 handleInvalid=skip: rows with a NULL feature are dropped."""
+    """F-1 handleInvalid=skip: rows with a NULL feature are dropped.
+
+    Every order is read; the price of every 7th order is set to NULL to give
+    the assembler invalid rows, and exactly those rows must disappear.
+    """
     orders = read_driver_table(spark, sf_dir, "orders")
     holed = orders.select(
         "o_orderkey",
