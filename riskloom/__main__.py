@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--dataset", required=True)
         p.add_argument("--format", default="parquet", help="store format")
     sub.choices["ingest"].add_argument("--csv", required=True)
+    sub.choices["ingest"].add_argument("--infer-schema", action="store_true", help="infer CSV types, then cast")
     sub.choices["ingest"].add_argument("--store", help="store path; default: the dataset's catalog table")
     t = sub.choices["train"]
     t.add_argument("--store", help="store path; default: the dataset's catalog table")
@@ -81,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"riskloom-{a.cmd}").getOrCreate()
 
     if a.cmd == "ingest":
-        n = ingest(spark, spec, a.csv, a.store, a.format).count()
+        n = ingest(spark, spec, a.csv, a.store, a.format, infer_schema=a.infer_schema).count()
         print(json.dumps({"store_rows": n}))
     elif a.cmd == "train":
         data = read_table(spark, a.store, a.format, table=None if a.store else spec.table)

@@ -15,6 +15,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.session import shared_root
 from riskloom.specs import TreeParams
 
 KINDS = ("classifier", "regressor")
@@ -79,11 +80,14 @@ def fit_tree(
     data = df.select(label, features_col)
     if kind == "classifier" and num_classes is not None:
         data = with_class_count(data, label, num_classes)
+    est = estimator(kind, label, params, features_col)
+    if est.getCacheNodeIds():
+        shared_root(df.sparkSession)  # node-id checkpoints need the shared folder
     cached = persist_input and not df.is_cached
     if cached:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator(kind, label, params, features_col).fit(data)
+        return est.fit(data)
     finally:
         if cached:
             data.unpersist()

@@ -22,7 +22,7 @@ from riskloom.operators.model import fit_tree, load_model, save_model
 from riskloom.operators.prepare import assemble, cast_project, hash_split_flag
 from riskloom.operators.score import rounded_pairs, score_requests
 from riskloom.sinks import CRLF, append_table, write_predictions_csv
-from riskloom.sources.csv import read_csv_typed
+from riskloom.sources.csv import read_csv_inferred, read_csv_typed
 from riskloom.sources.table import read_table
 from riskloom.specs import DatasetSpec, TreeParams
 
@@ -37,17 +37,22 @@ def ingest(
     store_path: str | None = None,
     fmt: str = "parquet",
     keep: list[str] | None = None,
+    infer_schema: bool = False,
     **store_options: str,
 ) -> DataFrame:
     """Append the source to the store and return the whole store, typed.
 
-    ``source`` is a typed frame or a CSV path (header, spec schema). The
+    ``source`` is a typed frame or a CSV path (header; read under the spec
+    schema, or with inferred types and then cast to it when
+    ``infer_schema``, which costs an extra pass). The
     store is ``store_path`` or, when neither a path nor format options are
     given, the catalog table named by the spec. It is append-only: every run
     adds its rows again.
     """
     keep = list(keep or [])
-    if isinstance(source, str):
+    if isinstance(source, str) and infer_schema:
+        source = cast_project(read_csv_inferred(spark, source), spec.schema)
+    elif isinstance(source, str):
         source = read_csv_typed(spark, source, spec.schema)
     table = spec.table if store_path is None and not store_options else None
     append_table(source, store_path, fmt, table=table, **store_options)

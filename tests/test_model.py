@@ -166,3 +166,13 @@ def test_depth5_tree_equals_brute_force(spark, kind):
         for r in fx.scored_test(spark, SF_SMALL, model).select("l_orderkey", "prediction").collect()
     )
     assert got == want
+
+
+def test_deep_tree_uses_checkpointed_node_cache(spark):
+    from riskloom.operators.model import estimator
+
+    est = estimator("classifier", "y", TreeParams(max_depth=12))
+    assert est.getCacheNodeIds() and est.getCheckpointInterval() == 10
+    df = spark.createDataFrame([((i // 4) % 2, float(i)) for i in range(64)], "y int, x double")
+    m = fit_tree(assemble(df, ["x"], keep=["y"]), "classifier", "y", TreeParams(max_depth=12))
+    assert m.depth >= 1 and spark.sparkContext.getCheckpointDir()

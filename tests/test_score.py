@@ -71,6 +71,14 @@ def test_diabetes_ingest_train_score(spark, workdir):
     assert [(r.val, r.colour) for r in out] == [("1", "red"), ("0", "green")]
 
 
+def test_ingest_with_inferred_types(spark, workdir):
+    csv = _invented_diabetes_csv(os.path.join(workdir, "d.csv"), n=50, seed=9)
+    typed = ingest(spark, DIABETES, csv, os.path.join(workdir, "s1")).collect()
+    inferred = ingest(spark, DIABETES, csv, os.path.join(workdir, "s2"), infer_schema=True)
+    assert inferred.schema == DIABETES.schema  # whole numbers inferred as int, cast back to double
+    assert sorted(map(tuple, inferred.collect())) == sorted(map(tuple, typed))
+
+
 def test_heart_single_record_path(spark):
     rows = [(50 + i % 20, i % 2, 1 + i % 4, 120, 200 + i, i % 2, i % 3, 150, i % 2, (i % 30) / 10.0, 1 + i % 3,
              i % 4, 1 + i % 3, int(i % 4 == 0)) for i in range(200)]
