@@ -504,6 +504,17 @@ FROM lineitem""",
             "SELECT prediction, risk AS label, "
             "CAST(to_json({'prediction': prediction, 'label': risk}) AS VARCHAR) AS json FROM stump",
         ),
+        "display_preview": _with(
+            t + """, top AS (
+  SELECT l_orderkey, l_linenumber, prediction, risk AS label FROM stump
+  ORDER BY l_orderkey, l_linenumber, prediction, label LIMIT 20)""",
+            """
+SELECT CAST(0 AS BIGINT) AS row_no, 'prediction' AS c0, 'label' AS c1
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, prediction, label) AS BIGINT) AS row_no,
+       CAST(prediction AS VARCHAR) AS c0, CAST(label AS VARCHAR) AS c1
+FROM top""",
+        ),
         "display_table": _with(
             t + ", conf AS (SELECT prediction, risk AS label, count(*) AS n FROM stump GROUP BY 1, 2)",
             """

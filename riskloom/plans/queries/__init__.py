@@ -60,4 +60,5 @@ QUERIES: dict[str, Query] = {
     "predictions_csv_roundtrip": storage.predictions_csv_roundtrip,
     "predictions_json": storage.predictions_json_query,
     "display_table": storage.display_table_query,
+    "display_preview": storage.display_preview_query,
 }

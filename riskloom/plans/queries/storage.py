@@ -10,7 +10,7 @@ from riskloom.operators.prepare import cast_project
 from riskloom.plans.queries.common import PAIRS_SCHEMA, read_driver_table, write_csv
 from riskloom.plans.queries.trees import stump_pairs
 from riskloom.session import shared_path
-from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv
+from riskloom.sinks import append_table, display_preview, display_table, predictions_json, write_predictions_csv
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
 from riskloom.sources.table import read_table
 
@@ -79,6 +79,16 @@ def predictions_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(F.col("r.prediction").alias("prediction"), F.col("r.label").alias("label"), "json")
 
 
+PREVIEW_ROWS = 20  # rows on the predictions page
+
+
+def display_preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-5 page: header + the first test pairs by key (an ordered top-k)."""
+    pairs = stump_pairs(spark, sf_dir, keep=["l_orderkey", "l_linenumber"])
+    order = ["l_orderkey", "l_linenumber", "prediction", "label"]
+    return display_preview(pairs, ["prediction", "label"], order, n=PREVIEW_ROWS)
+
+
 def display_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-5: header row + string cells of the test confusion counts."""
     counts = confusion(stump_pairs(spark, sf_dir), "label")

@@ -6,7 +6,7 @@ to the driver except bounded previews.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
@@ -65,16 +65,12 @@ def write_predictions_json(df: DataFrame, path: str, columns: tuple[str, ...] =
     df.select(*columns).write.mode("overwrite").json(path)
 
 
-def display_table(df: DataFrame, columns: list[str], order_col: str, preview: int | None = None) -> DataFrame:
+def display_table(df: DataFrame, columns: list[str], order_col: str) -> DataFrame:
     """String cells with the header as row 0, like a CSV re-read as text.
 
     ``order_col`` must be a deterministic 1-based row order of ``df``. Output
-    columns: ``row_no`` then ``c0``, ``c1``, ... (all strings). ``preview``
-    keeps the first rows only (an ordered top-k: each task keeps its own
-    best rows, then they are merged), for pages over large inputs.
+    columns: ``row_no`` then ``c0``, ``c1``, ... (all strings).
     """
-    if preview is not None:
-        df = df.orderBy(order_col).limit(preview)
     cells = [f"c{i}" for i in range(len(columns))]
     spark = df.sparkSession
     header = spark.createDataFrame(
@@ -87,5 +83,17 @@ def display_table(df: DataFrame, columns: list[str], order_col: str, preview: in
     return header.unionByName(body)
 
 
+def display_preview(df: DataFrame, columns: list[str], order_by: list[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows by ``order_by`` as a display table (a page).
+
+    An ordered top-k: each task keeps its own best ``n`` rows and they are
+    merged, so only ``n`` rows per task move; the numbering window then runs
+    over those ``n`` rows only.
+    """
+    top = df.orderBy(*order_by).limit(n)
+    numbered = top.withColumn("_row", F.row_number().over(Window.orderBy(*order_by)))
+    return display_table(numbered, columns, "_row")
+
+
 def show(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)

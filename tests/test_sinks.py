@@ -37,8 +37,10 @@ def test_json_and_display(spark):
     counts = spark.createDataFrame([(0, 0, 5, 1), (1, 1, 7, 2)], "prediction int, label int, n long, r int")
     rows = sorted(tuple(r) for r in display_table(counts, ["prediction", "label", "n"], "r").collect())
     assert rows == [(0, "prediction", "label", "n"), (1, "0", "0", "5"), (2, "1", "1", "7")]
-    first = sorted(tuple(r) for r in display_table(counts, ["prediction", "label", "n"], "r", preview=1).collect())
-    assert first == [(0, "prediction", "label", "n"), (1, "0", "0", "5")]
+    from riskloom.sinks import display_preview
+
+    first = sorted(tuple(r) for r in display_preview(counts, ["prediction", "n"], ["n"], n=1).collect())
+    assert first == [(0, "prediction", "n"), (1, "0", "5")]
 
 
 def test_named_store_table_accumulates(spark, workdir):
