@@ -8,7 +8,7 @@ computed, none is collected). Training queries (``fit_*``, ``split_*``,
 ``dt_*``, ``train_*``) start from an empty model cache, so their timings
 include the fit. Serving queries (``score_*``, ``predictions_*``) use the
 stump already fitted by ``split_fit_confusion``, as a deployed model would.
-Each query runs ``BENCH_REPEATS`` times (default 2; training queries refit
+Each query runs ``BENCH_REPEATS`` times (default 3; training queries refit
 every time) and the fastest run is reported, to damp JIT and GC noise.
 """
 
@@ -34,7 +34,7 @@ from riskloom.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 
 def _run(df) -> None:
