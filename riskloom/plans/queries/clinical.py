@@ -22,12 +22,14 @@ def _train_eval_clinical(spark: SparkSession, sf_dir: str, spec, rows, kind: str
     """The reference's training flow on a clinical schema, learner defaults
     (depth 5, 32 bins): ingest -> store -> split -> fit -> save -> export ->
     metrics."""
-    src = rows(read_driver_table(spark, sf_dir, "orders"))
+    # spread before the store write: the store gets even files, written in
+    # parallel, and its read-back needs no second shuffle
+    src = rebalance(rows(read_driver_table(spark, sf_dir, "orders")))
     data = ingest(spark, spec, src, shared_path(spark, f"store-{spec.name}"), keep=[clinical.KEY])
     res = train(
         spark,
         spec,
-        rebalance(data),
+        data,
         split_key=clinical.KEY,
         model_path=shared_path(spark, f"model-{spec.name}-{kind}"),
         predictions_path=shared_path(spark, f"predictions-{spec.name}-{kind}"),
