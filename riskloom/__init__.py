@@ -6,7 +6,8 @@ sources    typed / inferred / text CSV scans, store tables, request frames
 sinks      append store, predictions CSV / JSON, display table
 functions  scalar column expressions (parsing, rounding, verdicts, percent)
 operators  cast projection, assembling, splitting, tree fit / predict, metrics
-plans      end-to-end jobs (ingest, train, score) and the query catalogue
+plans      end-to-end jobs (ingest, train, score), the lineitem and clinical
+           fixtures, the query catalogue (plans.queries) and its SQL oracles
 streaming  Structured Streaming scoring
 """
 
