@@ -56,3 +56,14 @@ def test_cli_train_regressor_writes_raw_scores(spark, workdir, capsys):
                  "--predictions", pred, "--kind", "regressor"]) == 0
     vals = {float(r.prediction) for r in spark.read.option("header", "true").csv(pred).collect()}
     assert any(v not in (0.0, 1.0) for v in vals)  # raw leaf means, not rounded
+
+
+def test_cli_ingest_infer_schema(spark, workdir, capsys):
+    csv = _invented_diabetes_csv(os.path.join(workdir, "d.csv"), n=40, seed=2)
+    store = os.path.join(workdir, "store")
+    assert main(["ingest", "--dataset", "diabetes", "--csv", csv, "--store", store, "--infer-schema"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"store_rows": 40}
+    from riskloom.specs import DIABETES
+
+    stored = spark.read.parquet(store)
+    assert [f.name for f in stored.schema.fields] == [f.name for f in DIABETES.schema.fields]

@@ -55,3 +55,13 @@ def test_named_store_table_accumulates(spark, workdir):
     out = ingest(spark, spec, df)
     assert out.count() == 4
     assert out.columns == [f.name for f in HEART.schema.fields]  # store-added column dropped
+
+
+def test_predictions_json_files(spark, workdir):
+    from riskloom.sinks import write_predictions_json
+
+    df = spark.createDataFrame([(1, 0), (0, 0)], "prediction int, label int")
+    out = os.path.join(workdir, "json")
+    write_predictions_json(df, out)
+    back = spark.read.schema("prediction int, label int").json(out)
+    assert sorted(map(tuple, back.collect())) == [(0, 0), (1, 0)]
