@@ -43,11 +43,11 @@ def ingest(
     """Append the source to the store and return the whole store, typed.
 
     ``source`` is a typed frame or a CSV path (header; read under the spec
-    schema, or with inferred types and then cast to it when
-    ``infer_schema``, which costs an extra pass). The
-    store is ``store_path`` or, when neither a path nor format options are
-    given, the catalog table named by the spec. It is append-only: every run
-    adds its rows again.
+    schema, or with inferred types and then cast to it by name when
+    ``infer_schema``, which costs an extra pass). The store is
+    ``store_path`` or, when neither a path nor format options are given, the
+    catalog table named by the spec. It is append-only: every run adds its
+    rows again.
     """
     keep = list(keep or [])
     if isinstance(source, str) and infer_schema:
