@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--seed", type=int, default=42)
     t.add_argument("--train-fraction", type=float, default=0.8)
     t.add_argument("--split-hash", choices=("md5", "xxhash64"), default="md5")
+    t.add_argument("--overwrite", action="store_true", help="replace an existing model instead of failing")
     s = sub.choices["score"]
     s.add_argument("--requests", required=True, help="CSV with header, one column per feature")
     s.add_argument("--model", required=True)
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         key = a.split_key.split(",") if a.split_key else [f.name for f in spec.schema.fields]
         params = TreeParams(max_depth=a.max_depth, max_bins=a.max_bins, seed=a.seed)
         res = train(spark, spec, data, key, a.model, a.predictions, kind=a.kind, params=params,
-                    train_fraction=a.train_fraction, split_hash=a.split_hash)
+                    train_fraction=a.train_fraction, split_hash=a.split_hash, overwrite=a.overwrite)
         print(json.dumps(res.metrics.first().asDict()))
     elif a.cmd == "score":
         keep = _keep(a.keep)

@@ -109,11 +109,14 @@ def train(
     kind: str | None = None,
     params: TreeParams | None = None,
     train_fraction: float = 0.8,
-    overwrite: bool = True,
+    overwrite: bool = False,
     keep: list[str] | None = None,
     split_hash: str = "md5",
 ) -> TrainResult:
-    """Fit on the training side of a hash split, evaluate on the other side."""
+    """Fit on the training side of a hash split, evaluate on the other side.
+
+    Saving the model fails if ``model_path`` exists unless ``overwrite``.
+    """
     kind = kind or spec.model_kind
     params = params or spec.params
     keep = list(keep or [])

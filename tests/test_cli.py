@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from riskloom.__main__ import main
 from test_score import _invented_diabetes_csv
 
@@ -18,6 +20,9 @@ def test_cli_flow(spark, workdir, capsys):
                  "--predictions", os.path.join(workdir, "pred")]) == 0
     metrics = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert metrics["n_test"] == metrics["tn"] + metrics["fp"] + metrics["fn"] + metrics["tp"]
+    with pytest.raises(Exception):  # the model exists: a second batch run fails without --overwrite
+        main(["train", "--dataset", "diabetes", "--store", store, "--model", model])
+    assert main(["train", "--dataset", "diabetes", "--store", store, "--model", model, "--overwrite"]) == 0
     req_dir = os.path.join(workdir, "requests")
     os.makedirs(req_dir)
     with open(os.path.join(req_dir, "r1.csv"), "w") as f:
