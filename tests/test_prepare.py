@@ -83,3 +83,15 @@ def test_xxhash_split_is_deterministic_and_near_fraction(spark):
     assert again == a
     with pytest.raises(ValueError):
         hash_split_flag("o_orderkey", 0.8, "sha1")
+
+
+def test_view_filter_equals_dataframe_where(spark):
+    from pyspark.sql import functions as F
+
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    via_sql = view_filter(spark, cust, "t_customer2", "c_acctbal < 20")
+    via_df = cust.where(F.col("c_acctbal") < F.lit(20))
+    assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, via_df.collect()))
+    pushed = [p for p in (via_sql, via_df)
+              if "LessThan(c_acctbal,20" in p._jdf.queryExecution().executedPlan().toString()]
+    assert len(pushed) == 2
