@@ -67,3 +67,24 @@ def test_empty_test_set_metrics(spark):
     assert m.n_test == 0 and m.n_correct == 0
     assert m.accuracy is None and m.accuracy_percent is None
     assert not (isinstance(m.accuracy, float) and math.isnan(m.accuracy))
+
+
+def test_hot_key_split_and_counts(spark):
+    """One key holds a third of all rows: splits keep it whole, counts stay exact."""
+    from riskloom.operators.evaluate import confusion
+    from riskloom.operators.prepare import hash_split_flag
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") % 2).cast("double").alias("prediction"),
+        (F.col("id") % 5 == 0).cast("int").alias("label"),
+    ).repartition(8)
+    flagged = df.withColumn("t", hash_split_flag("k", 0.8))
+    sides = flagged.where(F.col("k") == 0).groupBy("t").count().collect()
+    assert len(sides) == 1 and sides[0]["count"] == n // 3  # the hot key sits on one side, whole
+    got = {(r.prediction, r.label): r.n for r in confusion(df, "label").collect()}
+    assert sum(got.values()) == n
+    assert got[(1.0, 1)] == len([i for i in range(n) if i % 2 == 1 and i % 5 == 0])
+    plan = confusion(df, "label")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
