@@ -1,12 +1,16 @@
 """DuckDB SQL oracles for the query catalogue.
 
 Each string computes, from the raw driver tables, what the Spark query
-returns. The tree oracles grow depth-0, 1 and 2 trees in SQL: per feature,
-candidate thresholds are midpoints of neighbouring distinct training values,
-the split with the lowest weighted impurity wins (gini; for the regressor the
-sum of squared errors, which orders splits identically on a 0/1 label),
-rows go left when ``x <= threshold``, a classifier leaf predicts 1 when its
-positive share is above one half, a regressor leaf predicts its mean.
+returns. The tree oracles grow trees in SQL: per feature, candidate
+thresholds are midpoints of neighbouring distinct training values, rows go
+left when ``x <= threshold``, a classifier leaf predicts 1 when its positive
+share is above one half, a regressor leaf predicts its mean. The stump and
+depth-2 trees are written out by hand (lowest weighted gini wins; for the
+regressor the sum of squared errors orders splits identically on a 0/1
+label). ``_levels_ctes`` grows a tree of any depth level by level with the
+learner's own gain formulas and tie order; it serves the depth-5 and
+default-parameter queries and the clinical flows, whose rows come from the
+same derivations as ``plans/clinical.py``.
 """
 
 from __future__ import annotations
