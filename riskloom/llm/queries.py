@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import mixing
+from riskloom.llm import mixing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": mixing.op6_source_mix,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_substring_dedup": substring_dedup.ORACLE,
+}
