@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import mixing, substring_dedup
+from riskloom.llm import mixing, near_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": mixing.op6_source_mix,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_near_dedup": near_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
