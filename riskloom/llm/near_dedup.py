@@ -233,6 +233,8 @@ class _Search:
     def settle(self, pairs: DataFrame) -> None:
         """Test the hopeful ones among ``pairs`` until none of them joins two components."""
         pairs = staged(hopeful(pairs, self.reps), "near-hopeful")
+        if pairs.isEmpty():
+            return
         texts, most = None, 1
         while True:
             open_ = self.labelled(self.labelled(pairs, "u", "cu"), "v", "cv").where("cu <> cv")
@@ -264,12 +266,10 @@ class _Search:
             order = W.partitionBy("key").orderBy("node")
             lead = left.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= done + leaders).where(F.col("nth") > done)
             lead = lead.select("key", F.col("node").alias("u"), F.col("comp").alias("cu"))
-            pairs = left.join(lead, "key").where("node > u and comp <> cu").select("u", F.col("node").alias("v")).distinct()
-            pairs = staged(pairs.join(self.tested, ["u", "v"], "left_anti"), "near-pairs")
             if lead.isEmpty():
                 return
-            if not pairs.isEmpty():
-                self.settle(pairs)
+            pairs = left.join(lead, "key").where("node > u and comp <> cu").select("u", F.col("node").alias("v")).distinct()
+            self.settle(pairs.join(self.tested, ["u", "v"], "left_anti"))
             done, leaders = done + leaders, leaders * 2
 
 
