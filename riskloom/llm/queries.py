@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import mixing, near_dedup, substring_dedup
+from riskloom.llm import language_id, mixing, near_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": language_id.op1_language_id,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
