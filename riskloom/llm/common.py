@@ -110,14 +110,19 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word and the words before each text; ``lower`` folds A-Z first."""
     start, end, before = word_bounds(data, offsets)
+    return byte_hashes(data, start, end, lower), before
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each range of bytes; ranges are in order and do not overlap."""
     table = _BYTES_LOWER if lower else _BYTES
     out, at = np.empty(len(start), dtype=U64), 0
-    while at < len(start):  # pieces end between words, so memory does not follow one text's length
+    while at < len(start):  # pieces end between ranges, so memory does not follow one text's length
         stop = max(at + 1, int(np.searchsorted(end, start[at] + SLICE_BYTES, "right")))
         lo = start[at]
         out[at:stop] = _WORD.ranges(table[data[lo : end[stop - 1]]], start[at:stop] - lo, end[at:stop] - lo)
         at = stop
-    return out, before
+    return out
 
 
 def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

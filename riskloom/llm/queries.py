@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import language_id, mixing, near_dedup, substring_dedup
+from riskloom.llm import language_id, mixing, near_dedup, quality, secrets, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op4_quality_rules": quality.op4_quality_rules,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": quality.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
