@@ -52,8 +52,8 @@ def conditions() -> dict[str, Column]:
 
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("few_words", "repeated_words"),
-    "v1": ("few_words", "repeated_words", "many_symbols", "repeated_lines", "short_words", "long_words"),
-    "strict": tuple(RULE_BITS),
+    "v1": ("few_words", "repeated_words", "many_symbols", "repeated_lines", "short_words", "long_words", "some_symbols"),
+    "lenient": ("few_words", "repeated_words", "many_symbols"),
 }
 
 
@@ -203,6 +203,6 @@ WITH w AS (
     + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
     + CASE WHEN 10 * n_symbols > n_words THEN 64 ELSE 0 END AS BIGINT) AS bits FROM m
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bits & 3) <> 0 AS base_failed, (bits & 63) = 0 AS kept, n_lines, bits
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bits & 3) <> 0 AS base_failed, (bits & 127) = 0 AS kept, n_lines, bits
 FROM b
 """
