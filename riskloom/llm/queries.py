@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import language_id, mixing, near_dedup, quality, secrets, substring_dedup
+from riskloom.llm import language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op3_sentencepiece": tokens.op3_sentencepiece,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_source_mix": mixing.op6_source_mix,
