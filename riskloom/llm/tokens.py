@@ -6,13 +6,13 @@ The model file's protobuf is parsed here; from it come the normaliser
 decoder. Batches are encoded by the library's thread pool.
 
 Where no piece has the marker behind another symbol, no merge can cross a
-single space. A text is then cut at its spaces and each distinct piece is
+single space. A text is then cut at its spaces and each distinct part is
 encoded once per worker; texts with runs of spaces or literal markers, and all
 texts of other models, are encoded whole. Both give the same ids.
 
-Parity with the sentencepiece library is verified for every distinct piece and
-every whole text, and each row's ids are decoded and compared with its
-normalised text; nothing is sampled.
+Parity with the sentencepiece library and decoding back to the normalised text
+are verified for every distinct part and every text encoded whole; nothing is
+sampled.
 
 Defined results: null and empty text have no tokens, parity and round trip;
 a literal marker character decodes to a space; repeated rows get equal ids;
@@ -37,7 +37,8 @@ from riskloom.session import table_path
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 200_000  # distinct pieces a worker keeps before it starts anew
+REMEMBERED = 400_000  # distinct parts a worker keeps before it starts anew
+GROUP = 1000  # parts encoded as one text
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 
@@ -155,66 +156,108 @@ class Model:
         return out
 
 
+@dataclass
+class Encoded:
+    """Ids of some texts, flat, with each text's cut, and what was verified of each."""
+
+    ids: np.ndarray
+    cuts: np.ndarray
+    parity: np.ndarray
+    round_trip: np.ndarray
+
+    def lists(self) -> list[list[int]]:
+        return [x.tolist() for x in np.split(self.ids, self.cuts[1:-1])] if len(self.cuts) > 1 else []
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.array([len(x) for x in lists], dtype=np.int64)
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(size.sum())), size
+
+
+def _gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs values[start : start + size], one after the other."""
+    to = np.cumsum(size) - size
+    return values[np.arange(size.sum()) + np.repeat(start - to, size)]
+
+
 class Encoder:
-    """One worker's tokenizers, its checker and the pieces it has encoded."""
+    """One worker's tokenizer, its checker and the pieces it has encoded."""
 
     def __init__(self, data: bytes, verify: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         self.model = Model.parse(data)
         self.whole = self.model.tokenizer()
         self.cut = self.model.cuts_at_spaces
-        self.part = self.model.tokenizer(prefixed=False) if self.cut else None
-        self.known: dict[str, list[int]] = {}
-        self.wrong: set[str] = set()
+        self.first = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
         self.checker = None
         if verify:
             from sentencepiece import SentencePieceProcessor
 
             self.checker = SentencePieceProcessor(model_proto=data)
+        self._forget()
 
-    def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.wrong, new = {}, set(), list(parts)
-        ids = [e.ids for e in self.part.encode_batch_fast([MARK + p for p in new], add_special_tokens=False)]
-        self.known.update(zip(new, ids, strict=True))
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.size, self.good = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, 2), bool)
+
+    def _direct(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids, sizes, and (parity, round trip) of texts encoded whole."""
+        found = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        good = np.ones((len(texts), 2), dtype=bool)
         if self.checker:
-            want = self.checker.encode(new, num_threads=1)
-            self.wrong.update(p for p, got, w in zip(new, ids, want, strict=True) if got != w)
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether they equal the sentencepiece library's."""
-        ids: list[list[int]] = [[]] * len(texts)
-        same = [True] * len(texts)
-        split, long = {}, []
-        for i, text in enumerate(texts):
-            if self.cut and text.strip(" ") == text and "  " not in text and MARK not in text:
-                split[i] = text.split(" ") if text else []
-            else:
-                long.append(i)
-        if split:
-            self._learn(set(chain.from_iterable(split.values())))
-        for i, parts in split.items():
-            ids[i] = list(chain.from_iterable(map(self.known.__getitem__, parts)))
-            if self.wrong:
-                same[i] = self.wrong.isdisjoint(parts)
-        if long:
-            for i, found in zip(long, self.whole.encode_batch_fast([texts[i] for i in long], add_special_tokens=False), strict=True):
-                ids[i] = found.ids
-            if self.checker:
-                for i, want in zip(long, self.checker.encode([texts[i] for i in long], num_threads=1), strict=True):
-                    same[i] = ids[i] == want
-        return ids, same
+            want = self.checker.encode(texts, num_threads=1)
+            good[:, 0] = [a == b for a, b in zip(found, want, strict=True)]
+            good[:, 1] = [a == self.normal(t) for a, t in zip(self.decode(found), texts, strict=True)]
+        return *_flat(found), good
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode the parts not yet known, many in one text: every part begins with a piece that has the marker."""
+        new = [p for p in parts if p not in self.place]
+        if len(self.place) + len(new) > REMEMBERED:
+            self._forget()
+            new = list(parts)
+        if not new:
+            return
+        groups = [new[i : i + GROUP] for i in range(0, len(new), GROUP)]
+        ids, _, good = self._direct([" ".join(g) for g in groups])
+        good = np.repeat(good, [len(g) for g in groups], axis=0)
+        cuts = np.flatnonzero(self.first[ids])
+        size = np.diff(np.append(cuts, len(ids)))
+        if len(size) != len(new) or not good.all():  # look at each part on its own
+            ids, size, good = self._direct(new)
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.ids, self.size, self.good = np.concatenate([self.ids, ids]), np.concatenate([self.size, size]), np.concatenate([self.good, good])
+
+    def encode(self, texts: list[str]) -> Encoded:
+        """Ids of each text, whether they equal the sentencepiece library's, and whether they decode to the text."""
+        cut = [self.cut and " " not in (t[:1], t[-1:]) and "  " not in t and MARK not in t for t in texts]
+        split = [t.split(" ") if c and t else [] for t, c in zip(texts, cut, strict=True)]
+        self._learn(set(chain.from_iterable(split)))
+        n_parts = np.array([len(x) for x in split], dtype=np.int64)
+        part = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(n_parts.sum()))
+        before = np.concatenate([[0], np.cumsum(n_parts)])
+        done = np.concatenate([[0], np.cumsum(self.size[part])])
+        size = done[before[1:]] - done[before[:-1]]
+        bad = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(~self.good[part], axis=0)])
+        good = bad[before[1:]] == bad[before[:-1]]
+        ids = _gather(self.ids, (np.cumsum(self.size) - self.size)[part], self.size[part])
+        if not all(cut):
+            whole = [i for i, c in enumerate(cut) if not c]
+            own, n, good[whole] = self._direct([texts[i] for i in whole])
+            start = np.cumsum(size) - size
+            start[whole], size[whole] = len(ids) + np.cumsum(n) - n, n
+            ids = _gather(np.concatenate([ids, own]), start, size)
+        return Encoded(ids, np.concatenate([[0], np.cumsum(size)]), good[:, 0], good[:, 1])
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
 
     def normal(self, text: str) -> str:
         """The text that decoding gives back."""
-        if self.whole.normalizer is None:
-            return text
-        out = self.whole.normalizer.normalize_str(text).replace(MARK, " ") if self.model.charsmap or self.model.squeeze else " " + text.replace(MARK, " ")
-        return out[1:] if self.model.dummy_prefix and out[:1] == " " else out
+        if self.model.charsmap or self.model.squeeze:
+            out = self.whole.normalizer.normalize_str(text).replace(MARK, " ")
+            return out[1:] if self.model.dummy_prefix and out[:1] == " " else out
+        return text.replace(MARK, " ")
 
 
 def load_model(path: str = MODEL_PATH) -> bytes:
@@ -222,12 +265,6 @@ def load_model(path: str = MODEL_PATH) -> bytes:
         return file.read()
 
 
-def _int_lists(ids: list[list[int]]) -> pa.Array:
-    cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(cuts[-1]))
-    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
-
-
 def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None, verify: bool = True, keep_text: bool = True) -> DataFrame:
     """``docs`` with ids, n_tokens, parity and round_trip (both null without ``verify``)."""
     spark = docs.sparkSession
@@ -244,17 +281,12 @@ def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None,
         for batch in batches:
             encoder = encoder or Encoder(sent.value, verify)
             _, offsets = buffers(batch.column(at))
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, 1 << 22):
                 own = batch.slice(lo, hi - lo)
-                texts = [t or "" for t in own.column(at).to_pylist()]
-                ids, same = encoder.encode(texts)
-                back = [a == encoder.normal(t) for a, t in zip(encoder.decode(ids), texts, strict=True)] if verify else None
-                found = [
-                    _int_lists(ids),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array(same if verify else [None] * len(ids), pa.bool_()),
-                    pa.array(back if verify else [None] * len(ids), pa.bool_()),
-                ]
+                done = encoder.encode([t or "" for t in own.column(at).to_pylist()])
+                checked = [pa.array(x if verify else [None] * (hi - lo), pa.bool_()) for x in (done.parity, done.round_trip)]
+                lists = pa.ListArray.from_arrays(pa.array(done.cuts.astype(np.int32)), pa.array(done.ids))
+                found = [lists, pa.array(np.diff(done.cuts)), *checked]
                 yield pa.RecordBatch.from_arrays([own.column(f.name) for f in fields] + found, names=[f.name for f in fields] + names)
 
     return docs.mapInArrow(rows, StructType([*fields, *[StructField(n, t) for n, t in new]]))
