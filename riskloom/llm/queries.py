@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import ann, language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens
+from riskloom.llm import ann, html_main, language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_html_main": html_main.op8_html_main,
     "op9_ann": ann.op9_ann,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
