@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import ann, html_main, language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens
+from riskloom.llm import ann, html_main, language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_revisits": warc.op2_revisits,
     "op3_sentencepiece": tokens.op3_sentencepiece,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_secret_scan": secrets.op5_secret_scan,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_revisits": warc.ORACLE,
     "op4_quality_rules": quality.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
