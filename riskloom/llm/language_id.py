@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import U64, Rolling, small_batches, staged
+from riskloom.llm.common import U64, Rolling, buffers, slices, small_batches, staged
 from riskloom.session import table_path
 
 ORDER = 5
@@ -203,13 +203,8 @@ class Models:
             "rejected": (far | ~some).tolist(),
         }
 
-    def calibrate(self, langs: list[str], texts: list[str]) -> None:
+    def calibrate(self, bits: np.ndarray, symbols: np.ndarray, true: np.ndarray) -> None:
         """Temperature and rejection limits from labelled texts that were not learned from."""
-        if not texts or not self.langs:
-            return
-        total, symbols = self.bits(Words(texts))
-        some = symbols > 0
-        bits, symbols, true = total[some] / symbols[some, None], symbols[some], np.array([self.langs.index(x) for x in langs])[some]
         if not len(bits):
             return
         own = bits[np.arange(len(bits)), true]
@@ -243,13 +238,34 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndar
     return np.where((keys[at] == hashes)[:, None], values[at], missing)
 
 
+def _bits(rows: DataFrame, models: Models) -> DataFrame:
+    """lang, bits a symbol under each model, and symbols of ``rows`` (lang, text) that have some."""
+    sent = rows.sparkSession.sparkContext.broadcast(models)  # bounded by max_grams
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = buffers(batch.column(1))
+            for lo, hi in slices(offsets, 1 << 21):
+                total, symbols = sent.value.bits(Words(batch.column(1).slice(lo, hi - lo).to_pylist()))
+                langs = batch.column(0).slice(lo, hi - lo).to_pylist()
+                use = np.flatnonzero((symbols > 0) & np.isin(langs, sent.value.langs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([langs[i] for i in use], pa.string()), pa.array((total[use] / symbols[use, None]).tolist(), pa.list_(pa.float64())), pa.array(symbols[use])],
+                    names=["lang", "bits", "symbols"],
+                )
+
+    return rows.mapInArrow(measure, "lang string, bits array<double>, symbols long")
+
+
 def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG, max_grams: int = MAX_GRAMS) -> Models:
     """Models from labelled ``rows`` (lang, text), bounded as the module docstring says."""
     small_batches(rows.sparkSession)
     rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.lit("lang"), "text"))
     first = W.partitionBy("lang").orderBy("h")
-    sample = staged(rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang).select("lang", "text", "nth"), "lang-sample")
-    learned = sample.where("nth % 6 <> 0").select("lang", "text").repartition(8)
+    ends = rows.select("lang", "h").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang)
+    ends = ends.groupBy("lang").agg(F.max("h").alias("last"))  # a row a language; texts do not move for it
+    sample = staged(rows.join(F.broadcast(ends), "lang").where("h <= last").select("lang", "text", "h").repartition(16), "lang-sample")
+    learned = sample.where("pmod(h, 6) <> 0").select("lang", "text")
     often = W.partitionBy("lang", "ord").orderBy(F.desc("cnt"), "gram")
     counted = gram_counts(learned, order).withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= max_grams).drop("nth")
     table = counted.toArrow()  # at most max_grams rows for each language and order
@@ -259,9 +275,10 @@ def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG,
     columns |= {c: columns[c].view(U64) for c in ("gram", "ctx", "suf")}
     counts = {x: [{c: v[(which == x) & (ords == n)] for c, v in columns.items()} for n in range(1, order + 1)] for x in langs}
     models = Models([x for x in langs if len(counts[x][0]["gram"])], counts, order)
-    check = sample.where("nth % 6 = 0").limit(200_000).collect()  # a sixth of the bounded sample
-    check = [r for r in check if r["lang"] in models.langs]
-    models.calibrate([r["lang"] for r in check], [r["text"] for r in check])
+    if models.langs:
+        checked = _bits(sample.where("pmod(h, 6) = 0").select("lang", "text"), models).toArrow()  # numbers for a sixth of the sample
+        true = np.array([models.langs.index(x) for x in checked.column("lang").to_pylist()], dtype=int)
+        models.calibrate(np.array(checked.column("bits").to_pylist()).reshape(-1, len(models.langs)), checked.column("symbols").to_numpy(), true)
     return models
 
 
@@ -276,15 +293,18 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = sent.value.predict(batch.column(at).to_pylist())
-            new = [
-                pa.array(found["lang"], pa.string()),
-                pa.array(found["score"], pa.float64()),
-                pa.array(found["bits"], pa.float64()),
-                pa.array(found["symbols"], pa.int64()),
-                pa.array(found["rejected"], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "lang_pred", "score", "bits", "symbols", "rejected"])
+            _, offsets = buffers(batch.column(at))
+            for lo, hi in slices(offsets, 1 << 21):
+                own = batch.slice(lo, hi - lo)
+                found = sent.value.predict(own.column(at).to_pylist())
+                new = [
+                    pa.array(found["lang"], pa.string()),
+                    pa.array(found["score"], pa.float64()),
+                    pa.array(found["bits"], pa.float64()),
+                    pa.array(found["symbols"], pa.int64()),
+                    pa.array(found["rejected"], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays([*own.columns, *new], names=[*own.schema.names, "lang_pred", "score", "bits", "symbols", "rejected"])
 
     return docs.mapInArrow(predict, StructType([*docs.schema.fields, *spark.createDataFrame([], SCORED).schema.fields]))
 
