@@ -26,23 +26,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(near.select("a", F.col("low").alias("b"))).distinct()
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one centre and no centre points on."""
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("centre"))
+    roles = roles.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("centre")))
+    each = roles.groupBy("node").agg(F.sum("out").alias("out"), F.max("centre").alias("centre"))
+    return each.where("out > 1 or (out > 0 and centre > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v) to (node, comp): every node's component, named by its smallest node.
 
-    Edges come out as a star per component. Rows per round never exceed the
+    Edges become one star per component. Rows of a round never exceed the
     edges', and every group is a minimum, aggregated before its shuffle.
     """
     ends = edges.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).where("a <> b").distinct()
     ends = staged(ends, "star")
-    seen = _print(ends)
-    while True:
+    while not _are_stars(ends):
         ends = staged(_small_star(_large_star(ends)), "star")
-        now = _print(ends)
-        if now == seen:
-            break
-        seen = now
     return ends.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(ends.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()

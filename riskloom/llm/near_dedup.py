@@ -18,7 +18,8 @@ Jaccard similarity.
    prefix filter (two sets with the wanted similarity share one of their first
    shingles under any common order; frequent shingles come last, so a passage
    that many documents share is no key). There every member leads in turn, the
-   number of leaders doubling, until no bucket holds two components.
+   number of leaders doubling, against members of other components; size and
+   estimate sift these pairs before the rest are verified as in 4.
 
 Texts move only for documents with an open pair. Nothing is capped: the list
 of frequent shingles is bounded, but it only sets the order of step 5, which
@@ -33,6 +34,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,7 @@ PERCENT = 75
 REGISTERS = 128
 BAND = 4  # registers of 16 bits: a band is one 64-bit word
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
-HOPE = 0.5  # a pair estimated below this is over six standard errors from the threshold
+HOPE = 0.56  # a pair estimated below this is five standard errors from the threshold
 FREQUENT = 100_000  # shingles at most in the list that orders step 5
 SEND_IDS = 500_000  # ids at most that are broadcast to pick texts; beyond, a shuffled join
 
@@ -231,11 +233,11 @@ class _Search:
         return staged(found.mapInArrow(own, "node long, text string"), "near-texts")
 
     def settle(self, pairs: DataFrame) -> None:
-        """Test the hopeful ones among ``pairs`` until none of them joins two components."""
-        pairs = staged(hopeful(pairs, self.reps), "near-hopeful")
+        """Test the hopeful ``pairs`` (u, v, est) until none of them joins two components."""
+        pairs = staged(pairs, "near-hopeful")
         if pairs.isEmpty():
             return
-        texts, most = None, 1
+        texts, most = None, 2
         while True:
             open_ = self.labelled(self.labelled(pairs, "u", "cu"), "v", "cv").where("cu <> cv")
             open_ = open_.join(self.tested, ["u", "v"], "left_anti")
@@ -244,13 +246,13 @@ class _Search:
             if picks.isEmpty():
                 return
             if texts is None:
-                texts = self.texts(staged(open_.select("u", "v"), "near-open"))
+                texts = self.texts(open_.select("u", "v"))
             good = staged(verified(picks, texts).distinct(), "near-links")
-            self.tested = staged(self.tested.union(picks), "near-tested")
+            self.tested = self.tested.union(picks)
             if not good.isEmpty():
                 self.links = self.links.union(good)
                 self.labels = staged(components(self.links), "near-labels")
-            most *= 4
+            most *= 8
 
     def mixed(self, members: DataFrame) -> DataFrame:
         """Members (with comp) of the buckets that hold two components."""
@@ -258,19 +260,21 @@ class _Search:
         keys = with_comp.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
         return with_comp.join(keys, "key").select("key", "node", "comp")
 
-    def exhaust(self, members: DataFrame) -> None:
-        """Every member of a mixed bucket leads once, paired with later members of other components."""
-        done, leaders = 0, 1
-        while True:
-            left = staged(self.mixed(members), "near-mixed")
-            order = W.partitionBy("key").orderBy("node")
-            lead = left.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= done + leaders).where(F.col("nth") > done)
-            lead = lead.select("key", F.col("node").alias("u"), F.col("comp").alias("cu"))
-            if lead.isEmpty():
-                return
-            pairs = left.join(lead, "key").where("node > u and comp <> cu").select("u", F.col("node").alias("v")).distinct()
-            self.settle(pairs.join(self.tested, ["u", "v"], "left_anti"))
+    def exhaust(self, members: DataFrame, percent: int) -> None:
+        """Every member of a mixed bucket leads once, paired with later members of other components and like size."""
+        order = W.partitionBy("key").orderBy("node")
+        left = self.mixed(members).join(self.reps.select("node", "n"), "node").withColumn("nth", F.row_number().over(order))
+        left = staged(left, "near-mixed")
+        last, done, leaders, found = left.agg(F.max("nth")).first()[0] or 0, 0, 8, []
+        while done < last:
+            lead = left.where((F.col("nth") > done) & (F.col("nth") <= done + leaders))
+            lead = lead.select("key", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"), F.col("nth").alias("first"))
+            like = F.lit(100) * F.least("n", "nu") >= F.lit(percent) * F.greatest("n", "nu")
+            pairs = left.join(lead, "key").where("nth > first and comp <> cu").where(like).select("u", F.col("node").alias("v")).distinct()
+            found.append(staged(hopeful(pairs.join(self.tested, ["u", "v"], "left_anti"), self.reps), "near-later"))
             done, leaders = done + leaders, leaders * 2
+        if found:
+            self.settle(reduce(DataFrame.union, found).groupBy("u", "v").agg(F.max("est").alias("est")))
 
 
 def prefix_keys(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -286,7 +290,8 @@ def prefix_keys(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
                     found = []
                     for own in _sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]):
                         if common is not None:
-                            own = np.concatenate([own[~(often := np.isin(own, common))], own[often]])
+                            often = np.append(common, U64(0))[np.searchsorted(common, own)] == own
+                            own = np.concatenate([own[~often], own[often]])
                             own = own[: len(own) - (percent * len(own) + 99) // 100 + 1]
                         found.append(own)
                     key = np.concatenate(found) if found else np.zeros(0, U64)
@@ -296,7 +301,7 @@ def prefix_keys(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     counts = texts.mapInArrow(emit(None), "key long, node long").groupBy("key").count().where("count > 8")
     rows = counts.orderBy(F.desc("count"), "key").limit(FREQUENT).select("key").collect()  # bounded by FREQUENT
-    common = spark.sparkContext.broadcast(np.array([r["key"] for r in rows], dtype=np.int64).view(U64))
+    common = spark.sparkContext.broadcast(np.sort(np.array([r["key"] for r in rows], dtype=np.int64).view(U64)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(common.value)(batches)
@@ -320,14 +325,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = staged(rows.join(classes.select("node"), rows["row"] == classes["node"]).select("node", "doc_id", "a", "n", "sketch"), "near-reps")
 
     search = _Search(docs, reps)
-    members, stars = _shared(band_keys(reps))
-    search.settle(stars)
+    members, stars = _shared(staged(band_keys(reps), "near-bands"))
+    search.settle(hopeful(stars, reps))
     doubtful = staged(search.mixed(members).select("node").distinct(), "near-doubtful")
     if not doubtful.isEmpty():
         texts = search.texts(doubtful.select(F.col("node").alias("u"), F.col("node").alias("v")))
-        keys, stars = _shared(prefix_keys(texts, percent).distinct())
-        search.settle(stars.join(search.tested, ["u", "v"], "left_anti"))
-        search.exhaust(keys)
+        keys, stars = _shared(staged(prefix_keys(texts, percent).distinct(), "near-prefixes"))
+        search.settle(hopeful(stars.join(search.tested, ["u", "v"], "left_anti"), reps))
+        search.exhaust(keys, percent)
 
     named = rows.select("doc_id", "n", "a", "b").join(classes, ["a", "b"], "left").withColumn("node", F.when(F.col("n") > 0, F.col("node")))
     named = search.labelled(named, "node", "comp")
