@@ -1,17 +1,59 @@
-"""A training-corpus pipeline: each stage works on all that the one before kept."""
+"""A training-corpus pipeline: each stage works on all that the one before kept.
+
+language   texts whose language the models reject go
+near_dups  one document of each near-duplicate component stays
+secrets    secrets in the texts are replaced by a placeholder
+mix        documents are repeated or left out to meet their source's target
+tokens     texts become token ids
+
+Each stage takes and, but for the last, returns the columns of ``documents``;
+further columns pass through. Null or empty texts go in the first stage (no
+letter); an empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskloom.llm import language_id, mixing, near_dedup, secrets, tokens
 from riskloom.llm.common import staged
 from riskloom.session import table_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language models accept, learned from the rows that aren't held out."""
+    found = language_id.identify(docs, language_id.trained(docs))
+    return found.where(~F.col("rejected")).select(*docs.columns)
+
+
+def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document that names each near-duplicate component; of rows with equal id and text, one."""
+    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets replaced and n_chars counted anew."""
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return secrets.redact(docs).withColumn("n_chars", size)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids and counts with their checks; texts are left behind."""
+    return tokens.encode(docs, keep_text=False)
+
+
+STAGES: list[tuple[str, Stage]] = [("language", language), ("near_dups", near_dups), ("secrets", redact), ("mix", mix), ("tokens", tokenize)]
 
 #: None: the stages' language models, sketches, tokenizer and hash orders have no SQL form.
 ORACLE_SQL = None

@@ -36,6 +36,7 @@ BUCKET_BITS = 12
 CELLS = 4096  # grid over [0, 1) for the join of points with share intervals
 POINT_BITS = 48
 BLOCK_WORDS = 512
+SEED = 17
 
 
 @dataclass
@@ -51,6 +52,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_hash(id_col: str, text_col: str, source_col: str, seed: int = SEED) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), F.col(text_col))
+
+
 def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - BUCKET_BITS)
 
@@ -118,11 +123,11 @@ def mix_sources(
     share: float = 1.5,
     cap: float = 2.0,
     block_words: int = BLOCK_WORDS,
-    seed: int = 17,
+    seed: int = SEED,
 ) -> Mix:
     """Mix ``docs`` to the sources' targets; see the module docstring.
 
-    ``documents`` has doc_id, source, size, source_size, target, start (first
+    ``documents`` has doc_id, h (hash of the row), source, size, source_size, target, start (first
     word in the source's stream), taken (words, repeats counted) and
     first_slot (null if nothing is taken). ``schedule`` has slot, source,
     epoch, block, words: the order in which the mix is read.
@@ -134,7 +139,7 @@ def mix_sources(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(text).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), text).alias("h"),
+            row_hash(id_col, text_col, source_col, seed).alias("h"),
         ),
         "mix-sized",
     )
@@ -193,13 +198,26 @@ def mix_sources(
         .withColumn("hi", F.least(F.col("start") + F.col("size"), F.col("block") * n + F.coalesce("words", F.lit(0))))
         .withColumn("got", F.greatest(F.col("hi") - F.col("lo"), F.lit(0)))
     )
-    columns = ["doc_id", "source", "size", "source_size", "target", "start"]
+    columns = ["doc_id", "h", "source", "size", "source_size", "target", "start"]
     full = pieces.groupBy("sid", *columns).agg(F.sum("got").alias("taken"), F.min(F.when(F.col("got") > 0, F.col("slot"))).alias("first_slot"))
     empty = placed.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot"))
     documents = full.select(*columns, "taken", "first_slot").unionByName(empty)
     return Mix(documents, schedule.join(sources.select("sid", "source"), "sid").drop("sid"), sources)
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options: int) -> DataFrame:
+    """``docs`` as the mix reads them: each row as often as its words are taken, to the nearest whole number.
+
+    Identical rows share what they are taken together.
+    """
+    key = row_hash(id_col, text_col, source_col)
+    mix = mix_sources(docs, id_col, text_col, source_col, **options)
+    times = mix.documents.where("size > 0").groupBy("h").agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("mix_times_"))
+    keyed = docs.withColumn("mix_row_", key).dropDuplicates(["mix_row_"])
+    joined = keyed.join(times.where("mix_times_ > 0"), F.col("mix_row_") == F.col("h"))
+    return joined.withColumn("mix_nth_", F.explode(F.sequence(F.lit(1).cast("long"), "mix_times_"))).select(*[keyed[c] for c in docs.columns])
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
     return mix_sources(docs).documents.select("doc_id", "size", "source_size", "target", "taken", "source", "first_slot")
