@@ -44,12 +44,12 @@ def _run(df) -> None:
 def fit_tree_depth5(spark, sf_dir):
     """Own-start row 1: fit a depth-5, 64-bin classifier on 3 features (all train rows)."""
     train = fx.lineitem_risk(spark, sf_dir).where(F.col("is_train"))
-    return fit_tree(assemble(train, fx.FEATURES, keep=[fx.LABEL]), "classifier", fx.LABEL, fx.DEEP)
+    return fit_tree(assemble(train, fx.FEATURES, keep=[fx.LABEL]), "classifier", fx.LABEL, fx.DEEP, num_classes=2)
 
 
 def predict_accuracy(spark, sf_dir, model):
     """Own-start row 2: predict every lineitem row + accuracy."""
-    rows = fx.lineitem_risk(spark, sf_dir, balanced=False)
+    rows = fx.lineitem_risk(spark, sf_dir)
     return accuracy(model.transform(assemble(rows, fx.FEATURES)), fx.LABEL)
 
 
@@ -64,14 +64,27 @@ TRAINING = [
     "train_eval_end_to_end",
     "train_eval_diabetes",
     "train_eval_heart",
+    "train_eval_diabetes_regressor",
+    "train_eval_heart_regressor",
+    "train_eval_string_store",
+    "train_three_classes",
+    "dt_classifier_majority",
+    "dt_classifier_depth2",
     "dt_classifier_depth5",
     "dt_classifier_defaults",
     "dt_classifier_separable",
     "dt_regressor_stump",
+    "dt_regressor_depth5",
+    "dt_regressor_defaults",
+    "dt_continuous",
 ]
 SERVING = [
     "score_batch",
+    "score_batch_rejects",
+    "score_diabetes",
+    "score_heart",
     "score_stream",
+    "score_stream_heart",
     "predictions_csv_roundtrip",
 ]
 OTHER = [
@@ -135,6 +148,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": sf,
         "cpus": int(CPUS),
+        "repeats": REPEATS,
     }
     spark.stop()
     print(json.dumps(out))

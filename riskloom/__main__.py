@@ -17,22 +17,16 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.operators.model import load_model
 from riskloom.operators.score import score_typed
-from riskloom.plans.jobs import ingest, score, train
-from riskloom.sources.csv import read_csv_typed
+from riskloom.plans.jobs import SPLITS, ingest, score, train
+from riskloom.sources.csv import header_schema, read_csv_named
 from riskloom.sources.table import parse_form, read_table, request_frame
 from riskloom.specs import TreeParams, select_job
 from riskloom.streaming import start_scoring_stream
 
 
-def _text_schema(spec, keep: list[str] | None = None) -> StructType:
-    cols = list(keep or []) + [f.name for f in spec.feature_schema.fields]
-    return StructType([StructField(c, StringType(), True) for c in cols])
-
-
 def _keep(arg: str | None) -> list[str]:
     return [c for c in (arg or "").split(",") if c]
 
@@ -57,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--max-bins", type=int, default=32)
     t.add_argument("--seed", type=int, default=42)
     t.add_argument("--train-fraction", type=float, default=0.8)
+    t.add_argument("--split", choices=SPLITS, default="hash")
     t.add_argument("--split-hash", choices=("md5", "xxhash64"), default="md5")
     t.add_argument("--overwrite", action="store_true", help="replace an existing model instead of failing")
     s = sub.choices["score"]
@@ -64,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--model", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--strict", action="store_true")
-    s.add_argument("--keep", help="comma-separated id columns that lead each request row and are carried through")
+    s.add_argument("--keep", help="comma-separated id columns that are carried through")
     one = sub.choices["score-one"]
     one.add_argument("--model", required=True)
     one.add_argument("--values", required=True, help="comma-separated form values in the schema's feature order")
@@ -74,7 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--sink", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--processing-time", help="e.g. '10 seconds'; default: process what is available and stop")
-    st.add_argument("--keep", help="comma-separated id columns that lead each request row and are carried through")
+    st.add_argument("--keep", help="comma-separated id columns that are carried through")
     st.add_argument("--max-files-per-trigger", type=int)
     a = ap.parse_args(argv)
 
@@ -90,11 +85,12 @@ def main(argv: list[str] | None = None) -> int:
         key = a.split_key.split(",") if a.split_key else [f.name for f in spec.schema.fields]
         params = TreeParams(max_depth=a.max_depth, max_bins=a.max_bins, seed=a.seed)
         res = train(spark, spec, data, key, a.model, a.predictions, kind=a.kind, params=params,
-                    train_fraction=a.train_fraction, split_hash=a.split_hash, overwrite=a.overwrite)
+                    train_fraction=a.train_fraction, split_hash=a.split_hash, split=a.split, seed=a.seed,
+                    overwrite=a.overwrite)
         print(json.dumps(res.metrics.first().asDict()))
     elif a.cmd == "score":
         keep = _keep(a.keep)
-        reqs = read_csv_typed(spark, a.requests, _text_schema(spec, keep))
+        reqs = read_csv_named(spark, a.requests, [*keep, *spec.features])
         score(spark, spec, reqs, a.model, strict=a.strict, keep=keep).write.mode("overwrite").parquet(a.out)
     elif a.cmd == "score-one":
         # the single-user form: values parsed like the form handler (a bad value raises)
@@ -107,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         model = load_model(spark, a.model)
         keep = _keep(a.keep)
         q = start_scoring_stream(
-            spark, spec, model, a.source, _text_schema(spec, keep), a.sink, a.checkpoint, keep=keep,
+            spark, spec, model, a.source, header_schema(spark, a.source, [*keep, *spec.features]), a.sink, a.checkpoint, keep=keep,
             available_now=a.processing_time is None, processing_time=a.processing_time, fmt="csv",
             max_files_per_trigger=a.max_files_per_trigger,
         )

@@ -33,14 +33,21 @@ def parse_int(c: str | Column, strict: bool = True) -> Column:
     return _parse(_col(c), "int", strict)
 
 
+# decimal, exponent, infinity and not-a-number texts; a cast alone also takes '1.5f', '2d' and '0x1p3'
+_DOUBLE_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def parse_double(c: str | Column, strict: bool = True) -> Column:
-    return _parse(_col(c), "double", strict)
+    """Text to double, as strict as Python ``float``."""
+    return _parse(_col(c), "double", strict, _DOUBLE_TEXT)
 
 
-def _parse(c: Column, to: str, strict: bool) -> Column:
+def _parse(c: Column, to: str, strict: bool, pattern: str | None = None) -> Column:
     # try_cast has the same result whatever the session's ANSI setting; the
     # strict form raises on text that try_cast rejects.
     parsed = c.try_cast(to)
+    if pattern:
+        parsed = F.when(c.cast("string").rlike(pattern), parsed)
     if not strict:
         return parsed
     return F.when(

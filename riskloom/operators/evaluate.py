@@ -20,9 +20,9 @@ def correct_flag(label: str, prediction: str = "prediction"):
 
 
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """One row: share of rows whose (unrounded) prediction equals the label.
+    """One row: share of the labelled rows whose (unrounded) prediction equals the label.
 
-    NULL for an empty input.
+    Rows without a label do not count. NULL if there is no labelled row.
     """
     return df.agg(F.avg(correct_flag(label, prediction)).alias("accuracy"))
 

@@ -66,16 +66,17 @@ def fit_tree(
     label: str,
     params: TreeParams = TreeParams(),
     features_col: str = "features",
-    persist_input: bool = True,
-    num_classes: int | None = 2,
+    persist_input: bool = False,
+    num_classes: int | None = None,
 ):
     """Fit a tree on ``(label, features)``.
 
-    The learner scans its input several times (metadata, split sampling,
-    binning); ``persist_input`` keeps the narrow assembled input
-    (label + vector) on executors, spilling to disk, for the length of the fit.
-    ``num_classes`` (classifier only) declares the label domain up front;
-    ``None`` lets MLlib find it with an extra pass.
+    The learner scans its input up to three times (metadata, split sampling,
+    binning) and then keeps its own binned copy. ``persist_input`` also keeps
+    the assembled input (label + vector) on executors, spilling to disk, for
+    the length of the fit: worth it only where the scans are costly and a
+    second copy fits. ``num_classes`` (classifier only) declares the label
+    domain up front; ``None`` lets MLlib find it with an extra pass.
     """
     data = df.select(label, features_col)
     if kind == "classifier" and num_classes is not None:

@@ -68,9 +68,8 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
 
 
 def _split_key(key: str | list[str]) -> Column:
+    # never NULL, so that a row with a NULL key lands on one side too
     keys = [key] if isinstance(key, str) else list(key)
-    if len(keys) == 1:
-        return F.col(keys[0]).cast("string")
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
@@ -90,8 +89,8 @@ def hash_split_flag(key: str | list[str], train_fraction: float = 0.8, method: s
     split can be recomputed by any engine with md5. ``xxhash64``: Spark's
     64-bit hash of the key columns, about an order of magnitude cheaper per
     row, for very large inputs where only Spark needs to agree. Either way
-    the split is deterministic across runs and partitionings, and copies of
-    the same key always land on the same side.
+    the split is deterministic across runs and partitionings, copies of the
+    same key always land on the same side, and NULL keys are on one side too.
     """
     if method == "md5":
         return F.substring(F.md5(_split_key(key)), 1, 4) < F.lit(hash_threshold(train_fraction))

@@ -33,7 +33,7 @@ def parse_requests(
 
     Strict: a bad value aborts the job (the reference's ``int()``/``float()``).
     Tolerant: bad values become NULL and ``rejected`` flags the row; a
-    missing (NULL) value is also a rejection, since it cannot be scored.
+    missing (NULL) value and NaN are also rejections: they cannot be scored.
     """
     keep = list(keep or [])
     typed = []
@@ -48,7 +48,10 @@ def parse_requests(
         return out
     bad = F.lit(False)
     for f in spec.feature_schema.fields:
-        bad = bad | F.col(f.name).isNull()
+        c = F.col(f.name)
+        bad = bad | c.isNull()
+        if not isinstance(f.dataType, IntegerType):
+            bad = bad | F.coalesce(F.isnan(c), F.lit(False))
     return out.withColumn(reject_col, bad)
 
 
@@ -86,8 +89,11 @@ def score_typed(
     """Score typed requests: assemble -> predict -> round -> verdict.
 
     With ``reject_col``, rejected rows stay in the output with NULL
-    prediction and verdict (no row is dropped); valid rows are scored.
+    prediction and verdict (no row is dropped); valid rows are scored. A
+    model of another number of features than the spec's raises.
     """
+    if model.numFeatures != len(spec.features):
+        raise ValueError(f"the model has {model.numFeatures} features, {spec.name} has {len(spec.features)}")
     keep = list(keep or [])
     handle = "keep" if reject_col else "error"
     vec = assemble(typed, spec.features, "features", handle_invalid=handle)

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.model import fit_tree
 from riskloom.operators.prepare import assemble, hash_split_flag
-from riskloom.session import session_key, table_path
-from riskloom.sources.table import rebalance
-from riskloom.specs import DIABETES, DatasetSpec, TreeParams, _schema, register
+from riskloom.session import data_version, session_key, table_path
+from riskloom.specs import DIABETES, DatasetSpec, TreeParams, _schema
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 # few-valued columns only (7, 11 and 9 distinct values): exact under the
@@ -32,15 +31,14 @@ DEPTH2 = TreeParams(max_depth=2, max_bins=64, seed=42)
 DEEP = TreeParams(max_depth=5, max_bins=64, seed=42)
 DEFAULTS = TreeParams(seed=42)  # the learner's defaults: depth 5, 32 bins
 
-LINEITEM_RISK = register(
-    DatasetSpec(
-        name="lineitem_risk",
-        schema=_schema([("l_quantity", "double"), ("l_discount", "double"), ("l_tax", "double"), (LABEL, "int")]),
-        label=LABEL,
-        table="lineitem_risk",
-        verdict=DIABETES.verdict,  # 0 -> negative, anything else -> positive
-        params=STUMP,
-    )
+LINEITEM_RISK = DatasetSpec(
+    name="lineitem_risk",
+    schema=_schema([("l_quantity", "double"), ("l_discount", "double"), ("l_tax", "double"), (LABEL, "int")]),
+    label=LABEL,
+    table="lineitem_risk",
+    verdict=DIABETES.verdict,  # 0 -> negative, anything else -> positive
+    params=STUMP,
+    num_classes=2,
 )
 
 
@@ -68,19 +66,13 @@ LABELS = {
 }
 
 
-def lineitem_risk(
-    spark: SparkSession, sf_dir: str, label: Column | None = None, balanced: bool = True
-) -> DataFrame:
+def lineitem_risk(spark: SparkSession, sf_dir: str, label: Column | None = None) -> DataFrame:
     """l_orderkey, l_linenumber, features, label ``risk`` and ``is_train``.
 
-    Only the five needed columns are read from the Parquet scan. ``balanced``
-    spreads an under-partitioned scan before heavy per-row work (a fit);
-    a light pass (predicting with a small tree) is cheaper without it.
+    Only the five needed columns are read from the Parquet scan.
     """
     cols = [KEY, "l_linenumber", *FEATURES]
     li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(*cols)
-    if balanced:
-        li = rebalance(li)
     return li.select(
         *cols,
         (label if label is not None else risk_label()).alias(LABEL),
@@ -92,21 +84,22 @@ _MODELS: dict[tuple, object] = {}
 
 
 def fitted(spark: SparkSession, sf_dir: str, kind: str, params: TreeParams, label_kind: str = "risk"):
-    """Fit once per (session, data, kind, params, label) and reuse in-process.
+    """Fit once per (session, data version, kind, params, label) and reuse in-process.
 
     Each fit costs several Spark jobs; the query catalogue shares models.
     """
-    key = (session_key(spark), sf_dir, kind, params, label_kind)
+    version = data_version(spark.read.parquet(table_path(sf_dir, "lineitem")))
+    key = (session_key(spark), version, kind, params, label_kind)
     if key not in _MODELS:
         label, features = LABELS[label_kind]
         train = lineitem_risk(spark, sf_dir, label()).where(F.col("is_train"))
         vec = assemble(train, features, keep=[LABEL])
-        _MODELS[key] = fit_tree(vec, kind, LABEL, params)
+        _MODELS[key] = fit_tree(vec, kind, LABEL, params, num_classes=2)
     return _MODELS[key]
 
 
 def scored_test(spark: SparkSession, sf_dir: str, model, label_kind: str = "risk") -> DataFrame:
     """The test side of the split with the model's output columns."""
     label, features = LABELS[label_kind]
-    test = lineitem_risk(spark, sf_dir, label(), balanced=False).where(~F.col("is_train"))
+    test = lineitem_risk(spark, sf_dir, label()).where(~F.col("is_train"))
     return model.transform(assemble(test, features))

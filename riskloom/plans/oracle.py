@@ -16,14 +16,7 @@ same derivations as ``plans/clinical.py``.
 from __future__ import annotations
 
 from riskloom.plans.clinical import DIABETES_FORMS, DIABETES_SQL, HEART_FORMS, HEART_SQL
-from riskloom.specs import (
-    COLOUR_NEGATIVE,
-    COLOUR_POSITIVE,
-    DIABETES,
-    HEART,
-    VERDICT_CODE_NEGATIVE,
-    VERDICT_CODE_POSITIVE,
-)
+from riskloom.specs import DIABETES, HEART
 
 Q = "CAST(trunc(l_quantity) AS BIGINT)"
 RISK = f"CAST(((({Q} * 7 + l_orderkey * 13) % 50) + {Q}) > 40 AS INTEGER)"
@@ -272,7 +265,7 @@ CONFUSION = "SELECT prediction, risk AS label, count(*) AS n FROM {src} GROUP BY
 REG_OUT = "SELECT round(leaf_mean, 6) AS prediction, risk AS label, count(*) AS n FROM {src} GROUP BY 1, 2"
 
 STUMP_METRICS = """
-SELECT count(*) AS n_test,
+SELECT count(risk) AS n_test, count(*) FILTER (WHERE risk IS NULL) AS n_null_label,
        CAST(sum(CASE WHEN prediction = risk THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
        count(*) FILTER (WHERE prediction = 0 AND risk = 0) AS tn,
        count(*) FILTER (WHERE prediction = 1 AND risk = 0) AS fp,
@@ -284,25 +277,27 @@ FROM stump
 """
 
 
-def _verdict_sql(rule) -> str:
-    pos = f"prediction = {rule.match_value}" if rule.match_is_positive else f"prediction <> {rule.match_value}"
+# the verdict rules, spelt out: anything but 0 is diabetic, only 1 is heart disease
+DIABETES_VERDICT = """
+       CASE WHEN prediction <> 0 THEN 'person is diabetic' ELSE 'person is not diabetic' END AS message,
+       CASE WHEN prediction <> 0 THEN '1' ELSE '0' END AS val,
+       CASE WHEN prediction <> 0 THEN 'red' ELSE 'green' END AS colour"""
+HEART_VERDICT = """
+       CASE WHEN prediction = 1 THEN 'person is having heart disease' ELSE 'person is not having heart disease' END AS message,
+       CASE WHEN prediction = 1 THEN '1' ELSE '0' END AS val,
+       CASE WHEN prediction = 1 THEN 'red' ELSE 'green' END AS colour"""
+
+
+def _verdict_sql(verdict: str) -> str:
     return f"""
-SELECT l_orderkey, l_linenumber, prediction,
-       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
-       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
-       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
+SELECT l_orderkey, l_linenumber, prediction, {verdict}
 FROM (SELECT l_orderkey, l_linenumber, CAST(l_linenumber % 3 AS INTEGER) AS prediction FROM lineitem)
 """
 
 
 def _scored_requests_sql() -> str:
-    rule = DIABETES.verdict  # the lineitem risk spec uses this rule
-    pos = f"prediction <> {rule.match_value}"
     body = f"""
-SELECT l_orderkey, l_linenumber, false AS rejected, prediction,
-       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
-       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
-       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
+SELECT l_orderkey, l_linenumber, false AS rejected, prediction, {DIABETES_VERDICT}
 FROM all_scored
 """
     ctes = _tree_ctes() + """,
@@ -317,25 +312,26 @@ all_scored AS (
 
 
 def _one_record_sql() -> str:
+    """The literal requests through the tree grown from lineitem; on a
+    separable label its first split is the whole tree."""
     from riskloom.plans.queries.serving import ONE_RECORDS
 
-    rule = DIABETES.verdict
-    values = ", ".join(f"({rid}, {float(q)})" for rid, q, _d, _t in ONE_RECORDS)
-    pos = f"prediction <> {rule.match_value}"
-    return f"""
-SELECT request_id, prediction,
-       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
-       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
-       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
-FROM (SELECT request_id, CAST(q > 17 AS INTEGER) AS prediction
-      FROM (VALUES {values}) AS r(request_id, q))
-"""
+    values = ", ".join(f"({rid}, {float(q)}, {float(d)}, {float(t)})" for rid, q, d, t in ONE_RECORDS)
+    return _with(
+        _tree_ctes(SEPARABLE),
+        f"""
+SELECT request_id, prediction, {DIABETES_VERDICT}
+FROM (SELECT request_id,
+             CASE WHEN CASE f WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END <= thr THEN lpred ELSE rpred END AS prediction
+      FROM (VALUES {values}) AS r(request_id, l_quantity, l_discount, l_tax), leaf)
+""",
+    )
 
 
 def _grown_metrics(regressor: bool = False) -> str:
     p = "CAST(round_even(leaf_mean, 0) AS INTEGER)" if regressor else "prediction"
     return f"""
-SELECT count(*) AS n_test,
+SELECT count(risk) AS n_test, count(*) FILTER (WHERE risk IS NULL) AS n_null_label,
        CAST(sum(CASE WHEN p = risk THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
        count(*) FILTER (WHERE p = 0 AND risk = 0) AS tn,
        count(*) FILTER (WHERE p = 1 AND risk = 0) AS fp,
@@ -353,24 +349,26 @@ def _clinical_sql(spec, base: str, impurity: str = "gini") -> str:
     return _with(ctes, _grown_metrics(regressor=impurity == "variance"))
 
 
-def _clinical_score_sql(spec, base: str) -> str:
+def _clinical_score_sql(spec, base: str, verdict: str) -> str:
     """Every row scored by the spec's default tree, then its verdict."""
     feats = tuple(spec.features)
     ctes = _levels_ctes(5, features=feats, base=base, carry=("o_orderkey", *feats), route_all=True)
-    rule = spec.verdict
-    pos = f"prediction = {rule.match_value}" if rule.match_is_positive else f"prediction <> {rule.match_value}"
-    return _with(
-        ctes,
-        f"""
-SELECT o_orderkey, false AS rejected, prediction,
-       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
-       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
-       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
-FROM grown""",
-    )
+    return _with(ctes, f"SELECT o_orderkey, false AS rejected, prediction, {verdict} FROM grown")
+
+
+SPOILED = " OR ".join(f"o_orderkey % {n} = 0" for n in (11, 13, 17, 19, 23, 29, 31))
 
 
-def _clinical_one_sql(spec, base: str, forms) -> str:
+def _clinical_rejects_sql(spec, base: str, verdict: str) -> str:
+    """The same, but rows with a spoiled value have no prediction and no verdict."""
+    return f"""
+SELECT o_orderkey, {SPOILED} AS rejected,
+       CASE WHEN NOT ({SPOILED}) THEN prediction END AS prediction, CASE WHEN NOT ({SPOILED}) THEN message END AS message,
+       CASE WHEN NOT ({SPOILED}) THEN val END AS val, CASE WHEN NOT ({SPOILED}) THEN colour END AS colour
+FROM ({_clinical_score_sql(spec, base, verdict)})"""
+
+
+def _clinical_one_sql(spec, base: str, verdict: str, forms) -> str:
     """Literal form submissions routed through the spec's default tree."""
     feats = tuple(spec.features)
     types = {f.name: f.dataType.simpleString() for f in spec.feature_schema.fields}
@@ -381,17 +379,7 @@ def _clinical_one_sql(spec, base: str, forms) -> str:
     )
     route = f"SELECT * FROM (VALUES {rows}) AS r(request_id, {', '.join(feats)}, risk, node)"
     ctes = _levels_ctes(5, features=feats, base=base, carry=("request_id", *feats), route=route)
-    rule = spec.verdict
-    pos = f"prediction = {rule.match_value}" if rule.match_is_positive else f"prediction <> {rule.match_value}"
-    return _with(
-        ctes,
-        f"""
-SELECT CAST(request_id AS INTEGER) AS request_id, prediction,
-       CASE WHEN {pos} THEN '{rule.positive_message}' ELSE '{rule.negative_message}' END AS message,
-       CASE WHEN {pos} THEN '{VERDICT_CODE_POSITIVE}' ELSE '{VERDICT_CODE_NEGATIVE}' END AS val,
-       CASE WHEN {pos} THEN '{COLOUR_POSITIVE}' ELSE '{COLOUR_NEGATIVE}' END AS colour
-FROM grown""",
-    )
+    return _with(ctes, f"SELECT CAST(request_id AS INTEGER) AS request_id, prediction, {verdict} FROM grown")
 
 
 PARSE_REQUESTS = """
@@ -427,9 +415,10 @@ FROM customer""",
         "scan_text_from_csv": "SELECT * FROM customer",
         "table_append_readback": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
         "cast_project": """
-SELECT CAST(CAST(o_orderkey AS DOUBLE) AS BIGINT) AS o_orderkey,
-       CAST(trunc(o_totalprice) AS INTEGER) AS price_int,
-       CAST(CAST(trunc(o_totalprice) AS INTEGER) AS DOUBLE) AS price_back
+SELECT 'strict' AS mode, o_orderkey, o_totalprice, CAST(o_custkey AS INTEGER) AS o_custkey FROM orders
+UNION ALL
+SELECT 'tolerant' AS mode, o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS o_totalprice,
+       CAST(o_custkey AS INTEGER) AS o_custkey
 FROM orders""",
         "sql_view_filter": "SELECT * FROM customer WHERE c_acctbal < 20",
         "assemble_features": """
@@ -439,10 +428,10 @@ UNION ALL SELECT 2 AS pos, 'l_tax' AS feature, round(sum(l_tax), 4) AS total FRO
         "assemble_skip_invalid": """
 SELECT o_orderkey FROM orders
 WHERE o_orderkey % 7 <> 0 AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice) AND o_custkey IS NOT NULL""",
-        "random_split_invariants": """
-SELECT count(*) AS total, count(*) AS n_split, CAST(0 AS BIGINT) AS overlap,
-       CAST(0 AS BIGINT) AS missing, true AS share_ok
-FROM orders""",
+        "random_split_invariants": "SELECT count(*) AS total, count(*) AS n_split, true AS same_rows, true AS share_ok FROM orders",
+        "hash_split_null_keys": """
+SELECT method, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, true AS nulls_together
+FROM orders, (VALUES ('md5'), ('xxhash64')) AS m(method) GROUP BY method""",
         "hash_split": "SELECT o_orderkey, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 4) < 'cccc' AS is_train FROM orders",
         "dt_classifier_majority": _with(t, CONFUSION.format(src="majority")),
         "dt_classifier_stump": _with(t, CONFUSION.format(src="stump")),
@@ -468,11 +457,11 @@ FROM orders""",
         "train_eval_heart": _clinical_sql(HEART, HEART_SQL),
         "train_eval_diabetes_regressor": _clinical_sql(DIABETES, DIABETES_SQL, impurity="variance"),
         "train_eval_heart_regressor": _clinical_sql(HEART, HEART_SQL, impurity="variance"),
-        "score_one_diabetes": _clinical_one_sql(DIABETES, DIABETES_SQL, DIABETES_FORMS),
-        "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_FORMS),
-        "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL),
-        "score_heart": _clinical_score_sql(HEART, HEART_SQL),
-        "score_stream_heart": _clinical_score_sql(HEART, HEART_SQL),
+        "score_one_diabetes": _clinical_one_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT, DIABETES_FORMS),
+        "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_VERDICT, HEART_FORMS),
+        "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT),
+        "score_heart": _clinical_score_sql(HEART, HEART_SQL, HEART_VERDICT),
+        "score_stream_heart": _clinical_score_sql(HEART, HEART_SQL, HEART_VERDICT),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),
         "dt_regressor_depth5": _with(_levels_ctes(5, impurity="variance"), REG_OUT.format(src="grown")),
@@ -496,8 +485,8 @@ FROM lineitem""",
             "CAST(ceil(avg(CASE WHEN prediction = risk THEN 1.0 ELSE 0.0 END) * 100) AS BIGINT) AS accuracy_percent "
             "FROM stump",
         ),
-        "verdict_default_positive": _verdict_sql(DIABETES.verdict),
-        "verdict_default_negative": _verdict_sql(HEART.verdict),
+        "verdict_default_positive": _verdict_sql(DIABETES_VERDICT),
+        "verdict_default_negative": _verdict_sql(HEART_VERDICT),
         "parse_requests": PARSE_REQUESTS,
         "score_one_record": _one_record_sql(),
         "score_batch": scored,
@@ -508,24 +497,28 @@ FROM lineitem""",
             "SELECT prediction, risk AS label, "
             "CAST(to_json({'prediction': prediction, 'label': risk}) AS VARCHAR) AS json FROM stump",
         ),
-        "display_preview": _with(
-            t + """, top AS (
-  SELECT l_orderkey, l_linenumber, prediction, risk AS label FROM stump
-  ORDER BY l_orderkey, l_linenumber, prediction, label LIMIT 20)""",
+        "predictions_json_file": _with(t, PAIRS),
+        "display_table": _with(
+            t,
             """
-SELECT CAST(0 AS BIGINT) AS row_no, 'prediction' AS c0, 'label' AS c1
+SELECT true AS is_header, CAST(NULL AS BIGINT) AS l_orderkey, CAST(NULL AS INTEGER) AS l_linenumber, 'prediction' AS c0, 'label' AS c1
 UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, prediction, label) AS BIGINT) AS row_no,
-       CAST(prediction AS VARCHAR) AS c0, CAST(label AS VARCHAR) AS c1
-FROM top""",
+SELECT false, l_orderkey, l_linenumber, CAST(prediction AS VARCHAR), CAST(risk AS VARCHAR) FROM stump""",
         ),
-        "display_table": _with(
-            t + ", conf AS (SELECT prediction, risk AS label, count(*) AS n FROM stump GROUP BY 1, 2)",
+        "display_counts": _with(
+            t,
             """
-SELECT CAST(0 AS BIGINT) AS row_no, 'prediction' AS c0, 'label' AS c1, 'n' AS c2
+SELECT true AS is_header, CAST(NULL AS INTEGER) AS prediction, CAST(NULL AS INTEGER) AS label, 'prediction' AS c0, 'label' AS c1, 'n' AS c2
 UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY prediction, label) AS BIGINT) AS row_no,
-       CAST(prediction AS VARCHAR) AS c0, CAST(label AS VARCHAR) AS c1, CAST(n AS VARCHAR) AS c2
-FROM conf""",
+SELECT false, prediction, risk, CAST(prediction AS VARCHAR), CAST(risk AS VARCHAR), CAST(count(*) AS VARCHAR)
+FROM stump GROUP BY prediction, risk""",
         ),
+        "train_eval_string_store": _clinical_sql(DIABETES, DIABETES_SQL),
+        "train_three_classes": f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END AS prediction,
+       CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END AS label
+FROM lineitem WHERE NOT ({IS_TRAIN})""",
+        "dt_continuous": f"SELECT count(*) AS n_test, true AS beats_majority, true AS depth_ok FROM lineitem WHERE NOT ({IS_TRAIN})",
+        "accuracy_evaluator": _with(t, "SELECT count(*) AS n_test, round(avg(CASE WHEN prediction = risk THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM stump"),
+        "score_batch_rejects": _clinical_rejects_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT),
     }

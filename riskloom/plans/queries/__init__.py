@@ -17,6 +17,8 @@ QUERIES: dict[str, Query] = {
     "train_eval_heart": clinical.train_eval_heart,
     "train_eval_diabetes_regressor": clinical.train_eval_diabetes_regressor,
     "train_eval_heart_regressor": clinical.train_eval_heart_regressor,
+    "train_eval_string_store": clinical.train_eval_string_store,
+    "train_three_classes": trees.train_three_classes,
     "scan_csv_typed": storage.scan_csv_typed,
     "scan_csv_malformed": storage.scan_csv_malformed,
     "scan_csv_infer": storage.scan_csv_infer,
@@ -27,7 +29,8 @@ QUERIES: dict[str, Query] = {
     "assemble_features": features.assemble_features,
     "assemble_skip_invalid": features.assemble_skip_invalid,
     "random_split_invariants": features.random_split_invariants,
-    "hash_split": features.hash_split,
+    "hash_split": features.hash_split_query,
+    "hash_split_null_keys": features.hash_split_null_keys,
     "dt_classifier_majority": trees.dt_classifier_majority,
     "dt_classifier_stump": trees.dt_classifier_stump,
     "dt_classifier_separable": trees.dt_classifier_separable,
@@ -39,18 +42,21 @@ QUERIES: dict[str, Query] = {
     "dt_regressor_depth2": trees.dt_regressor_depth2,
     "dt_regressor_depth5": trees.dt_regressor_depth5,
     "dt_regressor_defaults": trees.dt_regressor_defaults,
+    "dt_continuous": trees.dt_continuous,
     "predict_probability": trees.predict_probability,
     "model_roundtrip": trees.model_roundtrip,
     "model_roundtrip_regressor": trees.model_roundtrip_regressor,
     "round_predictions": features.round_predictions,
     "prediction_label_pairs": trees.prediction_label_pairs,
     "accuracy": trees.accuracy_query,
+    "accuracy_evaluator": trees.accuracy_evaluator,
     "accuracy_percent": trees.accuracy_percent_query,
     "verdict_default_positive": features.verdict_default_positive,
     "verdict_default_negative": features.verdict_default_negative,
     "parse_requests": features.parse_requests_query,
     "score_one_record": serving.score_one_record,
     "score_batch": serving.score_batch,
+    "score_batch_rejects": serving.score_batch_rejects,
     "score_stream": serving.score_stream,
     "score_one_diabetes": clinical.score_one_diabetes,
     "score_one_heart": clinical.score_one_heart,
@@ -59,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "score_stream_heart": clinical.score_stream_heart,
     "predictions_csv_roundtrip": storage.predictions_csv_roundtrip,
     "predictions_json": storage.predictions_json_query,
+    "predictions_json_file": storage.predictions_json_file,
     "display_table": storage.display_table_query,
-    "display_preview": storage.display_preview_query,
+    "display_counts": storage.display_counts_query,
 }

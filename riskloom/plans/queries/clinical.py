@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskloom.operators.model import fit_tree, load_model, save_model
 from riskloom.operators.prepare import assemble, hash_split_flag
@@ -11,9 +12,11 @@ from riskloom.operators.score import score_requests, score_typed
 from riskloom.plans import clinical
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
-from riskloom.plans.queries.common import STREAM_TIMEOUT_S, read_driver_table
-from riskloom.session import session_key, shared_path
-from riskloom.sources.table import parse_form, rebalance, request_frame
+from riskloom.plans.queries.common import FILES_PER_TRIGGER, ROWS_PER_FILE, read_driver_table
+from riskloom.session import data_version, session_key, shared_path
+from riskloom.sources.csv import header_schema
+from riskloom.sources.table import parse_form, read_table, request_frame
+from riskloom.sinks import append_table
 from riskloom.specs import DIABETES, HEART
 from riskloom.streaming import run_scoring_stream
 
@@ -22,9 +25,7 @@ def _train_eval_clinical(spark: SparkSession, sf_dir: str, spec, rows, kind: str
     """The reference's training flow on a clinical schema, learner defaults
     (depth 5, 32 bins): ingest -> store -> split -> fit -> save -> export ->
     metrics."""
-    # spread before the store write: the store gets even files, written in
-    # parallel, and its read-back needs no second shuffle
-    src = rebalance(rows(read_driver_table(spark, sf_dir, "orders")))
+    src = rows(read_driver_table(spark, sf_dir, "orders"))
     data = ingest(spark, spec, src, shared_path(spark, f"store-{spec.name}"), keep=[clinical.KEY])
     res = train(
         spark,
@@ -39,6 +40,15 @@ def _train_eval_clinical(spark: SparkSession, sf_dir: str, spec, rows, kind: str
     return res.metrics
 
 
+def train_eval_string_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 from a store that holds text: the training job casts what it reads."""
+    rows = clinical.diabetes_rows(read_driver_table(spark, sf_dir, "orders"))
+    store = shared_path(spark, "store-text")
+    append_table(rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]), store)
+    res = train(spark, DIABETES, read_table(spark, store), split_key=clinical.KEY, params=fx.DEFAULTS)
+    return res.metrics
+
+
 def train_eval_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-3 on the diabetes schema (8 features), classification tree."""
     return _train_eval_clinical(spark, sf_dir, DIABETES, clinical.diabetes_rows)
@@ -63,20 +73,21 @@ def train_eval_heart_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CLINICAL_MODELS: dict[tuple, object] = {}
 
 
-def _clinical_model(spark: SparkSession, sf_dir: str, spec, rows):
+def clinical_model(spark: SparkSession, sf_dir: str, spec, rows):
     """Default tree on the training side of the clinical rows (fit once per session)."""
-    key = (session_key(spark), sf_dir, spec.name)
+    orders = read_driver_table(spark, sf_dir, "orders")
+    key = (session_key(spark), data_version(orders), spec.name)
     if key not in _CLINICAL_MODELS:
-        data = rebalance(rows(read_driver_table(spark, sf_dir, "orders")))
+        data = rows(orders)
         train_rows = data.where(hash_split_flag(clinical.KEY, 0.8))
         vec = assemble(train_rows, spec.features, keep=[spec.label])
-        _CLINICAL_MODELS[key] = fit_tree(vec, "classifier", spec.label, fx.DEFAULTS)
+        _CLINICAL_MODELS[key] = fit_tree(vec, "classifier", spec.label, fx.DEFAULTS, num_classes=2)
     return _CLINICAL_MODELS[key]
 
 
 def _score_clinical(spark: SparkSession, sf_dir: str, spec, rows) -> DataFrame:
-    model = _clinical_model(spark, sf_dir, spec, rows)
-    reqs = clinical.text_requests(rebalance(rows(read_driver_table(spark, sf_dir, "orders"))), spec)
+    model = clinical_model(spark, sf_dir, spec, rows)
+    reqs = clinical.text_requests(rows(read_driver_table(spark, sf_dir, "orders")), spec)
     return score_requests(model, reqs, spec, strict=False, keep=[clinical.KEY])
 
 
@@ -84,7 +95,7 @@ def _score_one_clinical(spark: SparkSession, sf_dir: str, spec, rows, forms) ->
     """The single-user endpoint: form text -> typed one-row frames with the
     placeholder label -> model loaded from disk -> rounded -> verdict."""
     path = shared_path(spark, f"model-{spec.name}-serving")
-    save_model(_clinical_model(spark, sf_dir, spec, rows), path)
+    save_model(clinical_model(spark, sf_dir, spec, rows), path)
     model = load_model(spark, path)  # class read from the saved metadata
     typed = [(rid, *parse_form(spec, vals)) for rid, vals in forms]
     frame = request_frame(spark, spec, typed, id_col="request_id")
@@ -104,12 +115,14 @@ def score_one_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_stream_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-2 on the heart schema: every order arrives as a line of form text in
     CSV files; the stream scores them (availableNow, checkpointed)."""
-    model = _clinical_model(spark, sf_dir, HEART, clinical.heart_rows)
-    reqs = clinical.text_requests(rebalance(clinical.heart_rows(read_driver_table(spark, sf_dir, "orders"))), HEART)
+    model = clinical_model(spark, sf_dir, HEART, clinical.heart_rows)
+    reqs = clinical.text_requests(clinical.heart_rows(read_driver_table(spark, sf_dir, "orders")), HEART)
     src = shared_path(spark, "heart-requests")
-    reqs.write.mode("overwrite").option("header", "true").csv(src)
-    schema = StructType([StructField(clinical.KEY, LongType())] +
-                        [StructField(c, StringType()) for c in HEART.features])
+    # several files, in another column order than the spec's: the stream binds by name
+    names = [*HEART.features[::-1], clinical.KEY]
+    reqs.select(*names).write.option("maxRecordsPerFile", ROWS_PER_FILE).option("header", "true").csv(src)
+    text = header_schema(spark, src, names)
+    schema = StructType([StructField(f.name, LongType() if f.name == clinical.KEY else f.dataType) for f in text])
     return run_scoring_stream(
         spark,
         HEART,
@@ -119,8 +132,8 @@ def score_stream_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared_path(spark, "heart-verdicts"),
         shared_path(spark, "heart-ckpt"),
         keep=[clinical.KEY],
-        timeout_s=STREAM_TIMEOUT_S,
         fmt="csv",
+        max_files_per_trigger=FILES_PER_TRIGGER,
     )
 
 

@@ -11,7 +11,8 @@ from riskloom.session import table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STREAM_TIMEOUT_S = 1800.0  # an availableNow stream that has not drained by then is stopped
+ROWS_PER_FILE = 100_000  # request files of the streams
+FILES_PER_TRIGGER = 4  # a backlog is worked off in micro-batches of so many files
 
 PAIRS_SCHEMA = StructType([StructField("prediction", IntegerType()), StructField("label", IntegerType())])
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from riskloom.functions import round_half_even, verdict_code, verdict_colour, verdict_message
-from riskloom.operators.prepare import assemble, hash_split_flag, random_split, view_filter
+from riskloom.operators.prepare import HASHES, assemble, cast_project, hash_split, hash_split_flag, random_split, view_filter
 from riskloom.operators.score import parse_requests
 from riskloom.plans import fixture as fx
 from riskloom.plans.queries.common import read_driver_table
@@ -16,13 +19,21 @@ from riskloom.specs import DIABETES, HEART
 
 
 def cast_project_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P-1: price to int (truncation) and back, key to double and back."""
+    """P-1: text columns (and one the schema does not name) to the schema's
+    types; strict on clean text, tolerant where every tenth price is bad."""
     orders = read_driver_table(spark, sf_dir, "orders")
-    return orders.select(
-        F.col("o_orderkey").cast("double").cast("bigint").alias("o_orderkey"),
-        F.col("o_totalprice").cast("int").alias("price_int"),
-        F.col("o_totalprice").cast("int").cast("double").alias("price_back"),
+    k = F.col("o_orderkey")
+    text = orders.select(
+        k.cast("string").alias("o_orderkey"),
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        F.lit("added by the store").alias("_id"),
     )
+    spoiled = text.withColumn("o_totalprice", F.when(k % 10 == 0, "n/a").otherwise(F.col("o_totalprice")))
+    types = {"o_orderkey": LongType(), "o_totalprice": DoubleType(), "o_custkey": IntegerType()}
+    schema = StructType([StructField(n, t) for n, t in types.items()])
+    strict = cast_project(text, schema).select(F.lit("strict").alias("mode"), "*")
+    return strict.unionByName(cast_project(spoiled, schema, tolerant=True).select(F.lit("tolerant").alias("mode"), "*"))
 
 
 def sql_view_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,33 +75,42 @@ def assemble_skip_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-2: a seeded 80/20 split is disjoint and complete.
 
-    One shuffle on the key: source, train and test rows are tagged and
-    counted per key, then reduced to one row of invariants.
+    Keys are unique, so equal counts and equal sums of key hashes on the two
+    sides together and in the source show it without a shuffle by key.
     """
     orders = read_driver_table(spark, sf_dir, "orders").select("o_orderkey")
     tr, te = random_split(orders, [0.8, 0.2], seed=42)
-    tagged = (
-        orders.select("o_orderkey", F.lit(1).alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))
-        .unionByName(tr.select("o_orderkey", F.lit(0).alias("s"), F.lit(1).alias("a"), F.lit(0).alias("b")))
-        .unionByName(te.select("o_orderkey", F.lit(0).alias("s"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    )
-    per_key = tagged.groupBy("o_orderkey").agg(F.sum("s").alias("s"), F.sum("a").alias("a"), F.sum("b").alias("b"))
-    inv = per_key.agg(
-        F.sum("s").cast("long").alias("total"),
-        F.sum(F.col("a") + F.col("b")).cast("long").alias("n_split"),
-        F.count(F.when((F.col("a") > 0) & (F.col("b") > 0), 1)).alias("overlap"),
-        F.count(F.when((F.col("s") > 0) & (F.col("a") + F.col("b") == 0), 1)).alias("missing"),
-        F.sum("a").cast("double").alias("n_train"),
-    )
-    share = F.col("n_train") / F.col("total")
+    parts = orders.withColumn("side", F.lit("all")).unionByName(tr.withColumn("side", F.lit("train"))).unionByName(te.withColumn("side", F.lit("test")))
+    of = lambda side, c: F.sum(F.when(F.col("side") == side, c))
+    one, h = F.lit(1), F.xxhash64("o_orderkey").cast("decimal(38,0)")
+    sums = parts.agg(*[of(s, c).alias(f"{n}_{s}") for s in ("all", "train", "test") for n, c in (("n", one), ("h", h))])
+    same = (F.col("n_train") + F.col("n_test") == F.col("n_all")) & (F.col("h_train") + F.col("h_test") == F.col("h_all"))
     # within 4 standard deviations of the requested 0.8
-    tol = F.lit(4.0) * F.sqrt(F.lit(0.8 * 0.2) / F.col("total"))
-    return inv.select(
-        "total", "n_split", "overlap", "missing", (F.abs(share - F.lit(0.8)) <= tol).alias("share_ok")
+    tol = F.lit(4.0) * F.sqrt(F.lit(0.8 * 0.2) / F.col("n_all"))
+    share_ok = F.abs(F.col("n_train") / F.col("n_all") - F.lit(0.8)) <= tol
+    return sums.select(
+        F.col("n_all").alias("total"), (F.col("n_train") + F.col("n_test")).alias("n_split"), same.alias("same_rows"), share_ok.alias("share_ok")
+    )
+
+
+def hash_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-3 on keys that are sometimes NULL: no row is lost, by either hash."""
+    orders = read_driver_table(spark, sf_dir, "orders")
+    keyed = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("k"))
+    sides = [
+        side.select(F.lit(method).alias("method"), F.lit(i == 0).alias("is_train"), "o_orderkey")
+        for method in HASHES
+        for i, side in enumerate(hash_split(keyed, "k", 0.8, method))
+    ]
+    rows = reduce(DataFrame.unionByName, sides)
+    return rows.groupBy("method").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("o_orderkey").alias("key_sum"),
+        (F.countDistinct(F.when(F.col("o_orderkey") % 10 == 0, F.col("is_train"))) == 1).alias("nulls_together"),
     )
 
 
-def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hash_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-3: reproducible split flag from md5 of the key."""
     orders = read_driver_table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", hash_split_flag("o_orderkey", 0.8).alias("is_train"))

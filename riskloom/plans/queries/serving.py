@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.score import score_requests, score_typed
+from riskloom.plans import clinical
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
-from riskloom.plans.queries.common import STREAM_TIMEOUT_S, read_driver_table
+from riskloom.plans.queries.common import FILES_PER_TRIGGER, ROWS_PER_FILE, read_driver_table
+from riskloom.plans.queries.clinical import clinical_model
 from riskloom.session import shared_path
-from riskloom.sources.table import rebalance, request_frame
+from riskloom.sources.table import request_frame
+from riskloom.specs import DIABETES
 from riskloom.streaming import run_scoring_stream
 
 
@@ -41,17 +44,35 @@ def lineitem_requests(li: DataFrame) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-1: a table of text requests scored in one lazy, map-only plan."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
-    reqs = lineitem_requests(rebalance(read_driver_table(spark, sf_dir, "lineitem")))
+    reqs = lineitem_requests(read_driver_table(spark, sf_dir, "lineitem"))
     return score_requests(model, reqs, fx.LINEITEM_RISK, strict=False, keep=["l_orderkey", "l_linenumber"])
 
 
+def score_batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-1/X-1/X-2: text requests with values that cannot be scored: bad
+    text, half numbers, suffixes a cast would take, NaN, empty and missing.
+    Such rows stay, rejected, without a verdict."""
+    model = clinical_model(spark, sf_dir, DIABETES, clinical.diabetes_rows)
+    reqs = spoiled_requests(clinical.diabetes_rows(read_driver_table(spark, sf_dir, "orders")))
+    return score_requests(model, reqs, DIABETES, strict=False, keep=[clinical.KEY])
+
+
+def spoiled_requests(rows: DataFrame) -> DataFrame:
+    k = F.col(clinical.KEY)
+    text = {c: F.col(c).cast("string") for c in DIABETES.features}
+    text["Pregnancies"] = F.when(k % 11 == 0, "x").when(k % 13 == 0, F.concat(text["Pregnancies"], F.lit(".5"))).otherwise(text["Pregnancies"])
+    text["Glucose"] = F.when(k % 17 == 0, "NaN").when(k % 19 == 0, F.concat(text["Glucose"], F.lit("f"))).otherwise(text["Glucose"])
+    text["BMI"] = F.when(k % 23 == 0, "").when(k % 29 == 0, F.lit(None).cast("string")).when(k % 31 == 0, "0x1p3").otherwise(text["BMI"])
+    return rows.select(clinical.KEY, *[v.alias(c) for c, v in text.items()])
+
+
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-2: the same scoring as a file stream (availableNow, checkpointed)."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)
     reqs = lineitem_requests(read_driver_table(spark, sf_dir, "lineitem"))
     src = shared_path(spark, "requests")
     # requests arrive as several files
-    rebalance(reqs).write.mode("overwrite").parquet(src)
+    reqs.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(src)
     return run_scoring_stream(
         spark,
         fx.LINEITEM_RISK,
@@ -61,7 +82,7 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared_path(spark, "scored-sink"),
         shared_path(spark, "scored-ckpt"),
         keep=["l_orderkey", "l_linenumber"],
-        timeout_s=STREAM_TIMEOUT_S,
+        max_files_per_trigger=FILES_PER_TRIGGER,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.evaluate import confusion
@@ -10,7 +10,7 @@ from riskloom.operators.prepare import cast_project
 from riskloom.plans.queries.common import PAIRS_SCHEMA, read_driver_table, write_csv
 from riskloom.plans.queries.trees import stump_pairs
 from riskloom.session import shared_path
-from riskloom.sinks import append_table, display_preview, display_table, predictions_json, write_predictions_csv
+from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv, write_predictions_json
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
 from riskloom.sources.table import read_table
 
@@ -79,19 +79,20 @@ def predictions_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(F.col("r.prediction").alias("prediction"), F.col("r.label").alias("label"), "json")
 
 
-PREVIEW_ROWS = 20  # rows on the predictions page
+def predictions_json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-7 as a file: JSON lines written in parallel, read back typed."""
+    path = shared_path(spark, "predictions-json")
+    write_predictions_json(stump_pairs(spark, sf_dir), path)
+    return spark.read.schema(PAIRS_SCHEMA).json(path)
 
 
-def display_preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-5 page: header + the first test pairs by key (an ordered top-k)."""
-    pairs = stump_pairs(spark, sf_dir, keep=["l_orderkey", "l_linenumber"])
-    order = ["l_orderkey", "l_linenumber", "prediction", "label"]
-    return display_preview(pairs, ["prediction", "label"], order, n=PREVIEW_ROWS)
+def display_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-5: header row + string cells of every test pair, ordered by the carried keys."""
+    keys = ["l_orderkey", "l_linenumber"]
+    return display_table(stump_pairs(spark, sf_dir, keep=keys), ["prediction", "label"], keys)
 
 
-def display_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-5: header row + string cells of the test confusion counts."""
+def display_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-5 on a report: header row + string cells of the test confusion counts."""
     counts = confusion(stump_pairs(spark, sf_dir), "label")
-    # at most classes^2 rows, so one ordered window over them is bounded
-    ordered = counts.withColumn("row_no", F.row_number().over(Window.orderBy("prediction", "label")))
-    return display_table(ordered, ["prediction", "label", "n"], "row_no")
+    return display_table(counts, ["prediction", "label", "n"], ["prediction", "label"])

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import round_half_even
-from riskloom.operators.evaluate import accuracy, accuracy_report, confusion
-from riskloom.operators.model import load_model, save_model
+from riskloom.operators.evaluate import accuracy, accuracy_report, confusion, evaluator_accuracy
+from riskloom.operators.model import fit_tree, load_model, save_model
+from riskloom.operators.prepare import assemble, hash_split
 from riskloom.operators.score import rounded_pairs
 from riskloom.plans import fixture as fx
-from riskloom.session import shared_path
+from riskloom.plans.jobs import train
+from riskloom.session import shared_path, table_path
 
 
 def _test_confusion(scored: DataFrame) -> DataFrame:
@@ -144,6 +148,46 @@ def accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acc.select(F.round("accuracy", 6).alias("accuracy"))
 
 
+def accuracy_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1 by the evaluator call, next to the test rows it covers."""
+    scored = fx.scored_test(spark, sf_dir, fx.fitted(spark, sf_dir, "classifier", fx.STUMP))
+    value = evaluator_accuracy(scored, fx.LABEL)
+    return scored.agg(F.count(F.lit(1)).alias("n_test"), F.round(F.lit(value), 6).alias("accuracy"))
+
+
+def dt_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1 on a column with more values than bins (quantile candidates).
+
+    The learner's sampled candidates have no SQL form; the row states what
+    must hold whatever they are: depth within bounds, and an accuracy no
+    worse than the majority class's.
+    """
+    cols = ["l_orderkey", "l_extendedprice", "l_quantity"]
+    li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(*cols, (F.col("l_extendedprice") + F.col("l_orderkey") % 7 * 1000 > 38000).cast("int").alias(fx.LABEL))
+    train_rows, test_rows = hash_split(li, fx.KEY, fx.TRAIN_FRACTION)
+    model = fit_tree(assemble(train_rows, ["l_extendedprice"], keep=[fx.LABEL]), "classifier", fx.LABEL, fx.DEFAULTS, num_classes=2)
+    scored = model.transform(assemble(test_rows, ["l_extendedprice"], keep=[fx.LABEL]))
+    ones = F.avg(F.col(fx.LABEL).cast("double"))
+    right = F.avg((F.col("prediction") == F.col(fx.LABEL)).cast("double"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_test"),
+        (right >= F.greatest(ones, 1 - ones)).alias("beats_majority"),
+        F.lit(1 <= model.depth <= fx.DEFAULTS.max_depth).alias("depth_ok"),
+    )
+
+
+def train_three_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 with a label of three classes, their number found by the learner;
+    the exported predictions carry the key columns."""
+    q = F.col("l_quantity")
+    rows = spark.read.parquet(table_path(sf_dir, "lineitem")).select(
+        "l_orderkey", "l_linenumber", *fx.FEATURES, F.when(q <= 17, 0).when(q <= 34, 1).otherwise(2).alias(fx.LABEL)
+    )
+    spec = replace(fx.LINEITEM_RISK, name="lineitem_three", num_classes=None, params=fx.DEEP)
+    res = train(spark, spec, rows, fx.KEY, predictions_path=shared_path(spark, "predictions-three"), keep=["l_orderkey", "l_linenumber"])
+    return res.predictions
+
+
 def accuracy_percent_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-2: accuracy percent, rounded up."""
     model = fx.fitted(spark, sf_dir, "classifier", fx.STUMP)

@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -46,9 +47,6 @@ def build_session(
     return spark
 
 
-_FALLBACK_ROOTS: dict[int, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a local one only if none is configured."""
     try:
@@ -57,7 +55,8 @@ def shared_root(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured
-        return _FALLBACK_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="riskloom-ckpt-"))
+        # the client's folders are not the executors'
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster") from None
     root = sc.getCheckpointDir()
     if root:
         return root
@@ -73,10 +72,35 @@ def shared_root(spark: SparkSession) -> str:
 
 def session_key(spark: SparkSession) -> str:
     """Identifies the running application (for in-process caches)."""
+    return spark.conf.get("spark.app.id")
+
+
+def data_version(df: DataFrame) -> tuple:
+    """Tells versions of a file table apart (for in-process caches).
+
+    A digest of its files' names, sizes and times: one row, whatever their number.
+    """
+    m = F.col("_metadata")
+    files = df.select(m["file_path"].alias("p"), m["file_size"].alias("s"), m["file_modification_time"].alias("t")).distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("p", "s", "t").cast("decimal(38,0)"))).first())
+
+
+def require_shared_warehouse(spark: SparkSession) -> None:
+    """On a cluster the catalog's warehouse must have been chosen: its default is a folder of the driver's host."""
     try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return f"session-{id(spark)}"
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting holds
+        return
+    conf = sc.getConf()
+    if not sc.master.startswith("local") and not conf.get("spark.sql.warehouse.dir", None):
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder shared by the whole cluster, or name a store path")
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote below the shared folder; frames that read it end with it."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark).rstrip('/')}/riskloom")
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

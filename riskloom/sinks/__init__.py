@@ -6,9 +6,11 @@ to the driver except bounded previews.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.session import require_shared_warehouse
+
 CRLF = "\r\n"
 
 
@@ -25,6 +27,7 @@ def append_table(
     for k, v in options.items():
         writer = writer.option(k, v)
     if table is not None:
+        require_shared_warehouse(df.sparkSession)
         writer.saveAsTable(table)
     elif path is None:
         writer.save()
@@ -35,7 +38,7 @@ def append_table(
 def write_predictions_csv(
     df: DataFrame,
     path: str,
-    columns: tuple[str, str] = ("prediction", "label"),
+    columns: tuple[str, ...] = ("prediction", "label"),
     line_sep: str = CRLF,
     single_file: bool = False,
 ) -> None:
@@ -65,35 +68,25 @@ def write_predictions_json(df: DataFrame, path: str, columns: tuple[str, ...] =
     df.select(*columns).write.mode("overwrite").json(path)
 
 
-def display_table(df: DataFrame, columns: list[str], order_col: str) -> DataFrame:
-    """String cells with the header as row 0, like a CSV re-read as text.
+def display_table(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """Every row as string cells ``c0``, ``c1``, ... below a header row.
 
-    ``order_col`` must be a deterministic 1-based row order of ``df``. Output
-    columns: ``row_no`` then ``c0``, ``c1``, ... (all strings).
+    The ``keys`` are carried and order the display; the header row has
+    ``is_header`` and NULL keys. No row is numbered, so nothing passes
+    through one task.
     """
     cells = [f"c{i}" for i in range(len(columns))]
-    spark = df.sparkSession
-    header = spark.createDataFrame(
-        [tuple([0] + list(columns))], ["row_no"] + cells
-    ).select(F.col("row_no").cast("long"), *[F.col(c).cast("string") for c in cells])
+    types = [df.schema[k].dataType for k in keys]
+    header = df.sparkSession.range(1).select(
+        F.lit(True).alias("is_header"),
+        *[F.lit(None).cast(t).alias(k) for k, t in zip(keys, types)],
+        *[F.lit(c).alias(n) for c, n in zip(columns, cells)],
+    )
     body = df.select(
-        F.col(order_col).cast("long").alias("row_no"),
-        *[F.col(c).cast("string").alias(cells[i]) for i, c in enumerate(columns)],
+        F.lit(False).alias("is_header"), *keys, *[F.col(c).cast("string").alias(n) for c, n in zip(columns, cells)]
     )
     return header.unionByName(body)
 
 
-def display_preview(df: DataFrame, columns: list[str], order_by: list[str], n: int = 20) -> DataFrame:
-    """The first ``n`` rows by ``order_by`` as a display table (a page).
-
-    An ordered top-k: each task keeps its own best ``n`` rows and they are
-    merged, so only ``n`` rows per task move; the numbering window then runs
-    over those ``n`` rows only.
-    """
-    top = df.orderBy(*order_by).limit(n)
-    numbered = top.withColumn("_row", F.row_number().over(Window.orderBy(*order_by)))
-    return display_table(numbered, columns, "_row")
-
-
 def show(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)

@@ -58,6 +58,26 @@ def read_csv_inferred(
     return reader.csv(path)
 
 
+def read_csv_named(spark: SparkSession, path: str, columns: list[str], **options: str) -> DataFrame:
+    """The named text columns of CSV files with a header, whatever their order.
+
+    Further columns are ignored; a missing one raises, and so does a file
+    whose header differs from the first one's.
+    """
+    schema = header_schema(spark, path, columns)
+    df = read_csv_typed(spark, path, schema, enforce_header=True, **options)
+    return df.select(*columns)
+
+
+def header_schema(spark: SparkSession, path: str, columns: list[str]) -> StructType:
+    """Text columns in the order of the files' header, which must hold ``columns``."""
+    names = spark.read.option("header", "true").csv(path).columns
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {names}")
+    return StructType([StructField(n, StringType(), True) for n in names])
+
+
 def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Project and cast to ``schema`` by column name."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

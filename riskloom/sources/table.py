@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskloom.specs import DatasetSpec
@@ -58,27 +57,3 @@ def parse_form(spec: DatasetSpec, values: Sequence[str]) -> tuple:
     for f, v in zip(spec.feature_schema.fields, values):
         out.append(int(v) if isinstance(f.dataType, IntegerType) else float(v))
     return tuple(out)
-
-
-def with_placeholder_label(df: DataFrame, spec: DatasetSpec, value: int = 0) -> DataFrame:
-    """Unlabelled input gets a literal label so the scoring plan has one shape."""
-    return df.withColumn(spec.label, F.lit(value).cast("int"))
-
-
-def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input over the cluster before heavy per-row work.
-
-    Only acts when the plan has fewer partitions than the cluster's default
-    parallelism (e.g. one big Parquet row group). A large table already
-    arrives in many splits, and then this is a no-op: no extra shuffle.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
-        return df
-    if current >= target:
-        return df
-    # Round-robin (Spark sorts before it, so a retried task sends every row to
-    # the same place); copies of one row are spread, never piled on one task.
-    return df.repartition(target)

@@ -49,6 +49,7 @@ class DatasetSpec:
     verdict: VerdictRule
     model_kind: str = "classifier"  # or "regressor"
     params: TreeParams = field(default_factory=TreeParams)
+    num_classes: int | None = None  # labels are 0..n-1; None: the learner finds n in an extra pass
 
     @property
     def features(self) -> list[str]:
@@ -113,6 +114,7 @@ DIABETES = DatasetSpec(
     table="diabetes",
     # prediction 0 -> negative, anything else -> positive
     verdict=VerdictRule(0, False, DIABETES_POSITIVE, DIABETES_NEGATIVE),
+    num_classes=2,
 )
 
 HEART = DatasetSpec(
@@ -122,6 +124,7 @@ HEART = DatasetSpec(
     table="heart",
     # prediction 1 -> positive, anything else -> negative
     verdict=VerdictRule(1, True, HEART_POSITIVE, HEART_NEGATIVE),
+    num_classes=2,
 )
 
 SPECS: dict[str, DatasetSpec] = {s.name: s for s in (DIABETES, HEART)}

@@ -33,7 +33,8 @@ def request_stream(
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        # a file whose header differs from the schema raises; nothing binds by position
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in options.items():
@@ -84,18 +85,18 @@ def run_scoring_stream(
     checkpoint_path: str,
     keep: list[str] | None = None,
     strict: bool = False,
-    timeout_s: float | None = None,
     fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Process everything available now, then return the sink as a batch frame."""
+    """Process everything available now, then return the sink as a batch frame.
+
+    ``max_files_per_trigger`` cuts a backlog into micro-batches, each committed on its own.
+    """
     q = start_scoring_stream(
         spark, spec, model, source_path, source_schema, sink_path, checkpoint_path,
-        keep=keep, strict=strict, available_now=True, fmt=fmt,
+        keep=keep, strict=strict, available_now=True, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
     )
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError("scoring stream did not finish in time")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink_path)

@@ -84,8 +84,8 @@ def test_single_class_and_bad_labels(spark):
     assert {r.prediction for r in m.transform(assemble(one, ["x"])).collect()} == {0.0}
     three = spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 3.0)], "y int, x double")
     with pytest.raises(Exception):  # declared binary, label 2 present
-        fit_tree(assemble(three, ["x"], keep=["y"]), "classifier", "y")
-    m3 = fit_tree(assemble(three, ["x"], keep=["y"]), "classifier", "y", num_classes=None)
+        fit_tree(assemble(three, ["x"], keep=["y"]), "classifier", "y", num_classes=2)
+    m3 = fit_tree(assemble(three, ["x"], keep=["y"]), "classifier", "y")
     assert m3.numClasses == 3
     nul = spark.createDataFrame([(None, 1.0), (1, 2.0)], "y int, x double")
     with pytest.raises(Exception):

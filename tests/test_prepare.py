@@ -63,15 +63,14 @@ def test_random_split_seeded(spark):
     assert tr.join(te, "o_orderkey", "left_semi").count() == 0
 
 
-def test_rebalance_only_when_under_partitioned(spark):
-    from riskloom.sources.table import rebalance
-
-    one = spark.range(1000).coalesce(1)
-    spread = rebalance(one, min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r[0] for r in spread.collect()) == list(range(1000))  # nothing lost or duplicated
-    many = spark.range(1000).repartition(6)
-    assert rebalance(many, min_partitions=4) is many  # no extra shuffle
+def test_hash_split_keeps_rows_with_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), F.lit(None).cast("string").alias("z"))
+    for method in ("md5", "xxhash64"):
+        for key in ("k", "z", ["k", "z"]):
+            tr, te = hash_split(df, key, 0.8, method)
+            assert sorted(r.id for r in tr.union(te).collect()) == list(range(100)), (method, key)
 
 
 def test_xxhash_split_is_deterministic_and_near_fraction(spark):

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from riskloom.functions import parse_int, round_half_even
+from riskloom.functions import parse_double, parse_int, round_half_even
 from riskloom.operators.model import fit_tree
 from riskloom.operators.prepare import assemble
 from riskloom.plans import fixture as fx
@@ -49,6 +49,28 @@ def test_tolerant_int_parse_is_python_int(spark, texts):
     assert got == [_py_int(t) for t in texts]
 
 
+def _py_float(s):
+    try:
+        x = float(s)
+    except ValueError:
+        return None
+    return "nan" if math.isnan(x) else x
+
+
+float_text = st.one_of(
+    finite.map(repr),
+    st.sampled_from(["", ".", "1.", ".5", "1.5f", "2d", "0x1p3", "1e3", "-1E-2", "+7", " 12 ", "inf", "-Infinity", "NaN", "1,5", "1e", "--1"]),
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(float_text, min_size=1, max_size=100))
+def test_tolerant_double_parse_is_python_float(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(parse_double("s", strict=False)).collect()]
+    assert ["nan" if x is not None and math.isnan(x) else x for x in got] == [_py_float(t) for t in texts]
+
+
 def test_tree_does_not_depend_on_partitioning(spark):
     base = fx.lineitem_risk(spark, SF_SMALL).where(F.col("is_train"))
     preds = []

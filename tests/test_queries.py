@@ -13,8 +13,10 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry_mod  # noqa: E402
 from check_oracles import _rows, duck  # noqa: E402
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+from riskloom.plans.oracle import oracle_sql  # noqa: E402
+from riskloom.plans.queries import QUERIES  # noqa: E402
+
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLES) <= set(entry_mod.oracle_sql())
 
 
 DUCK_TYPES = {

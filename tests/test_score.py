@@ -126,3 +126,56 @@ def test_select_job():
         select_job("Diabetes", "train")
     with pytest.raises(ValueError):
         select_job("heart", "predict")
+
+
+def test_nan_requests_are_rejected(spark):
+    names = [f.name for f in DIABETES.feature_schema.fields]
+    reqs = spark.createDataFrame([("1", t, "3", "4", "5", "6", "0.5", "30") for t in ("NaN", "nan", "2")], names)
+    assert [r.rejected for r in parse_requests(reqs, DIABETES, strict=False).collect()] == [True, True, False]
+
+
+def test_model_of_another_dataset_is_refused(spark):
+    from riskloom.operators.model import fit_tree
+    from riskloom.operators.prepare import assemble
+
+    rows = spark.createDataFrame([(float(i), i % 2) for i in range(10)], "x double, y int")
+    model = fit_tree(assemble(rows, ["x"], keep=["y"]), "classifier", "y")
+    with pytest.raises(ValueError):
+        score_typed(model, request_frame(spark, HEART, [(52, 0, 1, 120, 201, 0, 1, 150, 0, 0.1, 2, 0, 2)]), HEART)
+
+
+def test_request_csv_binds_by_name(spark, workdir):
+    from riskloom.sources.csv import read_csv_named
+
+    folder = os.path.join(workdir, "r")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("b,extra,a\n2,x,1\n")
+    assert [tuple(r) for r in read_csv_named(spark, folder, ["a", "b"]).collect()] == [("1", "2")]
+    with pytest.raises(ValueError):
+        read_csv_named(spark, folder, ["a", "c"])
+    with open(os.path.join(folder, "b.csv"), "w") as f:
+        f.write("a,extra,b\n3,x,4\n")  # another order than the first file's: refused, not misread
+    with pytest.raises(Exception):
+        read_csv_named(spark, folder, ["a", "b"]).collect()
+
+
+def test_train_random_split_keep_columns_and_string_store(spark, workdir):
+    csv = _invented_diabetes_csv(os.path.join(workdir, "d.csv"), n=300, seed=4)
+    text = spark.read.option("header", "true").csv(csv).withColumn("rid", F.monotonically_increasing_id())
+    res = train(spark, DIABETES, text, split="random", seed=7, keep=["rid"], predictions_path=os.path.join(workdir, "p"))
+    again = train(spark, DIABETES, text, split="random", seed=7, keep=["rid"])
+    assert res.predictions.columns == ["rid", "prediction", "label"]
+    rows = sorted(map(tuple, res.predictions.collect()))
+    assert rows == sorted(map(tuple, again.predictions.collect())) and 20 < len(rows) < 120
+    with pytest.raises(ValueError):
+        train(spark, DIABETES, text, split="other")
+
+
+def test_metrics_count_labelled_rows_only(spark):
+    from riskloom.plans.jobs import metrics_frame
+
+    df = spark.createDataFrame([(1.0, 1), (0.0, 1), (1.0, None), (0.0, None)], "prediction double, label int")
+    m = metrics_frame(df, "label").first()
+    assert (m.n_test, m.n_null_label, m.n_correct, m.accuracy) == (2, 2, 1, 0.5)
+    assert m.tn + m.fp + m.fn + m.tp == m.n_test

@@ -35,12 +35,11 @@ def test_json_and_display(spark):
     df = spark.createDataFrame([(1, 0)], "prediction int, label int")
     assert predictions_json(df).first().json == '{"prediction":1,"label":0}'
     counts = spark.createDataFrame([(0, 0, 5, 1), (1, 1, 7, 2)], "prediction int, label int, n long, r int")
-    rows = sorted(tuple(r) for r in display_table(counts, ["prediction", "label", "n"], "r").collect())
-    assert rows == [(0, "prediction", "label", "n"), (1, "0", "0", "5"), (2, "1", "1", "7")]
-    from riskloom.sinks import display_preview
-
-    first = sorted(tuple(r) for r in display_preview(counts, ["prediction", "n"], ["n"], n=1).collect())
-    assert first == [(0, "prediction", "n"), (1, "0", "5")]
+    table = display_table(counts, ["prediction", "label", "n"], ["r"])
+    rows = [tuple(r) for r in table.orderBy(F.desc("is_header"), "r").collect()]
+    assert rows == [(True, None, "prediction", "label", "n"), (False, 1, "0", "0", "5"), (False, 2, "1", "1", "7")]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
 
 
 def test_named_store_table_accumulates(spark, workdir):

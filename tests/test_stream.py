@@ -16,7 +16,7 @@ def test_stream_equals_batch_and_is_exactly_once(spark, workdir):
     reqs.repartition(4).write.parquet(src)
     sink, ckpt = os.path.join(workdir, "sink"), os.path.join(workdir, "ckpt")
     keep = ["l_orderkey", "l_linenumber"]
-    out = run_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, ckpt, keep=keep, timeout_s=300)
+    out = run_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, ckpt, keep=keep)
     batch = score_requests(model, reqs, fx.LINEITEM_RISK, strict=False, keep=keep)
     cols = sorted(batch.columns)
     assert sorted(out.columns) == cols
@@ -24,7 +24,7 @@ def test_stream_equals_batch_and_is_exactly_once(spark, workdir):
     assert batch.select(cols).exceptAll(out.select(cols)).count() == 0
     n = out.count()
     # same checkpoint again: nothing new to process, no duplicate rows
-    again = run_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, ckpt, keep=keep, timeout_s=300)
+    again = run_scoring_stream(spark, fx.LINEITEM_RISK, model, src, reqs.schema, sink, ckpt, keep=keep)
     assert again.count() == n
 
 

@@ -53,7 +53,7 @@ def summarise(text: str) -> dict:
 
 def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from riskloom.plans.queries import QUERIES
 
     spark = build_session("local[8]", shuffle_partitions=8)
     print("# Physical plans of the query catalogue\n")
@@ -62,7 +62,7 @@ def main(argv: list[str]) -> None:
     print("Python = Python evaluation nodes (none expected); scans list ReadSchema and PushedFilters.\n")
     print("| Query | Shuffles | Broadcast | Python | Nested-loop / cartesian | Scans: ReadSchema; PushedFilters |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summarise(plan_text(fn(spark, sf_dir)))
         scans = "<br>".join(f"{f}: `{rs}`; `{pf}`" for f, rs, pf in s["scans"])
         print(
@@ -76,17 +76,12 @@ def main(argv: list[str]) -> None:
 
 NOTES = """## Reading the table
 
-* **RoundRobinPartitioning** is `sources.rebalance`. It appears only because
-  each test table is one Parquet row group, so the scan is one task. It is
-  skipped when the scan already has at least the default parallelism, which is
-  always the case for a large table.
 * **hashpartitioning** on the tree queries is the `(prediction, label)` count,
-  or in `random_split_invariants` the per-key tag count. Each is preceded by
+  and in `hash_split_null_keys` the count per method. Each is preceded by
   map-side partial aggregation, so a hot key is reduced inside every task
   before the shuffle.
 * **SinglePartition** is the final merge of a global aggregate (metrics,
-  vector sums), where each task contributes one partial row. The display table
-  numbers its at most classes² rows with a single ordered window.
+  vector sums, split invariants), where each task contributes one partial row.
 * Queries that write an intermediate file (CSV round trips, store, stream
   sink, predictions) show the plan of the read-back. The write itself is a
   map-only job over the pruned scan.

@@ -22,7 +22,6 @@ from riskloom.operators.score import score_requests  # noqa: E402
 from riskloom.plans import fixture as fx  # noqa: E402
 from riskloom.plans.queries.serving import lineitem_requests  # noqa: E402
 from riskloom.session import build_session, shared_path  # noqa: E402
-from riskloom.sources.table import rebalance  # noqa: E402
 
 
 def _run(df) -> None:
@@ -64,7 +63,7 @@ def main(argv: list[str]) -> None:
         m = model["m"]
         t_pred = _best(lambda: _run(accuracy(m.transform(assemble(fx.lineitem_risk(spark, d, balanced=False),
                                                                    fx.FEATURES)), fx.LABEL)))
-        reqs = lineitem_requests(rebalance(spark.read.parquet(os.path.join(d, "lineitem.parquet"))))
+        reqs = lineitem_requests(spark.read.parquet(os.path.join(d, "lineitem.parquet")))
         t_score = _best(lambda: _run(score_requests(m, reqs, fx.LINEITEM_RISK, strict=False,
                                                     keep=["l_orderkey", "l_linenumber"])))
         print(f"{label}: depth-5 fit {t_fit:.2f}s, predict+accuracy {t_pred:.2f}s, scoring {t_score:.2f}s", flush=True)
