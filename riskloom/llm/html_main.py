@@ -150,7 +150,7 @@ class Features:
         block = np.repeat(np.arange(n), count)
         slot = (words % U64(WORD_FLAGS)).astype(np.int64)
         sign = np.where((words >> U64(40)) & U64(1), 1.0, -1.0)
-        histogram = np.bincount(block * WORD_FLAGS + slot, weights=sign, minlength=n * WORD_FLAGS).reshape(n, WORD_FLAGS)
+        histogram = np.bincount(block * WORD_FLAGS + slot, weights=sign, minlength=n * WORD_FLAGS).reshape(n, WORD_FLAGS).astype(float)
         histogram /= np.sqrt(np.maximum(count, 1))[:, None]
         size = np.maximum(np.diff(offsets), 1)
         share = lambda chars: np.diff(np.concatenate([[0], np.cumsum(np.isin(data, list(chars)))])[offsets]) / size

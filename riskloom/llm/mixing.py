@@ -212,9 +212,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     key = row_hash(id_col, text_col, source_col)
     mix = mix_sources(docs, id_col, text_col, source_col, **options)
-    times = mix.documents.where("size > 0").groupBy("h").agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("mix_times_"))
+    times = mix.documents.where("size > 0").groupBy(F.col("h").alias("mix_key_")).agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("mix_times_"))
     keyed = docs.withColumn("mix_row_", key).dropDuplicates(["mix_row_"])
-    joined = keyed.join(times.where("mix_times_ > 0"), F.col("mix_row_") == F.col("h"))
+    joined = keyed.join(times.where("mix_times_ > 0"), F.col("mix_row_") == F.col("mix_key_"))
     return joined.withColumn("mix_nth_", F.explode(F.sequence(F.lit(1).cast("long"), "mix_times_"))).select(*[keyed[c] for c in docs.columns])
 
 
