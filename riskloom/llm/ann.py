@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, staged
+from riskloom.llm.common import python_stage, staged
 from riskloom.session import table_path
 
 NEIGHBOURS = 32
@@ -216,7 +216,7 @@ def walk(coded: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEA
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", **graph_options: int) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest other rows of every row where ``is_query`` (over vec_id)."""
-    small_batches(vectors.sparkSession)
+    python_stage(vectors.sparkSession)
     rows = valid(vectors, id_col, vec_col).withColumn("h", F.xxhash64("vec")).withColumn("g", F.hash("vec"))
     rows = staged(rows, "ann-rows")
     classes = rows.groupBy("h", "g").agg(F.min("vec_id").alias("node"))

@@ -7,13 +7,17 @@ UTF-8 bytes gives the same words as cutting code points.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+import riskloom
 from riskloom.session import shared_path
 
 ARROW_ROWS = 2000
@@ -25,8 +29,25 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches to a few MB, so a worker's memory does not depend on text length."""
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package even where only the driver has it on its path."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(riskloom.__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="riskloom-ship-")) / "riskloom-package.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in root.rglob("*.py"):
+                archive.write(file, file.relative_to(root.parent))
+        sc.addPyFile(str(target))  # Spark sends it to every executor
+        _SHIPPED.add(sc.applicationId)
+
+
+def python_stage(spark: SparkSession) -> None:
+    """Before an Arrow function is planned: workers can import it, and batches stay at a few MB whatever the texts' length."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 

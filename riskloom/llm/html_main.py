@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskloom.llm.common import U64, buffers, slices, small_batches, word_hashes
+from riskloom.llm.common import U64, buffers, python_stage, slices, word_hashes
 from riskloom.session import table_path
 
 TRAIN_PAGES = 240
@@ -323,7 +323,7 @@ def trained(pages: DataFrame, html_col: str = "html") -> Labeller:
 def extract(pages: DataFrame, labeller: Labeller, keep: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
     """The ``keep`` columns, text (main blocks joined by newlines) and n_chars of every page."""
     spark = pages.sparkSession
-    small_batches(spark)
+    python_stage(spark)
     sent = spark.sparkContext.broadcast(labeller)  # a few thousand weights
     pages = pages.select(*keep, html_col)
 

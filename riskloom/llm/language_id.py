@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import U64, Rolling, buffers, slices, small_batches, staged
+from riskloom.llm.common import U64, Rolling, buffers, python_stage, slices, staged
 from riskloom.session import table_path
 
 ORDER = 5
@@ -259,7 +259,7 @@ def _bits(rows: DataFrame, models: Models) -> DataFrame:
 
 def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG, max_grams: int = MAX_GRAMS) -> Models:
     """Models from labelled ``rows`` (lang, text), bounded as the module docstring says."""
-    small_batches(rows.sparkSession)
+    python_stage(rows.sparkSession)
     rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.lit("lang"), "text"))
     first = W.partitionBy("lang").orderBy("h")
     ends = rows.select("lang", "h").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang)
@@ -285,7 +285,7 @@ def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG,
 def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score, bits, symbols and rejected (replaced if they are there)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_stage(spark)
     sent = spark.sparkContext.broadcast(models)  # bounded by max_grams
     added = {"lang_pred", "score", "bits", "symbols", "rejected"}
     docs = docs.select(*[c for c in docs.columns if c not in added])

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, Rolling, buffers, mix64, slices, small_batches, staged, word_hashes
+from riskloom.llm.common import U64, Rolling, buffers, mix64, slices, python_stage, staged, word_hashes
 from riskloom.llm.components import components
 from riskloom.session import table_path
 
@@ -318,7 +318,7 @@ def _shared(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and class_id (rows with equal sets share one)."""
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = staged(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     classes = staged(rows.where("n > 0").groupBy("a", "b").agg(F.min("row").alias("node")), "near-classes")

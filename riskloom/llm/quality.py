@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskloom.llm.common import U64, Rolling, buffers, byte_hashes, mix64, slices, small_batches, word_bounds
+from riskloom.llm.common import U64, Rolling, buffers, byte_hashes, mix64, python_stage, slices, word_bounds
 from riskloom.session import table_path
 
 REPEAT_WORDS = 8
@@ -112,7 +112,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def ledger(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """The columns of ``docs`` (its text only on request), MEASURES, and ``bits``: the rules that each row fails."""
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
     docs = docs.select(*[c for c in docs.columns if c not in {*MEASURES, "bits"}])
     at = docs.columns.index(text_col)
     fields = [f for f in docs.schema.fields if keep_text or f.name != text_col]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches
+from riskloom.llm.common import python_stage
 from riskloom.session import table_path
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -164,7 +164,7 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and its spans: array of (kind, start, end)."""
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +188,7 @@ def mask_spans(text: str | None, fill: str = "[SECRET]") -> str | None:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every secret in its text replaced; all columns and rows stay."""
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, Rolling, buffers, slices, small_batches, staged, word_hashes
+from riskloom.llm.common import U64, Rolling, buffers, slices, python_stage, staged, word_hashes
 from riskloom.session import table_path
 
 WINDOW = 50
@@ -160,7 +160,7 @@ def window_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
 
 def copied_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Runs of windows that an earlier document holds: doc_id, tid, start, n (windows), owner."""
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
     docs = docs.where("doc_id is not null")
     table = staged(block_table(docs, window, gram), "substring-blocks")
     shared = (
@@ -216,7 +216,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     Returns doc_id, n_words, n_removed and kept (the rest, joined by one space).
     """
-    small_batches(docs.sparkSession)
+    python_stage(docs.sparkSession)
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("tid", "start_word", "n_words")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

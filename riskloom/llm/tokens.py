@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from riskloom.llm.common import buffers, slices, small_batches
+from riskloom.llm.common import buffers, python_stage, slices
 from riskloom.session import table_path
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -268,7 +268,7 @@ def load_model(path: str = MODEL_PATH) -> bytes:
 def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None, verify: bool = True, keep_text: bool = True) -> DataFrame:
     """``docs`` with ids, n_tokens, parity and round_trip (both null without ``verify``)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_stage(spark)
     sent = spark.sparkContext.broadcast(load_model() if model is None else model)  # one model file
     new = [("ids", ArrayType(IntegerType())), ("n_tokens", LongType()), ("parity", BooleanType()), ("round_trip", BooleanType())]
     names = [n for n, _ in new]
@@ -295,7 +295,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None,
 def decode(rows: DataFrame, ids_col: str = "ids", model: bytes | None = None) -> DataFrame:
     """``rows`` with ``decoded``, the text of their ids (null stays null)."""
     spark = rows.sparkSession
-    small_batches(spark)
+    python_stage(spark)
     sent = spark.sparkContext.broadcast(load_model() if model is None else model)  # one model file
     rows = rows.select(*[c for c in rows.columns if c != "decoded"])
     at = rows.columns.index(ids_col)
