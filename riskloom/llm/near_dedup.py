@@ -11,15 +11,16 @@ Jaccard similarity.
    smallest one (a star, not all pairs).
 3. A pair's similarity is estimated by the joint likelihood of "register
    larger / smaller / equal" given both set sizes; hopeless pairs go.
-4. Every component verifies its best open pairs on the full texts, components
-   are merged, and so on until no open pair joins two components.
+4. Every component verifies its best pairs on the full texts, components are
+   merged, and all pairs that still join two components are verified.
 5. A bucket that still holds two components may hide links between members
    other than the smallest. Its documents are indexed again by an exact
    prefix filter (two sets with the wanted similarity share one of their first
    shingles under any common order; frequent shingles come last, so a passage
-   that many documents share is no key). There every member leads in turn, the
-   number of leaders doubling, against members of other components; size and
-   estimate sift these pairs before the rest are verified as in 4.
+   that many documents share is no key). Members of small buckets are paired
+   and sifted by size and estimate. Documents that meet in large ones form
+   groups, compared on their sets block by block: a task sees two bounded
+   blocks and reports only links that join components.
 
 Texts move only for documents with an open pair. Nothing is capped: the list
 of frequent shingles is bounded, but it only sets the order of step 5, which
@@ -34,7 +35,6 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, Rolling, buffers, mix64, slices, python_stage, staged, word_hashes
+from riskloom.llm.common import U64, Rolling, buffers, mix64, python_stage, slices, staged, word_hashes
 from riskloom.llm.components import components
 from riskloom.session import table_path
 
@@ -53,6 +53,9 @@ BAND = 4  # registers of 16 bits: a band is one 64-bit word
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
 HOPE = 0.56  # a pair estimated below this is five standard errors from the threshold
 FREQUENT = 100_000  # shingles at most in the list that orders step 5
+BEST = 2  # pairs of a component that are verified first
+SMALL = 64  # members of a bucket in step 5 that are paired; larger ones are compared in blocks
+BLOCK, COLUMNS = 192, 4096  # documents of a block, shingles multiplied at a time
 SEND_IDS = 500_000  # ids at most that are broadcast to pick texts; beyond, a shuffled join
 
 _SHINGLE = Rolling(0x9FB21C651E98DF25)
@@ -201,23 +204,24 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
 
 
 class _Search:
-    """Pairs tested and links found so far, and the components they make."""
+    """Links found so far and the components they make."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame) -> None:
-        self.docs, self.reps = docs, reps
-        spark = docs.sparkSession
-        self.links = spark.createDataFrame([], "u long, v long")
-        self.tested = self.links
-        self.labels = spark.createDataFrame([], "node long, comp long")
+    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int) -> None:
+        self.docs, self.reps, self.percent = docs, reps, percent
+        self.links = docs.sparkSession.createDataFrame([], "u long, v long")
+        self.labels = docs.sparkSession.createDataFrame([], "node long, comp long")
 
     def labelled(self, rows: DataFrame, node: str, name: str) -> DataFrame:
         names = self.labels.select(F.col("node").alias(node), F.col("comp").alias(name))
         return rows.join(names, node, "left").withColumn(name, F.coalesce(name, node))
 
-    def texts(self, pairs: DataFrame) -> DataFrame:
-        """Texts of the classes in ``pairs``; rows that repeat a doc_id are told apart by their set key."""
-        nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-        named = staged(self.reps.join(nodes, "node").select("node", "doc_id", "a"), "near-named")
+    def open(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose ends are in different components (cu, cv)."""
+        return self.labelled(self.labelled(pairs, "u", "cu"), "v", "cv").where("cu <> cv")
+
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """node, text of ``nodes``; rows that repeat a doc_id are told apart by their set key."""
+        named = staged(self.reps.join(nodes.distinct(), "node").select("node", "doc_id", "a"), "near-named")
         if named.count() <= SEND_IDS:
             named = F.broadcast(named)
         found = self.docs.join(named.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own"))).select("node", "a", "text")
@@ -232,49 +236,100 @@ class _Search:
 
         return staged(found.mapInArrow(own, "node long, text string"), "near-texts")
 
+    def merge(self) -> None:
+        self.labels = staged(components(self.links), "near-labels")
+
     def settle(self, pairs: DataFrame) -> None:
-        """Test the hopeful ``pairs`` (u, v, est) until none of them joins two components."""
-        pairs = staged(pairs, "near-hopeful")
-        if pairs.isEmpty():
+        """Find the links among ``pairs`` (u, v, est), a component's likeliest first.
+
+        The first round verifies a few pairs of each component. They join most
+        of what belongs together, so few pairs are left for the second, which
+        verifies all that still join two components.
+        """
+        best = W.partitionBy("v").orderBy(F.desc("est"), "u")
+        ranked = staged(pairs.withColumn("first", F.row_number().over(best) <= BEST).select("u", "v", "first"), "near-open")
+        if ranked.isEmpty():
             return
-        texts, most = None, 2
-        while True:
-            open_ = self.labelled(self.labelled(pairs, "u", "cu"), "v", "cv").where("cu <> cv")
-            open_ = open_.join(self.tested, ["u", "v"], "left_anti")
-            best = W.partitionBy(F.greatest("cu", "cv")).orderBy(F.desc("est"), "u", "v")
-            picks = staged(open_.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= most).select("u", "v"), "near-picks")
-            if picks.isEmpty():
-                return
-            if texts is None:
-                texts = self.texts(open_.select("u", "v"))
-            good = staged(verified(picks, texts).distinct(), "near-links")
-            self.tested = self.tested.union(picks)
-            if not good.isEmpty():
-                self.links = self.links.union(good)
-                self.labels = staged(components(self.links), "near-labels")
-            most *= 8
+        texts = self.texts(ranked.select(F.explode(F.array("u", "v")).alias("node")))
+        self.links = staged(verified(ranked.where("first").select("u", "v"), texts, self.percent), "near-links")
+        self.merge()
+        more = verified(self.open(ranked.where("not first")).select("u", "v"), texts, self.percent)
+        self.links = self.links.union(staged(more, "near-links"))
 
     def mixed(self, members: DataFrame) -> DataFrame:
-        """Members (with comp) of the buckets that hold two components."""
+        """Members (with comp) of the buckets that hold two components, and their number."""
         with_comp = self.labelled(members, "node", "comp")
-        keys = with_comp.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
-        return with_comp.join(keys, "key").select("key", "node", "comp")
-
-    def exhaust(self, members: DataFrame, percent: int) -> None:
-        """Every member of a mixed bucket leads once, paired with later members of other components and like size."""
-        order = W.partitionBy("key").orderBy("node")
-        left = self.mixed(members).join(self.reps.select("node", "n"), "node").withColumn("nth", F.row_number().over(order))
-        left = staged(left, "near-mixed")
-        last, done, leaders, found = left.agg(F.max("nth")).first()[0] or 0, 0, 8, []
-        while done < last:
-            lead = left.where((F.col("nth") > done) & (F.col("nth") <= done + leaders))
-            lead = lead.select("key", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"), F.col("nth").alias("first"))
-            like = F.lit(100) * F.least("n", "nu") >= F.lit(percent) * F.greatest("n", "nu")
-            pairs = left.join(lead, "key").where("nth > first and comp <> cu").where(like).select("u", F.col("node").alias("v")).distinct()
-            found.append(staged(hopeful(pairs.join(self.tested, ["u", "v"], "left_anti"), self.reps), "near-later"))
-            done, leaders = done + leaders, leaders * 2
-        if found:
-            self.settle(reduce(DataFrame.union, found).groupBy("u", "v").agg(F.max("est").alias("est")))
+        keys = with_comp.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size"))
+        return with_comp.join(keys.where("c0 < c1").select("key", "size"), "key")
+
+    def exhaust(self, keys: DataFrame) -> None:
+        """Find every link between components among the documents that share a key.
+
+        In small buckets members are paired, if their sizes allow a link, and
+        sifted by estimate. Documents that meet in large buckets form groups;
+        a group is compared block by block on the sets, and only links leave
+        a block.
+        """
+        left = staged(self.mixed(keys).join(self.reps.select("node", "n"), "node"), "near-mixed")
+        small = left.where(F.col("size") <= SMALL)
+        other = small.select("key", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("n").alias("nu"))
+        like = F.lit(100) * F.least("n", "nu") >= F.lit(self.percent) * F.greatest("n", "nu")
+        pairs = small.join(other, "key").where("u < node and comp <> cu").where(like).select("u", F.col("node").alias("v")).distinct()
+        pairs = staged(hopeful(pairs, self.reps).select("u", "v"), "near-pairs")
+        large = left.where(F.col("size") > SMALL).select("key", "node")
+        stars = large.join(large.groupBy("key").agg(F.min("node").alias("u")), "key").where("u <> node").select("u", F.col("node").alias("v"))
+        groups = components(stars)
+        texts = self.texts(pairs.select(F.explode(F.array("u", "v")).alias("node")).union(groups.select("node")))
+        found = verified(pairs, texts, self.percent).union(self.blocks(groups, texts))
+        self.links = self.links.union(staged(found, "near-links"))
+        self.merge()
+
+    def blocks(self, groups: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links (u, v) inside ``groups`` (node, comp: the group) between components.
+
+        A group's documents are dealt to blocks; each pair of blocks is one
+        bounded task, which reports enough links to join what it finds linked.
+        """
+        percent = self.percent
+        count = groups.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        dealt = groups.join(count, "comp").withColumnRenamed("comp", "group")
+        dealt = self.labelled(dealt, "node", "comp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        dealt = dealt.join(texts, "node").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        dealt = dealt.select("group", F.least("own", "to").alias("lo"), F.greatest("own", "to").alias("hi"), "node", "comp", "text")
+
+        def compare(table: pa.Table) -> pa.Table:
+            data, offsets = buffers(table.column("text"))
+            sets = [x for lo, hi in slices(offsets) for x in _sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])]
+            nodes, comps = table.column("node").to_numpy(), table.column("comp").to_numpy()
+            size = np.array([len(x) for x in sets])
+            _, kind, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            row, shared = np.repeat(np.arange(len(sets)), size), times > 1
+            row, kind = row[shared[kind]], (np.cumsum(shared) - 1)[kind[shared[kind]]]
+            same = np.zeros((len(sets), len(sets)), dtype=np.float32)
+            order = np.argsort(kind, kind="stable")
+            row, kind = row[order], kind[order]
+            for first in range(0, int(shared.sum()), COLUMNS):  # products of a part of the shingles at a time
+                lo, hi = np.searchsorted(kind, [first, first + COLUMNS])
+                part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+                part[row[lo:hi], kind[lo:hi] - first] = 1.0
+                same += part @ part.T
+            linked = (100 * same >= percent * (size[:, None] + size[None, :] - same)) & (comps[:, None] != comps[None, :])
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in parent:
+                    c = parent[c]
+                return c
+
+            out = []
+            for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+                a, b = root(int(comps[i])), root(int(comps[j]))
+                if a != b:
+                    parent[a] = b
+                    out.append((int(nodes[i]), int(nodes[j])))
+            return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
+
+        return dealt.groupBy("group", "lo", "hi").applyInArrow(compare, "u long, v long")
 
 
 def prefix_keys(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -324,15 +379,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = staged(rows.where("n > 0").groupBy("a", "b").agg(F.min("row").alias("node")), "near-classes")
     reps = staged(rows.join(classes.select("node"), rows["row"] == classes["node"]).select("node", "doc_id", "a", "n", "sketch"), "near-reps")
 
-    search = _Search(docs, reps)
+    search = _Search(docs, reps, percent)
     members, stars = _shared(staged(band_keys(reps), "near-bands"))
     search.settle(hopeful(stars, reps))
     doubtful = staged(search.mixed(members).select("node").distinct(), "near-doubtful")
     if not doubtful.isEmpty():
-        texts = search.texts(doubtful.select(F.col("node").alias("u"), F.col("node").alias("v")))
-        keys, stars = _shared(staged(prefix_keys(texts, percent).distinct(), "near-prefixes"))
-        search.settle(hopeful(stars.join(search.tested, ["u", "v"], "left_anti"), reps))
-        search.exhaust(keys, percent)
+        search.exhaust(staged(prefix_keys(search.texts(doubtful), percent), "near-prefixes").distinct())
 
     named = rows.select("doc_id", "n", "a", "b").join(classes, ["a", "b"], "left").withColumn("node", F.when(F.col("n") > 0, F.col("node")))
     named = search.labelled(named, "node", "comp")

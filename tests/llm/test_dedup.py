@@ -97,6 +97,13 @@ def test_near_duplicates_are_the_brute_force_components(spark, copies):
     assert near(df) == sorted(brute_components(copies), key=str)
 
 
+def test_large_buckets_compare_in_blocks(spark, copies, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    df = spark.createDataFrame(copies, "doc_id long, text string").repartition(4)
+    assert near(df) == sorted(brute_components(copies), key=str)
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     assert near(odd_docs) == sorted(brute_components(rows), key=str)
