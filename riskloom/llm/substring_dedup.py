@@ -30,7 +30,6 @@ a null doc_id is neither reference nor reduced; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -39,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, Rolling, buffers, slices, python_stage, staged, word_hashes
+from riskloom.llm.common import U64, Rolling, buffers, python_stage, slices, staged, word_hashes
 from riskloom.session import table_path
 
 WINDOW = 50
-GRAM = 8
+GRAM = 16
 RUN = 64  # windows a block holds at most (a run of one repeated word is cut)
 _GRAM = Rolling(0x2545F4914F6CDD1D)
 _BODY = Rolling(0xD1342543DE82EF95)
