@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 import riskloom
 from riskloom.session import shared_path
 
-ARROW_ROWS = 2000
-ARROW_BYTES = "8m"
-SLICE_BYTES = 1 << 20
+ARROW_ROWS = 1000
+ARROW_BYTES = "4m"
+SLICE_BYTES = 1 << 19
 
 U64 = np.uint64
 _SPACE = np.zeros(256, dtype=bool)

@@ -245,7 +245,7 @@ def _bits(rows: DataFrame, models: Models) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = buffers(batch.column(1))
-            for lo, hi in slices(offsets, 1 << 21):
+            for lo, hi in slices(offsets, 1 << 20):
                 total, symbols = sent.value.bits(Words(batch.column(1).slice(lo, hi - lo).to_pylist()))
                 langs = batch.column(0).slice(lo, hi - lo).to_pylist()
                 use = np.flatnonzero((symbols > 0) & np.isin(langs, sent.value.langs))
@@ -294,7 +294,7 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = buffers(batch.column(at))
-            for lo, hi in slices(offsets, 1 << 21):
+            for lo, hi in slices(offsets, 1 << 20):
                 own = batch.slice(lo, hi - lo)
                 found = sent.value.predict(own.column(at).to_pylist())
                 new = [

@@ -55,7 +55,8 @@ HOPE = 0.56  # a pair estimated below this is five standard errors from the thre
 FREQUENT = 100_000  # shingles at most in the list that orders step 5
 BEST = 2  # pairs of a component that are verified first
 SMALL = 64  # members of a bucket in step 5 that are paired; larger ones are compared in blocks
-BLOCK, COLUMNS = 192, 4096  # documents of a block, shingles multiplied at a time
+BLOCK, BLOCK_SHINGLES = 192, 150_000  # documents and shingles of a block, about
+COLUMNS = 4096  # shingles multiplied at a time
 SEND_IDS = 500_000  # ids at most that are broadcast to pick texts; beyond, a shuffled join
 
 _SHINGLE = Rolling(0x9FB21C651E98DF25)
@@ -291,7 +292,8 @@ class _Search:
         bounded task, which reports enough links to join what it finds linked.
         """
         percent = self.percent
-        count = groups.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        size = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+        count = groups.join(self.reps.select("node", "n"), "node").groupBy("comp").agg(F.ceil(size).alias("blocks"))
         dealt = groups.join(count, "comp").withColumnRenamed("comp", "group")
         dealt = self.labelled(dealt, "node", "comp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
         dealt = dealt.join(texts, "node").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

@@ -3,7 +3,7 @@
 A document's windows of ``window`` words fall into *blocks*: runs of windows
 with the same anchor, the smallest hash of the k-word sequences inside the
 window. Equal windows have equal anchors, wherever they stand, so the anchor
-is a complete index key, and there is about one block in twenty words.
+is a complete index key, and there is about one block in eighteen words.
 
 The reference is every block, owned by the smallest doc_id that holds it.
 A document is then factored greedily from the left:

@@ -37,7 +37,7 @@ from riskloom.session import table_path
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 400_000  # distinct parts a worker keeps before it starts anew
+REMEMBERED = 200_000  # distinct parts a worker keeps before it starts anew
 GROUP = 1000  # parts encoded as one text
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -281,7 +281,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None,
         for batch in batches:
             encoder = encoder or Encoder(sent.value, verify)
             _, offsets = buffers(batch.column(at))
-            for lo, hi in slices(offsets, 1 << 22):
+            for lo, hi in slices(offsets, 1 << 21):
                 own = batch.slice(lo, hi - lo)
                 done = encoder.encode([t or "" for t in own.column(at).to_pylist()])
                 checked = [pa.array(x if verify else [None] * (hi - lo), pa.bool_()) for x in (done.parity, done.round_trip)]
