@@ -110,7 +110,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     referred = as_of(narrow).select("record_id", "key", "ts", "refers_to").distinct()
     same = [revisits[c].eqNullSafe(referred[c]) for c in ("record_id", "key", "ts")]
     named = revisits.join(referred, same, "left").select(revisits["record_id"], revisits["key"], revisits["ts"], "headers", "refers_to")
-    joined = named.join(stored, "refers_to", "left")
+    # revisits without an earlier response are spread over the join, not sent to one task
+    spread = F.when(F.col("refers_to").isNull(), F.pmod(F.xxhash64("record_id"), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    joined = named.withColumn("spread", spread).join(stored.withColumn("spread", F.lit(0).cast("long")), ["refers_to", "spread"], "left")
     agree = validators_agree(F.col("headers"), F.col("stored"))
     verdict = F.when(F.col("stored").isNull(), "no_response").when(agree, "resolved").otherwise("validator_mismatch")
     good = F.col("verdict") == "resolved"
