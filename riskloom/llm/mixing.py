@@ -11,7 +11,9 @@ deal the slots to sources evenly at every scale; the slots of a source are
 ranked and the ``r``-th takes the source's ``r``-th block.
 
 Prefix sums run in two levels (hash bucket, then inside the bucket), so a
-source that holds most rows is spread over thousands of groups. Everything is
+source that holds most rows is spread over thousands of groups. Joins of tables
+that grow with the input are told to merge: their files are so compressible
+that their size on disk says nothing about a broadcast's. Everything is
 DataFrame functions; no Python runs on the executors.
 
 Defined results: null text or a text without words has size 0 and takes
@@ -186,14 +188,14 @@ def mix_sources(
     # a block whose source got a slot too few stands after the dealt slots
     late = F.lit(n_slots + n_slots // 16 + 64) + F.col("rank")
     schedule = staged(
-        taken.join(ranked, ["sid", "rank"], "left").select("sid", F.coalesce("slot", late).alias("slot"), "epoch", "block", "words"), "mix-schedule"
+        taken.join(ranked.hint("merge"), ["sid", "rank"], "left").select("sid", F.coalesce("slot", late).alias("slot"), "epoch", "block", "words"), "mix-schedule"
     )
 
     # the words of each document that lie in taken blocks
     pieces = (
         placed.where("size > 0")
         .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / n), F.floor((F.col("start") + F.col("size") - 1) / n))))
-        .join(schedule, ["sid", "block"], "left")
+        .join(schedule.hint("merge"), ["sid", "block"], "left")
         .withColumn("lo", F.greatest("start", F.col("block") * n))
         .withColumn("hi", F.least(F.col("start") + F.col("size"), F.col("block") * n + F.coalesce("words", F.lit(0))))
         .withColumn("got", F.greatest(F.col("hi") - F.col("lo"), F.lit(0)))
@@ -214,7 +216,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mix = mix_sources(docs, id_col, text_col, source_col, **options)
     times = mix.documents.where("size > 0").groupBy(F.col("h").alias("mix_key_")).agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("mix_times_"))
     keyed = docs.withColumn("mix_row_", key).dropDuplicates(["mix_row_"])
-    joined = keyed.join(times.where("mix_times_ > 0"), F.col("mix_row_") == F.col("mix_key_"))
+    joined = keyed.join(times.where("mix_times_ > 0").hint("merge"), F.col("mix_row_") == F.col("mix_key_"))
     return joined.withColumn("mix_nth_", F.explode(F.sequence(F.lit(1).cast("long"), "mix_times_"))).select(*[keyed[c] for c in docs.columns])
 
 
