@@ -39,7 +39,7 @@ REPORT = 4  # better neighbours that a node hears of at one meeting
 TABLES, CHUNK, FIRST = 8, 64, 8  # hyperplane tables, nodes compared at once, neighbours kept from each
 ROUNDS = 8
 SETTLED = 0.05  # share of entries changed in a round below which the graph is done
-BEAM, EXPAND = 96, 48
+BEAM, EXPAND = 160, 80
 FINAL = 32  # nodes of the beam that are compared exactly
 
 _EDGES = "node long, nbr long, sim float"
