@@ -13,8 +13,8 @@ rows; a document is *rejected* when it has no letter or when its cross-entropy
 lies far beyond what the held-out rows of its language show at its length.
 
 The models are fitted on a bounded sample: per language the ``rows_per_lang``
-rows first in a hash order, and of their sequences the ``max_grams`` most
-frequent of each order. Counting runs on Spark; only that bounded table
+distinct texts first in a hash order, and of their sequences the ``max_grams``
+most frequent of each order. Counting runs on Spark; only that bounded table
 reaches the driver. Every row is scored on its whole text, each distinct
 word of a batch once.
 
@@ -262,9 +262,11 @@ def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG,
     python_stage(rows.sparkSession)
     rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.lit("lang"), "text"))
     first = W.partitionBy("lang").orderBy("h")
-    ends = rows.select("lang", "h").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang)
+    keys = rows.select("lang", "h").dropDuplicates()  # copies of a text count once
+    ends = keys.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang)
     ends = ends.groupBy("lang").agg(F.max("h").alias("last"))  # a row a language; texts do not move for it
-    sample = staged(rows.join(F.broadcast(ends), "lang").where("h <= last").select("lang", "text", "h").repartition(16), "lang-sample")
+    sample = rows.join(F.broadcast(ends), "lang").where("h <= last").select("lang", "text", "h").dropDuplicates(["lang", "h"])
+    sample = staged(sample.repartition(16), "lang-sample")
     learned = sample.where("pmod(h, 6) <> 0").select("lang", "text")
     often = W.partitionBy("lang", "ord").orderBy(F.desc("cnt"), "gram")
     counted = gram_counts(learned, order).withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= max_grams).drop("nth")
