@@ -11,8 +11,9 @@ change.
 A query walks the graph greedily: the nearest nodes found so far that were not
 expanded yet are joined with their neighbour lists, until a whole round finds
 nothing nearer. Every row is in the graph; queries are a stated part of the
-rows. Graph building and the walk compare vectors rounded to bytes; the
-result uses cosines of the original vectors in double precision.
+rows. Graph building and the walk compare vectors kept in single precision by
+cosines in double precision, so that near-equal vectors stay apart; the whole
+beam is then ranked by cosines of the original vectors in double precision.
 
 Defined results: vectors that are null, empty, zero, hold a null or a
 non-finite component, or have another length than most rows take no part; ties
@@ -40,9 +41,8 @@ TABLES, CHUNK, FIRST = 8, 64, 8  # hyperplane tables, nodes compared at once, ne
 ROUNDS = 8
 SETTLED = 0.05  # share of entries changed in a round below which the graph is done
 BEAM, EXPAND = 160, 80
-FINAL = 32  # nodes of the beam that are compared exactly
 
-_EDGES = "node long, nbr long, sim float"
+_EDGES = "node long, nbr long, sim double"
 
 
 def valid(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -63,13 +63,13 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
 
 
 def codes(nodes: DataFrame) -> DataFrame:
-    """node and its vector rounded to bytes."""
+    """node and its vector in single precision, scaled by its largest component."""
 
     def rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column(1), float)
-                x = np.rint(x * (127.0 / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
+                x = (x / np.abs(x).max(axis=1, keepdims=True)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["node", "code"])
 
     return nodes.select("node", "vec").mapInArrow(rounded, "node long, code binary")
@@ -81,7 +81,7 @@ def _buckets(coded: DataFrame, bits: int) -> DataFrame:
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch.column(1), np.int8).astype(np.float32)
+                x = _matrix(batch.column(1), np.float32)
                 planes = np.random.default_rng(11).standard_normal((x.shape[1], TABLES * bits)).astype(np.float32)
                 side = ((x @ planes) > 0).reshape(len(x), TABLES, bits) @ (1 << np.arange(bits, dtype=np.int64))
                 for t in range(TABLES):
@@ -103,7 +103,7 @@ def local_join(groups: DataFrame, most: int) -> DataFrame:
             if not len(lists):
                 continue
             cuts, flat = lists.offsets.to_numpy(), lists.values
-            x = _matrix(flat.field("code"), np.int8).astype(np.float32)
+            x = _matrix(flat.field("code"), np.float32).astype(float)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             nodes, floor = flat.field("node").to_numpy(), flat.field("floor").to_numpy()
             fresh = flat.field("fresh").to_numpy(zero_copy_only=False)
@@ -131,7 +131,7 @@ def _best(edges: DataFrame, most: int) -> DataFrame:
 
 
 def _member(floor: Column, fresh: Column) -> Column:
-    return F.struct("node", "code", floor.cast("float").alias("floor"), fresh.alias("fresh"))
+    return F.struct("node", "code", floor.cast("double").alias("floor"), fresh.alias("fresh"))
 
 
 def descend(coded: DataFrame, neighbours: int = NEIGHBOURS, gather: int = GATHER, rounds: int = ROUNDS) -> DataFrame:
@@ -177,16 +177,16 @@ def _cosines(pairs: DataFrame) -> DataFrame:
 
 
 def _near_cosines(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (query, node, a, b) with the cosine of byte codes a and b."""
+    """``pairs`` (query, node, a, b) with the cosine of codes a and b."""
 
     def cosine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (_matrix(batch.column(i), np.int8).astype(np.float32) for i in (2, 3))
+                a, b = (_matrix(batch.column(i), np.float32).astype(float) for i in (2, 3))
                 score = (a * b).sum(axis=1) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], names=["query", "node", "score"])
 
-    return pairs.select("query", "node", "a", "b").mapInArrow(cosine, "query long, node long, score float")
+    return pairs.select("query", "node", "a", "b").mapInArrow(cosine, "query long, node long, score double")
 
 
 def walk(coded: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
@@ -199,7 +199,7 @@ def walk(coded: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEA
     goals = staged(queries.join(coded, F.col("query") == F.col("node")).select("query", F.col("code").alias("a")), "ann-goals")
     best = W.partitionBy("query").orderBy(F.desc("score"), "node")
     met = goals.select("query", F.col("query").alias("node"))
-    front = staged(met.select("query", "node", F.lit(2.0).cast("float").alias("score"), F.lit(True).alias("open")), "ann-beam")
+    front = staged(met.select("query", "node", F.lit(2.0).alias("score"), F.lit(True).alias("open")), "ann-beam")
     while True:
         rank = F.row_number().over(W.partitionBy("query", "open").orderBy(F.desc("score"), "node"))
         front = front.withColumn("now", F.col("open") & (rank <= expand))
@@ -211,7 +211,7 @@ def walk(coded: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEA
         merged = kept.unionByName(fresh.withColumn("open", F.lit(True))).withColumn("r", F.row_number().over(best))
         front = staged(merged.where(F.col("r") <= beam).drop("r"), "ann-beam")
         if front.where("open").isEmpty():
-            return front.withColumn("r", F.row_number().over(best)).where(F.col("r") <= FINAL).select("query", "node")
+            return front.select("query", "node")
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", **graph_options: int) -> DataFrame:

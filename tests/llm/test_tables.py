@@ -161,6 +161,21 @@ def test_neighbours_recall_and_scores(spark):
     assert all(abs(r.score - scores[r.query_id, r.vec_id]) < 1e-9 for r in found if (r.query_id, r.vec_id) in scores)
 
 
+def test_neighbours_in_a_tight_group(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((3000, 64))
+    vectors[::3] = rng.standard_normal(64) * (1 + 0.005 * rng.standard_normal((1000, 64)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 30 == 0).collect()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 3000, 30):
+        near = unit @ unit[i]
+        near[i] = -2
+        hits += len({r.vec_id for r in found if r.query_id == i} & set(np.argsort(-near)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 100, hits
+
+
 def test_neighbours_odd_vectors(spark):
     rng = np.random.default_rng(2)
     hot = rng.standard_normal(8).tolist()
