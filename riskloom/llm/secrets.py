@@ -13,6 +13,9 @@ The further kinds are reported only when their content decodes and parses:
 * ``pem``: an armoured private key whose body decodes to one of these, or to
   the bytes an encrypted armour promises.
 
+Keys may be wrapped: base64 lines that follow each other, their ends real or
+escaped as in a string literal, are read as one run up to the key's own length.
+
 Spans are [start, end) in code points, sorted by start, then kind in the order
 of KINDS. Base spans are never dropped. Null text counts as empty; repeated
 rows get equal spans; other columns are ignored by ``scan`` and kept by
@@ -44,8 +47,13 @@ _HEX = re.compile(r"[0-9a-f]{16,}")  # of maximal runs, those of 16 or more
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{5,})\.(eyJ[A-Za-z0-9_-]{3,})\.([A-Za-z0-9_-]+)")
 _LONG = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{40,}\Z")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]{16,})-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[^-]|-(?!----))*+)-----END \1-----")
 _SSH_MAGIC = b"openssh-key-v1\0"
+_SSH_TEXT = "b3BlbnNzaC1rZXkt"
+_ENDING = re.compile(r"\\+[rn]|\\*[\r\n]")  # of a line, real or escaped
+_KEY_START = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[rn]))(?:M[A-P][A-Za-z0-9+/_-]{{14}}|{_SSH_TEXT})")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_NEXT_LINE = re.compile(r"[ \t]*(?:(?:\\+[rn])+|\\*\r?\n)[ \t]*(?=[A-Za-z0-9+/_-])")
 
 
 def _base64(text: str) -> bytes | None:
@@ -113,6 +121,57 @@ def is_ssh_key(data: bytes) -> bool:
     return at == len(data) and bool(fields[0]) and bool(fields[-1])
 
 
+def _der_size(data: bytes) -> int | None:
+    """Bytes of the private key whose first bytes these are."""
+    more = data[1] & 0x7F if data[1] >= 0x80 else 0
+    if data[0] != 0x30 or more > 4 or data[1] == 0x80 or data[2 + more : 4 + more] != b"\x02\x01":
+        return None
+    return 2 + more + (int.from_bytes(data[2 : 2 + more], "big") if more else data[1])
+
+
+def _ssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH private key that ``data`` begins with."""
+    at = len(_SSH_MAGIC)
+    for take in ("cipher", "kdf", "options", "count", "public", "private"):
+        if at + 4 > len(data):
+            return None
+        at += 4 + (0 if take == "count" else int.from_bytes(data[at : at + 4], "big"))
+    return at if at <= len(data) else None
+
+
+def _wrapped_keys(text: str) -> list[tuple[str, int, int]]:
+    """Spans of base64 keys over one or more lines that end where a line ends."""
+    out, at = [], 0
+    while begin := _KEY_START.search(text, at):
+        is_ssh = begin[0] == _SSH_TEXT
+        pos, at = begin.start(), _RUN.match(text, begin.start()).end()
+        size = None if is_ssh else _der_size(_base64(begin[0]))
+        if size is None and not is_ssh:
+            continue
+        lines, ends, chars = [], {}, 0
+        while run := _RUN.match(text, pos):
+            if is_ssh and lines and run[0].startswith(_SSH_TEXT):
+                break  # the next key
+            lines.append(run[0])
+            chars += len(run[0])
+            ends[chars] = run.end()
+            more = _NEXT_LINE.match(text, run.end())
+            if not more or (size is not None and 3 * chars >= 4 * size):
+                break
+            pos = more.end()
+        joined = "".join(lines)
+        if is_ssh:
+            raw = _base64(joined[: chars - (chars % 4 == 1)])
+            size = _ssh_size(raw) if raw is not None else None
+        need = -(-4 * size // 3) if size is not None else 0
+        raw = _base64(joined[:need]) if need in ends else None
+        if raw and (is_ssh_key(raw) if is_ssh else is_der_key(raw)):
+            at = ends[need]
+            at += text.startswith("=", at) + text.startswith("==", at)
+            out.append(("ssh" if is_ssh else "der", begin.start(), at))
+    return out
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     parts = []
     for part in (header, payload):
@@ -125,7 +184,7 @@ def is_signed_token(header: str, payload: str) -> bool:
 
 
 def _is_pem(label: str, body: str) -> bool:
-    lines = [x.strip() for x in body.split("\n")]
+    lines = ["".join(x.split()) for x in _ENDING.split(body.replace("\\/", "/"))]
     heads = [x for x in lines if ":" in x]
     raw = _base64("".join(x for x in lines if ":" not in x))
     if raw is None or not raw:
@@ -154,6 +213,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 spans.append(("der", m.start(), m.end()))
             elif raw and is_ssh_key(raw):
                 spans.append(("ssh", m.start(), m.end()))
+    spans += [s for s in _wrapped_keys(text) if s not in spans]
     if "PRIVATE KEY-----" in text:
         spans += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if _is_pem(m[1], m[2])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
