@@ -53,11 +53,14 @@ WORDS = {
 }
 _MAIN, _OTHER = (frozenset(WORDS[k].split()) for k in (True, False))
 
+_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_RAW = rf"""<!--.*?(?:-->|\Z)|<(script|style|iframe|textarea)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"""
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head|iframe|object|textarea|select)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*>""",
+    rf"""{_RAW}|<(/?)([a-zA-Z][^\s/>"']*+)({_ATTRS})>|<[/!?a-zA-Z][^>]*>""",
     re.DOTALL | re.IGNORECASE,
 )
+#: Elements that are left out with their content where an end tag matches; without one only the tag is.
+_HIDDEN = {x: re.compile(rf"{_RAW}|<(/?){x}(?=[\s/>])({_ATTRS})>", re.DOTALL | re.IGNORECASE) for x in ("noscript", "template", "svg", "object", "select", "title")}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Za-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input".split())
@@ -67,6 +70,21 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 Block = tuple[str, str, int]  # path words, text, characters inside links
 
 
+def _ends(page: str, name: str, at: int) -> dict[int, int]:
+    """Where each element of that name after ``at`` begins and, by the matching end tag, ends."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for m in _HIDDEN[name].finditer(page, at):
+        if m[2] is None:
+            continue
+        if not m[2]:
+            if not (name == "svg" and m[3].endswith("/")):
+                opened.append(m.start())
+        elif opened:
+            ends[opened.pop()] = m.end()
+    return ends
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order, with white space folded and references decoded."""
     out: list[Block] = []
@@ -85,7 +103,8 @@ def blocks_of(page: str | None) -> list[Block]:
         linked = 0
 
     page = page or ""
-    for m in _TOKEN.finditer(page):
+    hidden: dict[str, dict[int, int]] = {}
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             parts.append(page[at : m.start()])
             if in_link:
@@ -97,6 +116,16 @@ def blocks_of(page: str | None) -> list[Block]:
                 parts.append(" ")
             continue
         name = name.lower()
+        if name in _HIDDEN:
+            if not m[2]:
+                if name not in hidden:
+                    hidden[name] = _ends(page, name, m.start())
+                at = hidden[name].get(m.start(), at)
+            parts.append(" ")
+            continue
+        if name == "head":
+            flush()  # what it holds is hidden or begins the body
+            continue
         if name in _INLINE:
             if name == "a":
                 in_link = 0 if m[2] else 1

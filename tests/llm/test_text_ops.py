@@ -229,6 +229,21 @@ def test_blocks_read_markup_as_a_browser():
     assert html_main.blocks_of(None) == html_main.blocks_of("") == html_main.blocks_of("<p></p><!-- never closed") == []
 
 
+def test_hidden_elements_hide_no_more_than_they_hold():
+    texts = lambda page: [t for _, t, _ in html_main.blocks_of(page)]
+    body = "<p>one</p><p>two</p>"
+    for start in ("<head><title>T</title><meta charset=x><style>p{}</style>", "<head><title>T</title><body>", "<head>", "<HEAD lang=en><script>1</script>", "<title>T</title></head>"):
+        assert texts(start + body) == ["one", "two"], start
+        assert html_main.blocks_of(start + body)[0][0].split()[-1] == "p"
+    for tag in ("<svg/>", "<svg class='a>b' />", "<svg>", "<select>", "<object data=x>", "<template>", "<noscript>", "</svg>", "<svg-icon name=a>", "<svg-icon></svg-icon>", "<select-menu>", "<head-line>", "<script-x>", "<svg><svg/>"):
+        assert texts(f"<p>zero</p>{tag}{body}") == ["zero", "one", "two"], tag
+        assert texts(f"{tag}{body}<svg><text>gone</text></svg><p>three") == ["one", "two", "three"], tag
+    for gone in ("<svg><svg><b>no</b></svg>no</svg>", "<svg><!-- </svg> -->no</svg>", "<select><option>no</select>", "<template><p>no</template >", "<script>'<svg>'</script >", "<iframe>no</iframe>", "<object><svg/>no</object>", "<noscript>no</noscript>"):
+        assert texts(gone + body) == ["one", "two"], gone
+    for raw in ("script", "style", "textarea", "iframe"):
+        assert texts(f"<p>zero<{raw}>{body}") == ["zero"], raw
+
+
 def test_pages_odd_rows(spark, labeller):
     rows = [(1, None, "u"), (2, "", "u"), (3, "<p>", None), (3, "<p>", None), (None, "<article><p>" + "word " * 30_000 + "</article>", "v"), (5, "no markup at all", "w")]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, html string, url string, text string")
