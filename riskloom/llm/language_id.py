@@ -42,6 +42,7 @@ from riskloom.session import table_path
 ORDER = 5
 ROWS_PER_LANG = 3000
 MAX_GRAMS = 100_000
+HELD_TEXTS = 20  # held-out texts that a language's limits need; with fewer texts in all, none is held out
 MARGIN_BITS = 1.0  # a text is rejected only this far beyond eight spreads
 _SYMBOLS = Rolling(0xDA942042E4DD58B5)
 _EDGE = 0x10FFFF  # the boundary symbol; not a character
@@ -213,7 +214,7 @@ class Models:
         self.temperature = float(grid[int(np.argmin(loss))])
         for k in range(len(self.langs)):
             x, n = own[true == k], symbols[true == k]
-            if len(x) >= 20:
+            if len(x) >= HELD_TEXTS:
                 mean = np.median(x)
                 z = np.abs(x - mean) * np.sqrt(n)
                 long = n >= np.median(n)
@@ -264,10 +265,11 @@ def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG,
     first = W.partitionBy("lang").orderBy("h")
     keys = rows.select("lang", "h").dropDuplicates()  # copies of a text count once
     ends = keys.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_lang)
-    ends = ends.groupBy("lang").agg(F.max("h").alias("last"))  # a row a language; texts do not move for it
-    sample = rows.join(F.broadcast(ends), "lang").where("h <= last").select("lang", "text", "h").dropDuplicates(["lang", "h"])
+    ends = ends.groupBy("lang").agg(F.max("h").alias("last"), (F.count(F.lit(1)) < HELD_TEXTS).alias("few"))  # a row a language; texts do not move for it
+    sample = rows.join(F.broadcast(ends), "lang").where("h <= last").dropDuplicates(["lang", "h"])
+    sample = sample.select("lang", "text", (F.expr("pmod(h, 6) = 0") & ~F.col("few")).alias("held"))
     sample = staged(sample.repartition(16), "lang-sample")
-    learned = sample.where("pmod(h, 6) <> 0").select("lang", "text")
+    learned = sample.where("not held").select("lang", "text")
     often = W.partitionBy("lang", "ord").orderBy(F.desc("cnt"), "gram")
     counted = gram_counts(learned, order).withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= max_grams).drop("nth")
     table = counted.toArrow()  # at most max_grams rows for each language and order
@@ -278,7 +280,7 @@ def fit(rows: DataFrame, order: int = ORDER, rows_per_lang: int = ROWS_PER_LANG,
     counts = {x: [{c: v[(which == x) & (ords == n)] for c, v in columns.items()} for n in range(1, order + 1)] for x in langs}
     models = Models([x for x in langs if len(counts[x][0]["gram"])], counts, order)
     if models.langs:
-        checked = _bits(sample.where("pmod(h, 6) = 0").select("lang", "text"), models).toArrow()  # numbers for a sixth of the sample
+        checked = _bits(sample.where("held").select("lang", "text"), models).toArrow()  # numbers for a sixth of the sample
         true = np.array([models.langs.index(x) for x in checked.column("lang").to_pylist()], dtype=int)
         models.calibrate(np.array(checked.column("bits").to_pylist()).reshape(-1, len(models.langs)), checked.column("symbols").to_numpy(), true)
     return models

@@ -51,6 +51,14 @@ def test_copies_of_a_text_count_once_in_the_language_sample(spark):
     assert abs(want.limits - got.limits).max() < 1e-9 and want.temperature == got.temperature
 
 
+def test_a_language_of_few_texts_has_a_model(spark):
+    rng = random.Random(10)
+    texts = spark.createDataFrame([(prose(rng, 8),) for _ in range(40)], "text string").withColumn("h", F.xxhash64(F.lit("lang"), "text"))
+    held = texts.where("pmod(h, 6) = 0").select(F.lit("fr").alias("lang"), "text").limit(1)
+    assert held.count() == 1
+    assert language_id.fit(held).langs == ["fr"]
+
+
 def test_kneser_ney_sums_to_one(spark):
     rng = random.Random(1)
     rows = spark.createDataFrame([("en", prose(rng, 400)), ("fr", prose(rng, 300))], "lang string, text string")
