@@ -375,6 +375,8 @@ def _shared(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and class_id (rows with equal sets share one)."""
+    if percent < PERCENT:
+        raise ValueError(f"percent must be {PERCENT} or more: HOPE and the bands would miss pairs below it")
     python_stage(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = staged(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "near-sketches")

@@ -104,6 +104,11 @@ def test_large_buckets_compare_in_blocks(spark, copies, monkeypatch):
     assert near(df) == sorted(brute_components(copies), key=str)
 
 
+def test_near_duplicates_refuse_what_the_sketches_would_miss(no_docs):
+    with pytest.raises(ValueError, match="75"):
+        near_dedup.near_duplicates(no_docs, percent=50)
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     assert near(odd_docs) == sorted(brute_components(rows), key=str)
