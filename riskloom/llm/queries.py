@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import ann, html_main, language_id, mixing, near_dedup, quality, secrets, substring_dedup, tokens, warc
+from riskloom.llm import ann, html_main, language_id, manifest, mixing, near_dedup, quality, secrets, substring_dedup, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main": html_main.op8_html_main,
     "op9_ann": ann.op9_ann,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": quality.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_merkle_manifest": manifest.ORACLE,
 }
