@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import alignment, ann, html_main, language_id, manifest, mixing, near_dedup, quality, secrets, substring_dedup, tokens, warc
+from riskloom.llm import alignment, ann, html_main, language_id, licenses, manifest, mixing, near_dedup, quality, secrets, substring_dedup, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ann": ann.op9_ann,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_license_scan": licenses.op12_license_scan,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
 
