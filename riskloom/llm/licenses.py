@@ -193,7 +193,7 @@ GENERIC: list[tuple[str, int, float, str, str]] = [
 # Passages of licence texts: label, regex; the keywords are the longest words that every match holds.
 TEXTS: list[tuple[str, str]] = [
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("mit", r"the above copyright notice and this permission notice (?:\([^ ]+\) )?shall be included in all copies or substantial portions"),
+    ("mit", r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions"),
     ("mit", r"use copy modify merge publish distribute sublicense and or sell copies"),
     ("mit", r"merchantability fitness for a particular purpose and noninfringement"),
     ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
@@ -275,8 +275,9 @@ CC_WORDS = {"by": "attribution", "nc": "non ?commercial", "nd": "no ?deriv(?:ati
 
 def sure_words(pattern: str) -> list[str]:
     """Words that every match of a pattern holds, longest first: what stands outside its groups, classes and options."""
-    while "(?:" in pattern:
-        pattern = re.sub(r"\(\?:[^()]*\)", "~", pattern)
+    groups = 1
+    while groups:  # innermost groups first
+        pattern, groups = re.subn(r"\(\?:[^()]*\)", "~", pattern)
     return sorted({w for w in pattern.replace(" ?", "~").split(" ") if re.fullmatch("[a-z0-9]+", w)}, key=lambda w: (-len(w), w))
 
 
