@@ -129,10 +129,10 @@ NAMED: list[tuple[str, str, str, list[str], list[str]]] = [
     ("cecill-2.1", "cecill", rf"cecill(?: free software)? {LICENCE}(?: (?:version |v)?2 [01])?", ["cecill 2 1", "cecill b", "cecill c"], ["cecill info"]),
     ("apsl-2.0", "apple", rf"apple public source {LICENCE}(?: (?:version |v)?2 0)?", ["apsl 2 0"], ["opensource apple com apsl"]),
     ("nasa-1.3", "nasa", rf"nasa open source agreement(?: (?:version |v)?1 3)?", ["nasa 1 3"], []),
-    ("openrail-m", "rail", rf"(?:creativeml |bigscience )?open rail m?(?: {LICENCE})?", ["openrail", "creativeml openrail m"], []),
+    ("openrail-m", "rail", rf"(?:creativeml |bigscience )?open rail(?: m)?(?: {LICENCE})?", ["openrail", "creativeml openrail m"], []),
     ("llama", "llama", rf"llama (?:2|3|3 1|3 2|4) community {LICENCE}(?: agreement)?", ["llama2", "llama3"], ["ai meta com llama license"]),
     ("hippocratic-2.1", "hippocratic", rf"hippocratic {LICENCE}(?: (?:version |v)?[23] [01])?", ["hippocratic 2 1"], []),
-    ("mulan-psl-2.0", "mulan", rf"mulan (?:permissive software|psl) {LICENCE}?(?: ?v?2)?", ["mulanpsl 2 0"], []),
+    ("mulan-psl-2.0", "mulan", rf"mulan (?:permissive software|psl)(?: {LICENCE})?(?: (?:version |v)?2)?", ["mulanpsl 2 0"], []),
     ("blueoak-1.0.0", "oak", rf"blue oak model {LICENCE}(?: 1 0 0)?", ["blueoak 1 0 0"], ["blueoakcouncil org license"]),
     ("curl", "curl", rf"curl {LICENCE}", ["curl"], []),
     ("ijg", "jpeg", rf"independent jpeg group (?:s )?{LICENCE}", ["ijg"], []),
@@ -401,7 +401,10 @@ class Scanner:
         return np.diff(before), out
 
 
-_scanner = lru_cache(maxsize=1)(Scanner)
+@lru_cache(maxsize=1)
+def _scanner() -> Scanner:
+    return Scanner()
+
 
 HIT = StructType(
     [
