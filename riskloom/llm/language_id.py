@@ -172,9 +172,9 @@ class Models:
             some = np.flatnonzero((place[todo] >= n - 1) & unset.any(axis=1))
             end = todo[some] + 1
             lo = end - n
-            found = _lookup(self.grams[n - 1], _SYMBOLS.ranges(words.codes, lo, end))
+            found = _lookup(self.grams[n - 1], _SYMBOLS.ranges(words.codes, lo, end), np.nan)
             hit = unset[some] & ~np.isnan(found)
-            back = _lookup(self.contexts[n - 1], _SYMBOLS.ranges(words.codes, lo, end - 1))
+            back = _lookup(self.contexts[n - 1], _SYMBOLS.ranges(words.codes, lo, end - 1), 0.0)
             logp[some] += np.where(unset[some], np.where(hit, found, back), 0.0)
             unset[some] &= ~hit
         logp += np.where(unset, self.floor, 0.0)
@@ -229,14 +229,13 @@ def _columns(parts: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tupl
     return keys, table
 
 
-def _lookup(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
-    """Rows of the hashes; those not there get the row of missing values."""
+def _lookup(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, missing: float) -> np.ndarray:
+    """Rows of the hashes; those not there get ``missing`` for every language."""
     keys, values = table
-    missing = np.full(values.shape[1], np.nan if np.isnan(values).any() else 0.0, dtype=np.float32)
     if not len(keys):
-        return np.broadcast_to(missing, (len(hashes), values.shape[1]))
+        return np.full((len(hashes), values.shape[1]), missing, dtype=np.float32)
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    return np.where((keys[at] == hashes)[:, None], values[at], missing)
+    return np.where((keys[at] == hashes)[:, None], values[at], np.float32(missing))
 
 
 def _bits(rows: DataFrame, models: Models) -> DataFrame:

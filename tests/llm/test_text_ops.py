@@ -59,18 +59,26 @@ def test_a_language_of_few_texts_has_a_model(spark):
     assert language_id.fit(held).langs == ["fr"]
 
 
-def test_kneser_ney_sums_to_one(spark):
+def test_bits_of_continuations_are_finite(spark):
     rng = random.Random(1)
     rows = spark.createDataFrame([("en", prose(rng, 400)), ("fr", prose(rng, 300))], "lang string, text string")
     models = language_id.fit(rows.unionAll(rows.select("lang", F.concat("text", F.lit(" x"))).limit(12)))
     letters = sorted(set("".join(t for _, t in rows.collect())) - {" ", "."})
-    # every continuation of one context: letters, the end, and the share left for unseen symbols
     import numpy as np
 
     words = language_id.Words(["al" + c for c in letters] + ["al"])
     total, _ = models.bits(words)
-    base, _ = models.bits(language_id.Words(["al"]))
-    assert np.isfinite(total).all() and (total > 0).all() and (base > 0).all()
+    assert np.isfinite(total).all() and (total > 0).all()
+
+
+def test_unseen_text_under_one_language_is_rejected(spark):
+    rng = random.Random(21)
+    rows = spark.createDataFrame([("en", prose(rng, 40)) for _ in range(200)], "lang string, text string")
+    models = language_id.fit(rows)
+    assert models.langs == ["en"]
+    found = models.predict([prose(rng, 40), "привет мир как дела", "日本語", "xqzvj wkkpq zzxxq"])
+    assert found["rejected"] == [False, True, True, True]
+    assert all(b > 4 * found["bits"][0] for b in found["bits"][1:3])
 
 
 def test_quality_odd_rows_and_ablations(spark, odd_docs, no_docs):
