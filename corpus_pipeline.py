@@ -32,9 +32,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names each near-duplicate component; of rows with equal id and text, one."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """One row of each near-duplicate component: the smallest doc_id's, null last; rows without words are no copies.
+
+    Rows are told apart by a key of their own, as ids can repeat or be null;
+    it is written with them, so that it stays the same when a task runs again.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = staged(docs.withColumn(key, F.monotonically_increasing_id()), "near-keyed")
+    found = near_dedup.near_duplicates(keyed, id_col=key).select(F.col("doc_id").alias("member"), "component_id")
+    ids = keyed.select(F.col(key).alias("member"), F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "member"))
+    kept = found.join(ids, "member").groupBy("component_id").agg(first["member"].alias("member"))
+    return keyed.join(kept, F.col(key) == F.col("member"), "left_semi").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
