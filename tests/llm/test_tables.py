@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from riskloom.llm import ann, mixing, queries, warc
 
-from .conftest import SF
+from .conftest import SF, prose
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(corpus_pipeline.__file__)), "tools"))
 from check_oracles import _rows, duck  # noqa: E402
@@ -212,3 +213,14 @@ def test_pipeline_of_no_documents(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_keeps_one_row_of_each_near_duplicate_group(spark):
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 200) for _ in range(3))
+    rows = [(1, a), (2, b), (2, a + " tail"), (None, c), (None, c + " tail"), (None, a), (3, b + " end"), (3, b + " end"), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row_key int").repartition(4)
+    kept = corpus_pipeline.near_dups(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == 5 and (1, a) in got and (2, b) in got and [t in (c, c + " tail") for i, t in got if i is None] == [True]
