@@ -12,7 +12,7 @@ import json
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import shared_root
@@ -123,3 +123,32 @@ def load_model(spark: SparkSession, path: str, kind: str | None = None):
 def predict(model, df: DataFrame) -> DataFrame:
     """Adds ``prediction`` (and for classifiers ``rawPrediction``/``probability``)."""
     return model.transform(df)
+
+
+COMPILED_DEPTH = 10  # at most 1,023 comparisons in one expression
+
+
+def compiled_prediction(model, features: list[str]) -> Column:
+    """A fitted tree's prediction as one nested expression over its feature columns.
+
+    The same value as ``transform``'s on every row, without a vector or a
+    model call, so scoring stays in one generated stage. NULL and NaN go to
+    the right child, as NaN does in the model. ``features`` are in the order
+    the tree was trained on; a tree that splits on categories or is deeper
+    than ``COMPILED_DEPTH`` raises.
+    """
+    if model.numFeatures != len(features):
+        raise ValueError(f"the model has {model.numFeatures} features, {len(features)} columns are given")
+    if model.depth > COMPILED_DEPTH:
+        raise ValueError(f"a tree of depth {model.depth} is not compiled; use predict")
+
+    def value(node) -> Column:
+        if node.subtreeDepth() == 0:
+            return F.lit(float(node.prediction()))
+        split = node.split()
+        if not split.getClass().getSimpleName().startswith("Continuous"):
+            raise ValueError("a tree with categorical splits is not compiled; use predict")
+        column = F.col(features[split.featureIndex()]).cast("double")
+        return F.when(column <= F.lit(float(split.threshold())), value(node.leftChild())).otherwise(value(node.rightChild()))
+
+    return value(model._call_java("rootNode"))

@@ -18,6 +18,7 @@ from riskloom.functions import (
     verdict_colour,
     verdict_message,
 )
+from riskloom.operators.model import COMPILED_DEPTH, compiled_prediction
 from riskloom.operators.prepare import assemble
 from riskloom.specs import DatasetSpec
 
@@ -90,14 +91,22 @@ def score_typed(
 
     With ``reject_col``, rejected rows stay in the output with NULL
     prediction and verdict (no row is dropped); valid rows are scored. A
-    model of another number of features than the spec's raises.
+    model of another number of features than the spec's raises. Trees are
+    compiled into one expression; deep ones are scored by the model.
     """
     if model.numFeatures != len(spec.features):
         raise ValueError(f"the model has {model.numFeatures} features, {spec.name} has {len(spec.features)}")
     keep = list(keep or [])
-    handle = "keep" if reject_col else "error"
-    vec = assemble(typed, spec.features, "features", handle_invalid=handle)
-    pred = model.transform(vec)
+    if model.depth <= COMPILED_DEPTH:
+        value = compiled_prediction(model, spec.features)
+        if not reject_col:  # a value that is missing raises, as the assembler does
+            missing = F.lit(False)
+            for f in spec.features:
+                missing = missing | F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
+            value = F.when(missing, F.raise_error(F.lit("a feature is NULL or NaN")).cast("double")).otherwise(value)
+        pred = typed.withColumn("prediction", value)
+    else:
+        pred = model.transform(assemble(typed, spec.features, "features", handle_invalid="keep" if reject_col else "error"))
     rounded = round_half_even("prediction")
     if reject_col:
         rounded = F.when(F.col(reject_col), F.lit(None).cast("int")).otherwise(rounded)
@@ -126,3 +135,48 @@ def score_requests(
     """Batch scoring of a table of text requests (all steps in one lazy plan)."""
     typed = parse_requests(requests, spec, strict=strict, keep=keep)
     return score_typed(model, typed, spec, keep=keep, reject_col=None if strict else "rejected")
+
+
+def score_routed(
+    requests: DataFrame,
+    routes: dict[str, tuple[DatasetSpec, object]],
+    keep: list[str] | None = None,
+    dataset: str = "dataset",
+    form: str = "form",
+) -> DataFrame:
+    """One table or stream of requests for several datasets, scored in one pass.
+
+    ``form`` maps a request's field names to text (names of two datasets may
+    differ in case only, so they can't be columns side by side); ``dataset``
+    names the route. Each row is parsed and scored by its own route alone, in
+    one map-only plan. Rows of an unknown or NULL dataset, without a form, or
+    with a value that can't be scored stay, rejected, without a verdict.
+    """
+    keep = list(keep or [])
+    typed, at = [], {}
+    for n, (name, (spec, _)) in enumerate(routes.items()):
+        for i, f in enumerate(spec.feature_schema.fields):
+            text = F.when(F.col(dataset) == name, F.col(form)[f.name])
+            parsed = parse_int(text, False) if isinstance(f.dataType, IntegerType) else parse_double(text, False)
+            at[name, f.name] = f"route{n}_{i}"
+            typed.append(parsed.alias(at[name, f.name]))
+    rows = requests.select(*[F.col(k) for k in [*keep, dataset]], *typed)
+    known, bad, value = F.lit(False), F.lit(False), F.lit(None).cast("double")
+    for name, (spec, model) in routes.items():
+        own = F.coalesce(F.col(dataset) == name, F.lit(False))
+        columns = [at[name, f] for f in spec.features]
+        missing = F.lit(False)
+        for c in columns:
+            missing = missing | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+        known, bad = known | own, bad | (own & missing)
+        value = F.when(own, compiled_prediction(model, columns)).otherwise(value)
+    rejected = ~known | bad
+    rounded = F.when(~rejected, round_half_even(value))
+    out = rows.select(*keep, dataset, rejected.alias("rejected"), rounded.alias("prediction"))
+    verdicts = []
+    for column, verdict in (("message", verdict_message), ("val", verdict_code), ("colour", verdict_colour)):
+        text = F.lit(None).cast("string")
+        for name, (spec, _) in routes.items():
+            text = F.when((F.col(dataset) == name) & ~F.col("rejected"), verdict("prediction", spec.verdict)).otherwise(text)
+        verdicts.append(text.alias(column))
+    return out.select(*out.columns, *verdicts)

@@ -461,6 +461,12 @@ FROM orders, (VALUES ('md5'), ('xxhash64')) AS m(method) GROUP BY method""",
         "score_one_heart": _clinical_one_sql(HEART, HEART_SQL, HEART_VERDICT, HEART_FORMS),
         "score_diabetes": _clinical_score_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT),
         "score_heart": _clinical_score_sql(HEART, HEART_SQL, HEART_VERDICT),
+        "score_routed": f"""
+SELECT 'diabetes' AS dataset, * FROM ({_clinical_score_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT)})
+UNION ALL BY NAME SELECT 'heart' AS dataset, * FROM ({_clinical_score_sql(HEART, HEART_SQL, HEART_VERDICT)})
+UNION ALL BY NAME SELECT 'unknown' AS dataset, o_orderkey, true AS rejected, CAST(NULL AS INTEGER) AS prediction,
+       CAST(NULL AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS val, CAST(NULL AS VARCHAR) AS colour
+FROM orders WHERE o_orderkey % 10 = 0""",
         "score_stream_heart": _clinical_score_sql(HEART, HEART_SQL, HEART_VERDICT),
         "dt_regressor_mean": _with(t, REG_OUT.format(src="majority")),
         "dt_regressor_depth2": _with(_depth2_ctes(), REG_OUT.format(src="depth2")),

@@ -62,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "score_one_heart": clinical.score_one_heart,
     "score_diabetes": clinical.score_diabetes,
     "score_heart": clinical.score_heart,
+    "score_routed": clinical.score_routed,
     "score_stream_heart": clinical.score_stream_heart,
     "predictions_csv_roundtrip": storage.predictions_csv_roundtrip,
     "predictions_json": storage.predictions_json_query,

@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from riskloom.operators.model import fit_tree, load_model, save_model
 from riskloom.operators.prepare import assemble, hash_split_flag
-from riskloom.operators.score import score_requests, score_typed
+from riskloom.operators.score import score_requests, score_routed as route, score_typed
 from riskloom.plans import clinical
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import ingest, train
@@ -145,3 +145,16 @@ def score_diabetes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_heart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-1 + X-4: every order as a heart request, scored, heart verdicts."""
     return _score_clinical(spark, sf_dir, HEART, clinical.heart_rows)
+
+
+def score_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-4 + M-1: one table with a diabetes request, a heart request and, for
+    some orders, one of an unknown dataset, each scored by its own model."""
+    orders = read_driver_table(spark, sf_dir, "orders")
+    routes, requests = {}, orders.where(F.col(clinical.KEY) % 10 == 0).select(clinical.KEY, F.lit("unknown").alias("dataset"), F.create_map(F.lit("age"), F.lit("5")).alias("form"))
+    for spec, rows in ((DIABETES, clinical.diabetes_rows), (HEART, clinical.heart_rows)):
+        routes[spec.name] = (spec, clinical_model(spark, sf_dir, spec, rows))
+        text = clinical.text_requests(rows(orders), spec)
+        form = F.create_map(*[x for c in spec.features for x in (F.lit(c), F.col(c))])
+        requests = requests.unionByName(text.select(clinical.KEY, F.lit(spec.name).alias("dataset"), form.alias("form")))
+    return route(requests, routes, keep=[clinical.KEY])

@@ -10,7 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.score import parse_requests, score_requests, score_typed
+from riskloom.operators.model import compiled_prediction, fit_tree
+from riskloom.operators.prepare import assemble
+from riskloom.operators.score import parse_requests, score_requests, score_routed, score_typed
 from riskloom.plans.jobs import ingest, score, train
 from riskloom.sources.table import request_frame
 from riskloom.specs import DIABETES, HEART, TreeParams, select_job
@@ -179,3 +181,44 @@ def test_metrics_count_labelled_rows_only(spark):
     m = metrics_frame(df, "label").first()
     assert (m.n_test, m.n_null_label, m.n_correct, m.accuracy) == (2, 2, 1, 0.5)
     assert m.tn + m.fp + m.fn + m.tp == m.n_test
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_compiled_tree_equals_transform(spark, kind):
+    rng = np.random.default_rng(7)
+    rows = [(float(a), float(b), int(c), int(a * 3 + b > 2 or c == 3)) for a, b, c in zip(rng.normal(size=600), rng.normal(size=600), rng.integers(0, 5, 600), strict=True)]
+    df = spark.createDataFrame(rows, "a double, b double, c int, y int")
+    model = fit_tree(assemble(df, ["a", "b", "c"], keep=["y"]), kind, "y", TreeParams(max_depth=6))
+    odd = [(float("nan"), 0.0, 1), (float("inf"), float("-inf"), 3), (None, 0.5, None), (-0.0, 0.0, 0)]
+    asked = df.select("a", "b", "c").unionByName(spark.createDataFrame(odd, "a double, b double, c int"))
+    scored = model.transform(assemble(asked, ["a", "b", "c"], handle_invalid="keep", keep=["a", "b", "c"]))
+    both = scored.select("prediction", compiled_prediction(model, ["a", "b", "c"]).alias("compiled"))
+    assert both.count() == 604 and both.where("not (prediction <=> compiled)").isEmpty()
+    plan = asked.select(compiled_prediction(model, ["a", "b", "c"]))._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan
+    with pytest.raises(ValueError, match="features"):
+        compiled_prediction(model, ["a", "b"])
+
+
+def test_routed_requests(spark):
+    def tree(spec, split):
+        vec = assemble(spark.createDataFrame([tuple([v] * len(spec.features) + [int(v > split)]) for v in range(10)], ", ".join(f"`f{i}` int" for i in range(len(spec.features))) + ", y int"), [f"f{i}" for i in range(len(spec.features))], keep=["y"])
+        return fit_tree(vec, "classifier", "y")
+
+    routes = {"diabetes": (DIABETES, tree(DIABETES, 3)), "heart": (HEART, tree(HEART, 6))}
+    full = lambda spec, v: {f: str(v) for f in spec.features}
+    rows = [
+        (1, "diabetes", full(DIABETES, 5)),
+        (2, "heart", full(HEART, 5)),
+        (3, "heart", full(HEART, 8)),
+        (4, "heart", full(DIABETES, 8)),  # the other dataset's fields
+        (5, "liver", full(HEART, 8)),
+        (6, None, full(HEART, 8)),
+        (7, "diabetes", None),
+        (8, "diabetes", full(DIABETES, 5) | {"Age": "old"}),
+        (9, "diabetes", full(DIABETES, 5) | {"BMI": "NaN"}),
+    ]
+    out = {r.id: r for r in score_routed(spark.createDataFrame(rows, "id int, dataset string, form map<string,string>"), routes, keep=["id"]).collect()}
+    assert {i: r.prediction for i, r in out.items()} == {1: 1, 2: 0, 3: 1} | dict.fromkeys(range(4, 10))
+    assert all(r.rejected == (i > 3) and (r.message is None) == (r.val is None) == (r.colour is None) == r.rejected for i, r in out.items())
+    assert out[1].message == DIABETES.verdict.positive_message and out[2].message == HEART.verdict.negative_message and out[3].colour == "red"
