@@ -8,10 +8,12 @@ the (bins x features x nodes) histograms reach the driver.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +122,48 @@ def load_model(spark: SparkSession, path: str, kind: str | None = None):
     return _MODELS[kind].load(path)
 
 
+PUBLISHED = "version long, folder string"
+
+
+def publish_model(model, path: str, spark: SparkSession | None = None) -> str:
+    """Save a model beside the earlier ones below ``path`` and make it the current one.
+
+    The model is written in full to a folder of its own; a row appended to
+    the table of published versions then names it. Spark commits that append
+    as a whole, so a reader sees the old or the new model, never a part or
+    none, and nothing is deleted under a scorer that still reads. A publisher
+    that fails before the append leaves an unnamed folder behind. Of two that
+    publish at once, both are kept and the folder's name decides.
+    """
+    spark = spark or SparkSession.active()
+    folder = uuid.uuid4().hex
+    model.save(f"{path.rstrip('/')}/models/{folder}")
+    last = _published(spark, path)
+    row = [(0 if last is None else last["version"] + 1, folder)]
+    spark.createDataFrame(row, PUBLISHED).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/published")
+    return folder
+
+
+def _published(spark: SparkSession, path: str):
+    """The latest row of the published versions, or None before the first."""
+    table = f"{path.rstrip('/')}/published"
+    try:
+        rows = spark.read.schema(PUBLISHED).parquet(table)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"]
+
+
+def current_model(spark: SparkSession, path: str, kind: str | None = None):
+    """The model published last below ``path``; a stream calls it once a micro-batch."""
+    last = _published(spark, path)
+    if last is None:
+        raise ValueError(f"no model is published below {path}")
+    return load_model(spark, f"{path.rstrip('/')}/models/{last['folder']}", kind)
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     """Adds ``prediction`` (and for classifiers ``rawPrediction``/``probability``)."""
     return model.transform(df)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from riskloom.operators.model import fit_tree, load_model, model_kind, save_model
+from riskloom.operators.model import current_model, fit_tree, load_model, model_kind, publish_model, save_model
 from riskloom.operators.prepare import assemble
 from riskloom.plans import fixture as fx
 from riskloom.specs import TreeParams
@@ -176,3 +176,20 @@ def test_deep_tree_uses_checkpointed_node_cache(spark):
     df = spark.createDataFrame([((i // 4) % 2, float(i)) for i in range(64)], "y int, x double")
     m = fit_tree(assemble(df, ["x"], keep=["y"]), "classifier", "y", TreeParams(max_depth=12))
     assert m.depth >= 1 and spark.sparkContext.getCheckpointDir()
+
+
+def test_publishing_swaps_whole_models(spark, workdir):
+    path = f"{workdir}/published-models"
+    rows = spark.createDataFrame([(float(i), int(i > 4)) for i in range(10)], "a double, y int")
+    first, second = (fit_tree(assemble(rows, ["a"], keep=["y"]), kind, "y") for kind in ("classifier", "regressor"))
+    with pytest.raises(ValueError, match="no model"):
+        current_model(spark, path)
+    own = publish_model(first, path)
+    reader = current_model(spark, path)
+    second.save(f"{path}/models/unfinished")  # a publisher that is lost before it names its model
+    assert current_model(spark, path).uid == first.uid
+    publish_model(second, path)
+    assert current_model(spark, path).uid == second.uid
+    assert load_model(spark, f"{path}/models/{own}").uid == first.uid  # the old one stays readable
+    scored = reader.transform(assemble(rows, ["a"], keep=["y"]))
+    assert scored.where("prediction <> y").isEmpty()
