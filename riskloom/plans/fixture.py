@@ -21,6 +21,8 @@ FEATURES = ["l_quantity", "l_discount", "l_tax"]
 # few-valued columns only (7, 11 and 9 distinct values): exact under the
 # learner's default 32 bins
 CODED_FEATURES = ["l_linenumber", "l_discount", "l_tax"]
+# more values than bins, but for the last
+CONTINUOUS_FEATURES = ["l_extendedprice", "l_quantity", "l_discount"]
 LABEL = "risk"
 KEY = "l_orderkey"
 TRAIN_FRACTION = 0.8

@@ -167,6 +167,7 @@ def _levels_ctes(
     carry: tuple[str, ...] = ("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"),
     route_all: bool = False,
     route: str | None = None,
+    bins: int | None = None,
 ) -> str:
     """A tree of any depth (gini classifier or variance regressor), grown
     level by level in SQL.
@@ -178,7 +179,8 @@ def _levels_ctes(
     and splits when that gain is positive and the node is not pure. Leaves
     predict their majority class (ties to class 0) or their mean. Sibling
     leaves with equal predictions are merged by the learner, which does not
-    change predictions.
+    change predictions. With ``bins``, a feature of more values is cut at its
+    values of rank ceil(j * n / bins) instead of at midpoints.
     """
     imp = {"gini": _gini, "variance": _variance}[impurity]
     cases = " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(features))
@@ -195,6 +197,17 @@ def _levels_ctes(
             for i, c in enumerate(features)
         )
 
+    quantiles = "" if bins is None else f"""
+ranked AS (
+  SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS rk, count(*) OVER (PARTITION BY f) AS n,
+         max(v) OVER (PARTITION BY f) AS top
+  FROM ({" UNION ALL ".join(f"SELECT {i} AS f, CAST({c} AS DOUBLE) AS v FROM base WHERE is_train" for i, c in enumerate(features))})),
+many AS (SELECT f FROM ranked GROUP BY f HAVING count(DISTINCT v) > {bins}),
+gthr AS (
+  SELECT * FROM midpoints WHERE f NOT IN (SELECT f FROM many)
+  UNION ALL
+  SELECT DISTINCT f, v AS thr FROM ranked, range(1, {bins}) AS j(j)
+  WHERE f IN (SELECT f FROM many) AND rk = (j * n + {bins} - 1) // {bins} AND v < top),"""
     base = base or _lineitem_base(label)
     ccols = ", ".join(carry)
     ecols = ", ".join(f"e.{c}" for c in carry)
@@ -202,11 +215,11 @@ def _levels_ctes(
         f"""
 base AS (
   {base}),
-gthr AS (
+{"midpoints" if bins else "gthr"} AS (
   SELECT f, (v + nv) / 2.0 AS thr FROM (
     SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM (
       {distinct}))
-  WHERE nv IS NOT NULL),
+  WHERE nv IS NOT NULL),{quantiles}
 r0 AS (SELECT {fcols}, risk, 1 AS node, false AS done FROM base WHERE is_train),
 e0 AS ({route or f"SELECT {ccols}, risk, 1 AS node FROM base WHERE {'true' if route_all else 'NOT is_train'}"})"""
     ]
@@ -257,6 +270,17 @@ grown AS (
     return ",".join(parts)
 
 
+CONTINUOUS_FEATURES = ("l_extendedprice", "l_quantity", "l_discount")
+
+
+def _continuous_ctes(impurity: str) -> str:
+    base = f"""SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_discount,
+         CAST(l_extendedprice + l_orderkey % 7 * 1000 > 38000 AS INTEGER) AS risk, {IS_TRAIN} AS is_train
+  FROM lineitem"""
+    carry = ("l_orderkey", "l_linenumber", *CONTINUOUS_FEATURES)
+    return _levels_ctes(5, impurity=impurity, features=CONTINUOUS_FEATURES, base=base, carry=carry, bins=32)
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -524,7 +548,8 @@ FROM stump GROUP BY prediction, risk""",
 SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END AS prediction,
        CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END AS label
 FROM lineitem WHERE NOT ({IS_TRAIN})""",
-        "dt_continuous": f"SELECT count(*) AS n_test, true AS beats_majority, true AS depth_ok FROM lineitem WHERE NOT ({IS_TRAIN})",
+        "dt_continuous": _with(_continuous_ctes("gini"), "SELECT l_orderkey, l_linenumber, prediction, risk AS label FROM grown"),
+        "dt_continuous_regressor": _with(_continuous_ctes("variance"), REG_OUT.format(src="grown")),
         "accuracy_evaluator": _with(t, "SELECT count(*) AS n_test, round(avg(CASE WHEN prediction = risk THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM stump"),
         "score_batch_rejects": _clinical_rejects_sql(DIABETES, DIABETES_SQL, DIABETES_VERDICT),
     }

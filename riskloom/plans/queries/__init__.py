@@ -43,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "dt_regressor_depth5": trees.dt_regressor_depth5,
     "dt_regressor_defaults": trees.dt_regressor_defaults,
     "dt_continuous": trees.dt_continuous,
+    "dt_continuous_regressor": trees.dt_continuous_regressor,
     "predict_probability": trees.predict_probability,
     "model_roundtrip": trees.model_roundtrip,
     "model_roundtrip_regressor": trees.model_roundtrip_regressor,

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import round_half_even
 from riskloom.operators.evaluate import accuracy, accuracy_report, confusion, evaluator_accuracy
-from riskloom.operators.model import fit_tree, load_model, save_model
-from riskloom.operators.prepare import assemble, hash_split
+from riskloom.operators.model import compiled_prediction, load_model, save_model
+from riskloom.operators.prepare import hash_split
+from riskloom.operators.quantiles import fit_quantile_tree
 from riskloom.operators.score import rounded_pairs
 from riskloom.plans import fixture as fx
 from riskloom.plans.jobs import train
+from riskloom.plans.queries.common import read_driver_table
 from riskloom.session import shared_path, table_path
 
 
@@ -155,25 +157,23 @@ def accuracy_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("n_test"), F.round(F.lit(value), 6).alias("accuracy"))
 
 
+def _continuous(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    price, key = F.col("l_extendedprice"), F.col(fx.KEY)
+    label = (price + key % 7 * 1000 > 38000).cast("int").alias(fx.LABEL)
+    rows = read_driver_table(spark, sf_dir, "lineitem").select(fx.KEY, "l_linenumber", *fx.CONTINUOUS_FEATURES, label)
+    train_rows, test_rows = hash_split(rows, fx.KEY, fx.TRAIN_FRACTION)
+    model = fit_quantile_tree(train_rows, fx.CONTINUOUS_FEATURES, kind, fx.LABEL, fx.DEFAULTS, num_classes=2)
+    return test_rows.withColumn("prediction", compiled_prediction(model, fx.CONTINUOUS_FEATURES))
+
+
 def dt_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-1 on a column with more values than bins (quantile candidates).
-
-    The learner's sampled candidates have no SQL form; the row states what
-    must hold whatever they are: depth within bounds, and an accuracy no
-    worse than the majority class's.
-    """
-    cols = ["l_orderkey", "l_extendedprice", "l_quantity"]
-    li = spark.read.parquet(table_path(sf_dir, "lineitem")).select(*cols, (F.col("l_extendedprice") + F.col("l_orderkey") % 7 * 1000 > 38000).cast("int").alias(fx.LABEL))
-    train_rows, test_rows = hash_split(li, fx.KEY, fx.TRAIN_FRACTION)
-    model = fit_tree(assemble(train_rows, ["l_extendedprice"], keep=[fx.LABEL]), "classifier", fx.LABEL, fx.DEFAULTS, num_classes=2)
-    scored = model.transform(assemble(test_rows, ["l_extendedprice"], keep=[fx.LABEL]))
-    ones = F.avg(F.col(fx.LABEL).cast("double"))
-    right = F.avg((F.col("prediction") == F.col(fx.LABEL)).cast("double"))
-    return scored.agg(
-        F.count(F.lit(1)).alias("n_test"),
-        (right >= F.greatest(ones, 1 - ones)).alias("beats_majority"),
-        F.lit(1 <= model.depth <= fx.DEFAULTS.max_depth).alias("depth_ok"),
-    )
+    """T-1 on columns with more values than bins: exact quantile cuts, every test row's prediction."""
+    return rounded_pairs(_continuous(spark, sf_dir, "classifier"), fx.LABEL, keep=[fx.KEY, "l_linenumber"])
+
+
+def dt_continuous_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 on the same columns and cuts: raw leaf means on the test set."""
+    return _regressor_output(_continuous(spark, sf_dir, "regressor"))
 
 
 def train_three_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
