@@ -8,13 +8,15 @@ The further kinds are reported only when their content decodes and parses:
   header names a signing algorithm;
 * ``der``: base64 or hex whose bytes are a private key in DER: every nested
   length fills its parent exactly, and the fields are those of PKCS#1, PKCS#8
-  or SEC1;
+  (plain or encrypted under a password), SEC1 or a DSA key;
 * ``ssh``: base64 of an OpenSSH private key whose length-prefixed fields fit;
-* ``pem``: an armoured private key whose body decodes to one of these, or to
-  the bytes an encrypted armour promises.
+* ``pem``: an armoured private key whose body decodes to one of these, or
+  whose headers name a cipher and an IV of its size and whose body is whole
+  blocks of that cipher.
 
 Keys may be wrapped: base64 lines that follow each other, their ends real or
-escaped as in a string literal, are read as one run up to the key's own length.
+escaped as in a string literal, are read as one run up to the key's own length
+(at most ``KEY_BYTES``; a longer one is no key). The time is linear in the text.
 
 Spans are [start, end) in code points, sorted by start, then kind in the order
 of KINDS. Base spans are never dropped. Null text counts as empty; repeated
@@ -28,6 +30,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +55,11 @@ _SSH_MAGIC = b"openssh-key-v1\0"
 _SSH_TEXT = "b3BlbnNzaC1rZXkt"
 _ENDING = re.compile(r"\\+[rn]|\\*[\r\n]")  # of a line, real or escaped
 _KEY_START = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[rn]))(?:M[A-P][A-Za-z0-9+/_-]{{14}}|{_SSH_TEXT})")
+#: The object identifiers of password-based encryption (PKCS#5, PKCS#12), but for their last byte.
+_PASSWORD_OIDS = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+#: Bytes of a block (and of an IV) of the ciphers that armour headers name.
+_BLOCK_BYTES = {"AES-": 16, "CAMELLIA-": 16, "ARIA-": 16, "SEED-": 16, "DES-": 8, "BF-": 8, "CAST5-": 8, "IDEA-": 8, "RC2-": 8, "RC5-": 8}
+KEY_BYTES = 1 << 16  # an RSA key of 16,384 bits takes about 9,400
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 _NEXT_LINE = re.compile(r"[ \t]*(?:(?:\\+[rn])+|\\*\r?\n)[ \t]*(?=[A-Za-z0-9+/_-])")
 
@@ -85,20 +93,34 @@ def _fields(data: bytes) -> list[tuple[int, bytes]] | None:
     return out
 
 
+def _is_password_cipher(algorithm: bytes) -> bool:
+    """An algorithm identifier of password-based encryption, its parameters a sequence."""
+    parts = _fields(algorithm)
+    return parts is not None and [t for t, _ in parts] == [0x06, 0x30] and parts[0][1][:-1] in _PASSWORD_OIDS
+
+
 def is_der_key(data: bytes) -> bool:
     outer = _fields(data)
     if not outer or len(outer) != 1 or outer[0][0] != 0x30:
         return False
     inner = _fields(outer[0][1])
-    if not inner or inner[0][0] != 0x02:
+    if not inner:
         return False
     tags, version = [t for t, _ in inner], inner[0][1]
+    if tags == [0x30, 0x04]:
+        return len(inner[1][1]) >= 16 and _is_password_cipher(version)  # PKCS#8, encrypted: algorithm, bytes
+    if tags[0] != 0x02:
+        return False
     if len(inner) >= 9 and set(tags[:9]) == {0x02} and version in (b"\0", b"\1"):
         return True  # PKCS#1: version, modulus, exponents, primes, coefficients
+    if tags == [0x02] * 6:
+        p, q, *rest = (len(x) for _, x in inner[1:])
+        return version == b"\0" and p >= 64 and 20 <= q <= p and all(1 <= x <= p for x in rest)  # DSA: version, p, q, g, y, x
     if len(inner) >= 3 and tags[1:3] == [0x30, 0x04] and version in (b"\0", b"\1"):
         kind = _fields(inner[1][1])
         return bool(kind) and kind[0][0] == 0x06  # PKCS#8: version, algorithm, key
-    return len(inner) >= 2 and tags[1] == 0x04 and version == b"\1" and len(inner[1][1]) in (28, 32, 48, 66)  # SEC1
+    # SEC1: version, the scalar of a field of 112 to 576 bits, curve and public key where given
+    return tags[1:2] == [0x04] and version == b"\1" and 14 <= len(inner[1][1]) <= 72 and tags[2:] in ([], [0xA0], [0xA1], [0xA0, 0xA1])
 
 
 def is_ssh_key(data: bytes) -> bool:
@@ -124,7 +146,10 @@ def is_ssh_key(data: bytes) -> bool:
 def _der_size(data: bytes) -> int | None:
     """Bytes of the private key whose first bytes these are."""
     more = data[1] & 0x7F if data[1] >= 0x80 else 0
-    if data[0] != 0x30 or more > 4 or data[1] == 0x80 or data[2 + more : 4 + more] != b"\x02\x01":
+    if data[0] != 0x30 or more > 4 or data[1] == 0x80:
+        return None
+    first = data[2 + more : 5 + more]  # a version, or the algorithm of an encrypted key
+    if first[:2] != b"\x02\x01" and not (first[0] == 0x30 and first[2] == 0x06):
         return None
     return 2 + more + (int.from_bytes(data[2 : 2 + more], "big") if more else data[1])
 
@@ -139,34 +164,62 @@ def _ssh_size(data: bytes) -> int | None:
     return at if at <= len(data) else None
 
 
+class _Lines:
+    """Runs of base64 on consecutive lines, each run of lines read once for all keys that may begin in it."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.spans: list[tuple[int, int]] = []
+        self.chars = [0]  # characters before each run
+        self.heads: list[int] = []  # runs an OpenSSH key can begin at
+        self.places: dict[int, int] = {}  # start of a run -> its number
+        self.last = 0  # number after the last run of the lines read
+
+    def place(self, start: int) -> int:
+        """The number of the run that starts there."""
+        if start not in self.places:
+            at: int | None = start
+            while at is not None:
+                end = _RUN.match(self.text, at).end()
+                self.places[at] = len(self.spans)
+                if self.text.startswith(_SSH_TEXT, at):
+                    self.heads.append(len(self.spans))
+                self.spans.append((at, end))
+                self.chars.append(self.chars[-1] + end - at)
+                more = _NEXT_LINE.match(self.text, end)
+                at = more.end() if more else None
+            self.last = len(self.spans)
+        return self.places[start]
+
+    def joined(self, first: int, last: int) -> str:
+        return "".join([self.text[a:b] for a, b in self.spans[first:last]])
+
+
 def _wrapped_keys(text: str) -> list[tuple[str, int, int]]:
     """Spans of base64 keys over one or more lines that end where a line ends."""
-    out, at = [], 0
+    out, at, lines = [], 0, _Lines(text)
     while begin := _KEY_START.search(text, at):
         is_ssh = begin[0] == _SSH_TEXT
-        pos, at = begin.start(), _RUN.match(text, begin.start()).end()
         size = None if is_ssh else _der_size(_base64(begin[0]))
-        if size is None and not is_ssh:
+        if not is_ssh and (size is None or size > KEY_BYTES):
+            at = _RUN.match(text, begin.start()).end()
             continue
-        lines, ends, chars = [], {}, 0
-        while run := _RUN.match(text, pos):
-            if is_ssh and lines and run[0].startswith(_SSH_TEXT):
-                break  # the next key
-            lines.append(run[0])
-            chars += len(run[0])
-            ends[chars] = run.end()
-            more = _NEXT_LINE.match(text, run.end())
-            if not more or (size is not None and 3 * chars >= 4 * size):
-                break
-            pos = more.end()
-        joined = "".join(lines)
+        first = lines.place(begin.start())
+        at = lines.spans[first][1]
         if is_ssh:
-            raw = _base64(joined[: chars - (chars % 4 == 1)])
+            other = bisect_left(lines.heads, first + 1)  # the next key, or the lines' end
+            joined = lines.joined(first, lines.heads[other] if other < len(lines.heads) else lines.last)
+            raw = _base64(joined[: len(joined) - (len(joined) % 4 == 1)])
             size = _ssh_size(raw) if raw is not None else None
-        need = -(-4 * size // 3) if size is not None else 0
-        raw = _base64(joined[:need]) if need in ends else None
+            if size is None:
+                continue
+        need = lines.chars[first] + -(-4 * size // 3)
+        last = bisect_left(lines.chars, need)
+        if last >= len(lines.chars) or lines.chars[last] != need:
+            continue
+        raw = _base64(lines.joined(first, last))
         if raw and (is_ssh_key(raw) if is_ssh else is_der_key(raw)):
-            at = ends[need]
+            at = lines.spans[last - 1][1]
             at += text.startswith("=", at) + text.startswith("==", at)
             out.append(("ssh" if is_ssh else "der", begin.start(), at))
     return out
@@ -183,15 +236,21 @@ def is_signed_token(header: str, payload: str) -> bool:
     return all(isinstance(p, dict) for p in parts) and isinstance(parts[0].get("alg"), str) and parts[0]["alg"].lower() != "none"
 
 
+def _is_encrypted(heads: list[str], size: int) -> bool:
+    """Armour headers that name a cipher and an IV, above whole blocks of that cipher."""
+    named = dict(x.split(":", 1) for x in heads)
+    cipher, _, iv = named.get("DEK-Info", "").partition(",")
+    block = next((n for start, n in _BLOCK_BYTES.items() if cipher.startswith(start)), None)
+    return named.get("Proc-Type") == "4,ENCRYPTED" and block is not None and bool(re.fullmatch(rf"[0-9A-Fa-f]{{{2 * block}}}", iv)) and size % block == 0
+
+
 def _is_pem(label: str, body: str) -> bool:
     lines = ["".join(x.split()) for x in _ENDING.split(body.replace("\\/", "/"))]
     heads = [x for x in lines if ":" in x]
     raw = _base64("".join(x for x in lines if ":" not in x))
-    if raw is None or not raw:
+    if not raw:
         return False
-    if heads or label.startswith("ENCRYPTED"):
-        return len(raw) >= 16
-    return is_der_key(raw) or is_ssh_key(raw)
+    return is_der_key(raw) or is_ssh_key(raw) or _is_encrypted(heads, len(raw))
 
 
 def find(text: str | None) -> list[tuple[str, int, int]]:

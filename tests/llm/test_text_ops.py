@@ -6,6 +6,7 @@ import base64
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +170,45 @@ def test_wrapped_escaped_and_encrypted_keys():
         assert secrets.find(text) == []
 
 
+def test_key_kinds_and_words_that_are_no_keys():
+    rng = random.Random(17)
+    number = lambda n: der(2, bytes([1]) + rng.randbytes(n))
+    dsa = der(0x30, der(2, b"\0") + b"".join(number(n) for n in (128, 20, 127, 127, 19)))
+    curves = [der(0x30, der(2, b"\1") + der(4, rng.randbytes(n)) + der(0xA0, der(6, b"\x2b\x24"))) for n in (28, 40, 64)]
+    rounds = der(0x30, der(4, rng.randbytes(8)) + der(2, b"\x08\x00"))
+    locked = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + rounds) + der(4, rng.randbytes(320)))
+    for key, label in ((dsa, "DSA"), *((x, "EC") for x in curves), (locked, "ENCRYPTED")):
+        flat = base64.b64encode(key).decode()
+        assert secrets.mask_spans(f"a {flat} b") == "a [SECRET] b"
+        wrapped = "\n".join(flat[i : i + 64] for i in range(0, len(flat), 64))
+        assert secrets.mask_spans(f"a\n{wrapped}\nb") == "a\n[SECRET]\nb"
+        armour = f"-----BEGIN {label} PRIVATE KEY-----\n{wrapped}\n-----END {label} PRIVATE KEY-----"
+        assert ("pem", 0, len(armour)) in secrets.find(armour)
+    armour = lambda label, body: f"-----BEGIN {label}-----\n{body}\n-----END {label}-----"
+    dek = "Proc-Type: 4,ENCRYPTED\nDEK-Info: "
+    block = base64.b64encode(rng.randbytes(48)).decode()
+    assert secrets.find(armour("RSA PRIVATE KEY", f"{dek}DES-EDE3-CBC,0123456789ABCDEF\n\n{block}"))
+    for text in (
+        armour("ENCRYPTED PRIVATE KEY", "A" * 24),
+        armour("RSA PRIVATE KEY", "note: removed\nthisIsNotAKeyButAWordInDocs"),
+        armour("RSA PRIVATE KEY", f"{dek}AES-128-CBC,0123456789ABCDEF\n\n{block}"),  # half an IV
+        armour("RSA PRIVATE KEY", f"{dek}AES-128-CBC,{'0A' * 16}\n\n{base64.b64encode(bytes(47)).decode()}"),  # no whole blocks
+        armour("RSA PRIVATE KEY", f"{dek}ROT13,{'0A' * 16}\n\n{block}"),
+    ):
+        assert "pem" not in [s[0] for s in secrets.find(text)], text
+    other = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d010101")) + rounds) + der(4, rng.randbytes(320)))
+    assert not secrets.is_der_key(other)  # no password cipher
+
+
+def test_long_texts_of_claimed_keys_end_in_seconds():
+    begun = time.monotonic()
+    claims = base64.b64encode(b"\x30\x82\xff\x00\x02\x01\x00" + bytes(41)).decode() + "\n"
+    huge = base64.b64encode(b"\x30\x84\x7f\xff\xff\xff\x02\x01\x00" + bytes(39)).decode() + "\n"
+    for line in (claims, huge, secrets._SSH_TEXT + "\n", "-----BEGIN RSA PRIVATE KEY-----\nAAAA\n", "token : " + " " * 40):
+        secrets.find(line * (2_000_000 // len(line)))
+    assert time.monotonic() - begun < 40
+
+
 def test_secrets_odd_rows(odd_docs, no_docs):
     rows = odd_docs.collect()
     found = {r.doc_id: r.spans for r in secrets.scan(odd_docs).collect()}
