@@ -438,6 +438,14 @@ FROM customer""",
         "scan_csv_infer": "SELECT * FROM customer",
         "scan_text_from_csv": "SELECT * FROM customer",
         "table_append_readback": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+        "store_schema_free": """
+SELECT *, false AS rejected FROM customer
+UNION ALL BY NAME
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS c_name, c_nationkey,
+       CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment,
+       c_custkey % 10 = 0 AS rejected
+FROM customer""",
+        "ingest_stream": f"SELECT o_orderkey, {', '.join(DIABETES.features)}, risk AS {DIABETES.label} FROM ({DIABETES_SQL})",
         "cast_project": """
 SELECT 'strict' AS mode, o_orderkey, o_totalprice, CAST(o_custkey AS INTEGER) AS o_custkey FROM orders
 UNION ALL

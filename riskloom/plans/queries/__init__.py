@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {
     "scan_csv_infer": storage.scan_csv_infer,
     "scan_text_from_csv": storage.scan_text_from_csv,
     "table_append_readback": storage.table_append_readback,
+    "store_schema_free": storage.store_schema_free,
+    "ingest_stream": storage.ingest_stream,
     "cast_project": features.cast_project_query,
     "sql_view_filter": features.sql_view_filter,
     "assemble_features": features.assemble_features,

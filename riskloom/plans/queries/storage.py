@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.operators.evaluate import confusion
 from riskloom.operators.prepare import cast_project
-from riskloom.plans.queries.common import PAIRS_SCHEMA, read_driver_table, write_csv
+from riskloom.plans import clinical
+from riskloom.plans.queries.common import FILES_PER_TRIGGER, PAIRS_SCHEMA, ROWS_PER_FILE, read_driver_table, write_csv
 from riskloom.plans.queries.trees import stump_pairs
 from riskloom.session import shared_path
 from riskloom.sinks import append_table, display_table, predictions_json, write_predictions_csv, write_predictions_json
 from riskloom.sources.csv import cast_to, read_csv_inferred, read_csv_typed, read_text_csv
+from riskloom.sources.documents import append_documents, read_documents
 from riskloom.sources.table import read_table
+from riskloom.specs import DIABETES
+from riskloom.streaming.uploads import commit_batch, ingest_uploads, ledger, read_uploads
 
 
 def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +63,39 @@ def scan_text_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_text_csv(spark, path, cust.schema)
 
 
+def store_schema_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3/K-1/P-1 on a store without a schema: two appends whose fields and
+    types differ, typed on read; values that are no number are rejected."""
+    cust = read_driver_table(spark, sf_dir, "customer")
+    key, path = F.col("c_custkey"), shared_path(spark, "store-documents")
+    append_documents(cust, path)
+    other = cust.select(
+        key.cast("string").alias("c_custkey"),
+        F.col("c_nationkey").cast("double").alias("c_nationkey"),
+        F.when(key % 10 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+        F.when(key % 3 == 0, F.col("c_name")).alias("c_name"),
+        F.struct(key.alias("id"), F.array("c_mktsegment").alias("tags")).alias("extra"),
+    )
+    append_documents(other, path)
+    return read_documents(spark, path, cust.schema, tolerant=True, rejected="rejected")
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-5 as a stream: order files arrive in two lots, the last batch is
+    replayed, and the store holds each file's rows once."""
+    orders = clinical.diabetes_rows(read_driver_table(spark, sf_dir, "orders"))
+    spec = replace(DIABETES, schema=StructType([orders.schema[clinical.KEY], *DIABETES.schema.fields]))
+    orders = orders.select(*spec.schema.names)
+    source, store, checkpoint = (shared_path(spark, f"uploads-{x}") for x in ("source", "store", "checkpoint"))
+    early = F.col(clinical.KEY) % 2 == 0
+    for lot in (early, ~early):
+        orders.where(lot).write.mode("append").option("header", "true").option("maxRecordsPerFile", ROWS_PER_FILE).csv(source)
+        ingest_uploads(spark, spec, source, store, checkpoint, FILES_PER_TRIGGER)
+    last = ledger(spark, store).orderBy(F.desc("batch")).first()
+    commit_batch(orders, last["stream"], last["batch"], store, spec.label)
+    return read_uploads(spark, store, spec.schema)
+
+
 def table_append_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-1/S-3/M-5: append twice to an empty store; the read sees both."""
     cust = read_driver_table(spark, sf_dir, "customer")
