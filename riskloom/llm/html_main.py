@@ -8,7 +8,8 @@ punctuation). A bidirectional LSTM in numpy reads the page's whole sequence,
 so each block is judged in the context of all others.
 
 The model is trained here, on a bounded sample of pages: the ``TRAIN_PAGES``
-first in a hash order, of at most ``TRAIN_CHARS`` characters. Labels are weak:
+first in a hash order, of at most ``TRAIN_CHARS`` characters, each to its
+``TRAIN_BLOCKS``-th block (every block of every page is labelled). Labels are weak:
 words that name parts of pages (WORDS below) decide a block by its path. So
 that the model does not hang on one site's markup, each sampled page is also
 seen with its parts renamed, with parts of other kinds inserted whose text
@@ -16,13 +17,15 @@ comes from the sample, and with some paths hidden.
 
 Null or empty html gives an empty text; a page without main blocks too;
 repeated rows get equal texts; unclosed tags, comments, scripts and quotes are
-read as a browser would. Other columns of the input are ignored.
+read as a browser would, in time linear in the page; a block's path holds its
+``PATH_DEPTH`` innermost elements. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,7 @@ from riskloom.session import table_path
 TRAIN_PAGES = 240
 TRAIN_CHARS = 60_000
 TRAIN_BLOCKS = 120  # blocks of a sampled page that are trained on
+PATH_DEPTH = 64  # innermost open elements that make a block's path
 STEPS, BATCH, RATE = 200, 32, 0.02
 HIDDEN = 12
 PATH_FLAGS, WORD_FLAGS, MEASURES = 1024, 16, 7
@@ -53,14 +57,12 @@ WORDS = {
 }
 _MAIN, _OTHER = (frozenset(WORDS[k].split()) for k in (True, False))
 
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_RAW = rf"""<!--.*?(?:-->|\Z)|<(script|style|iframe|textarea)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"""
-_TOKEN = re.compile(
-    rf"""{_RAW}|<(/?)([a-zA-Z][^\s/>"']*+)({_ATTRS})>|<[/!?a-zA-Z][^>]*>""",
-    re.DOTALL | re.IGNORECASE,
-)
+_OPEN = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>"']*+)|[/!?])""")
+_QUOTE_OR_END = re.compile("[>\"']")
+#: Elements whose content is no markup, each with its end.
+_RAW = {x: re.compile(rf"</{x}(?=[\s/>])", re.IGNORECASE) for x in ("script", "style", "iframe", "textarea")}
 #: Elements that are left out with their content where an end tag matches; without one only the tag is.
-_HIDDEN = {x: re.compile(rf"{_RAW}|<(/?){x}(?=[\s/>])({_ATTRS})>", re.DOTALL | re.IGNORECASE) for x in ("noscript", "template", "svg", "object", "select", "title")}
+_HIDDEN = {x: re.compile(rf"<(?:(!--)|(/?)({x}|{'|'.join(_RAW)})(?=[\s/>]))", re.IGNORECASE) for x in ("noscript", "template", "svg", "object", "select", "title")}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Za-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input".split())
@@ -70,25 +72,101 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 Block = tuple[str, str, int]  # path words, text, characters inside links
 
 
-def _ends(page: str, name: str, at: int) -> dict[int, int]:
-    """Where each element of that name after ``at`` begins and, by the matching end tag, ends."""
-    ends: dict[int, int] = {}
-    opened: list[int] = []
-    for m in _HIDDEN[name].finditer(page, at):
-        if m[2] is None:
-            continue
-        if not m[2]:
-            if not (name == "svg" and m[3].endswith("/")):
-                opened.append(m.start())
-        elif opened:
-            ends[opened.pop()] = m.end()
-    return ends
+class _Tags:
+    """The tags of a page, found in time linear in it: what was read ahead for one tag is kept for the next."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = page.rfind(">")  # no tag begins behind it
+        self.seen = (0, -1)  # nothing to stop at from the first place up to the second
+        self.after: dict[int, int] = {}  # a quote -> where a tag that reaches it ends
+
+    def close(self, at: int) -> int:
+        """Where the first > outside of quotes stands, -1 where none does."""
+        page, passed = self.page, []
+        while True:
+            if not self.seen[0] <= at <= self.seen[1]:
+                m = _QUOTE_OR_END.search(page, at)
+                self.seen = (at, m.start() if m else len(page))
+            at = self.seen[1]
+            if at in self.after or at == len(page):
+                found = self.after.get(at, -1)
+                break
+            if page[at] == ">":
+                found = at
+                break
+            passed.append(at)
+            at = page.find(page[at], at + 1) + 1
+            if not at:
+                found = -1
+                break
+        for quote in passed:
+            self.after[quote] = found
+        return found
+
+    def comment(self, at: int) -> int:
+        """Where the comment whose text begins there ends."""
+        end = self.page.find("-->", at)
+        return len(self.page) if end < 0 else end + 3
+
+    def raw(self, name: str, at: int) -> int:
+        """Where the raw text that begins there ends, its end tag included."""
+        end = _RAW[name].search(self.page, at)
+        gone = self.page.find(">", end.end()) if end else -1
+        return len(self.page) if gone < 0 else gone + 1
+
+    def next(self, at: int) -> tuple[int, int, str | None, bool, str] | None:
+        """(start, end, name, is an end tag, attributes) of the next tag.
+
+        The name is "" for raw text and None for comments, declarations and tags whose quotes never close.
+        """
+        while m := _OPEN.search(self.page, at):
+            start = m.start()
+            if m[1]:
+                return start, self.comment(m.end()), None, False, ""
+            if start > self.last:
+                at = self.page.find("<!--", start)
+                if at < 0:
+                    return None
+                continue
+            end = self.close(m.end()) if m[3] else -1
+            if end < 0:
+                return start, self.page.find(">", start) + 1, None, False, ""
+            name = m[3].lower()
+            if name in _RAW and not m[2] and self.page[m.end()] not in "\"'":
+                return start, self.raw(name, end + 1), "", False, ""
+            return start, end + 1, name, bool(m[2]), self.page[m.end() : end]
+        return None
+
+    def hidden(self, name: str, at: int) -> dict[int, int]:
+        """Where each element of that name after ``at`` begins and, by the matching end tag, ends."""
+        ends: dict[int, int] = {}
+        opened: list[int] = []
+        while m := _HIDDEN[name].search(self.page, at):
+            start, at = m.start(), m.end()
+            if m[1]:
+                at = self.comment(at)
+                continue
+            end = self.close(at)
+            found = m[3].lower()
+            if end < 0 or (found != name and m[2]):
+                continue
+            begun, at = at, end + 1
+            if found != name:
+                at = self.raw(found, at)
+            elif not m[2]:
+                if not (name == "svg" and self.page[begun:end].endswith("/")):
+                    opened.append(start)
+            elif opened:
+                ends[opened.pop()] = at
+        return ends
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order, with white space folded and references decoded."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = in_link = at = 0
 
@@ -98,29 +176,34 @@ def blocks_of(page: str | None) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append((" ".join(w for _, w in stack), text, min(linked, len(text))))
+                out.append((" ".join(w for _, w in stack[-PATH_DEPTH:]), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
+    def pop() -> str:
+        name, _ = stack.pop()
+        opened[name] -= 1
+        return name
+
     page = page or ""
+    tags = _Tags(page)
     hidden: dict[str, dict[int, int]] = {}
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
+    while tag := tags.next(at):
+        start, end, name, is_end, attributes = tag
+        if start > at:
+            parts.append(page[at:start])
             if in_link:
-                linked += m.start() - at
-        at = m.end()
-        name = m[3]
-        if name is None:
-            if m[1]:
+                linked += start - at
+        at = end
+        if not name:
+            if name == "":
                 parts.append(" ")
             continue
-        name = name.lower()
         if name in _HIDDEN:
-            if not m[2]:
+            if not is_end:
                 if name not in hidden:
-                    hidden[name] = _ends(page, name, m.start())
-                at = hidden[name].get(m.start(), at)
+                    hidden[name] = tags.hidden(name, start)
+                at = hidden[name].get(start, at)
             parts.append(" ")
             continue
         if name == "head":
@@ -128,24 +211,25 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if name in _INLINE:
             if name == "a":
-                in_link = 0 if m[2] else 1
+                in_link = 0 if is_end else 1
             elif name == "br":
                 parts.append(" ")
             continue
         flush()
-        if m[2]:
-            opened = [t for t, _ in stack]
-            if name in opened:
-                del stack[len(opened) - 1 - opened[::-1].index(name) :]
+        if is_end:
+            if opened[name]:
+                while pop() != name:
+                    pass
                 in_link = 0
             continue
         if name in _VOID:
             continue
         if stack and stack[-1][0] == "p":
-            stack.pop()  # a paragraph ends where another block begins
+            pop()  # a paragraph ends where another block begins
         while stack and stack[-1][0] in _CLOSES.get(name, ()):
-            stack.pop()
-        named = m[4] and " ".join(x for found in _NAMED.findall(m[4]) for x in _PART.findall(" ".join(found)))
+            pop()
+        opened[name] += 1
+        named = attributes and " ".join(x for found in _NAMED.findall(attributes) for x in _PART.findall(" ".join(found)))
         stack.append((name, f"{name} {named.lower()}" if named else name))
     if at < len(page):
         parts.append(page[at:])

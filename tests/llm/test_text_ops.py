@@ -285,6 +285,17 @@ def test_blocks_read_markup_as_a_browser():
     assert html_main.blocks_of(None) == html_main.blocks_of("") == html_main.blocks_of("<p></p><!-- never closed") == []
 
 
+def test_long_pages_of_unclosed_tags_end_in_seconds():
+    begun = time.monotonic()
+    for bit in ("if a <b and ", "<a ", "<a<a", '<a ">" ', "<a '>\" ", "<svg <title ", "<svg '>\" ", "</script ", "<script> </script ", "<!-- <a ", "<div>x", "<p>x</i></q>", "<b>x<div></p>", "<svg>x", "<!--><title>"):
+        for tail in ("", ">", '"', "'>"):
+            html_main.blocks_of(bit * (400_000 // len(bit)) + tail)
+    html_main.blocks_of("if a <b and " * 170_000)
+    assert time.monotonic() - begun < 90
+    deep = html_main.blocks_of("<div>x" * 3000)
+    assert len(deep) == 3000 and max(len(path.split()) for path, _, _ in deep) == html_main.PATH_DEPTH
+
+
 def test_hidden_elements_hide_no_more_than_they_hold():
     texts = lambda page: [t for _, t, _ in html_main.blocks_of(page)]
     body = "<p>one</p><p>two</p>"
