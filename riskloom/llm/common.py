@@ -23,6 +23,7 @@ from riskloom.session import shared_path
 ARROW_ROWS = 1000
 ARROW_BYTES = "4m"
 SLICE_BYTES = 1 << 19
+KEPT_POWERS = 1 << 19  # powers that a worker keeps; a longer sequence's go after use
 
 U64 = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -75,13 +76,16 @@ class Rolling:
         self.up = self.down = np.ones(1, dtype=U64)
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 4096)
-            with np.errstate(over="ignore"):
-                up, down = np.full(size, self.base), np.full(size, self.inverse)
-                up[0] = down[0] = 1
-                self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        return self.up, self.down
+        if len(self.up) >= n:
+            return self.up, self.down
+        size = max(n, min(2 * len(self.up), KEPT_POWERS), 4096)
+        with np.errstate(over="ignore"):
+            up, down = np.full(size, self.base), np.full(size, self.inverse)
+            up[0] = down[0] = 1
+            up, down = np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down)
+        if size <= KEPT_POWERS:
+            self.up, self.down = up, down
+        return up, down
 
     def ranges(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of ``values[start:end]`` for each pair; equal content gives equal hashes."""

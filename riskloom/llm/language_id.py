@@ -96,23 +96,26 @@ def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
-                words = Words([t for t, x in zip(batch.column(1).to_pylist(), langs, strict=True) if x == lang])
-                times = np.bincount(words.kind, minlength=words.word.max(initial=-1) + 1)
-                for n in range(1, order + 1):
-                    at, gram, ctx, suf = words.grams(n)
-                    _, first, kind = np.unique(gram, return_index=True, return_inverse=True)
-                    total = np.bincount(kind, weights=times[words.word[at]], minlength=len(first)).astype(np.int64)
-                    k = len(first)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * k, pa.string()),
-                            pa.array(np.full(k, n, dtype=np.int32)),
-                            *(pa.array(x[first].view(np.int64)) for x in (gram, ctx, suf)),
-                            pa.array(words.place[at][first] == n - 1),
-                            pa.array(total),
-                        ],
-                        names=["lang", "ord", "gram", "ctx", "suf", "head", "cnt"],
-                    )
+                own = batch.column(1).filter(pa.array(langs == lang))
+                _, offsets = buffers(own)
+                for lo, hi in slices(offsets):
+                    words = Words(own.slice(lo, hi - lo).to_pylist())
+                    times = np.bincount(words.kind, minlength=words.word.max(initial=-1) + 1)
+                    for n in range(1, order + 1):
+                        at, gram, ctx, suf = words.grams(n)
+                        _, first, kind = np.unique(gram, return_index=True, return_inverse=True)
+                        total = np.bincount(kind, weights=times[words.word[at]], minlength=len(first)).astype(np.int64)
+                        k = len(first)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([lang] * k, pa.string()),
+                                pa.array(np.full(k, n, dtype=np.int32)),
+                                *(pa.array(x[first].view(np.int64)) for x in (gram, ctx, suf)),
+                                pa.array(words.place[at][first] == n - 1),
+                                pa.array(total),
+                            ],
+                            names=["lang", "ord", "gram", "ctx", "suf", "head", "cnt"],
+                        )
 
     keys = ["lang", "ord", "gram", "ctx", "suf", "head"]
     return rows.mapInArrow(count, GRAMS).groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
@@ -245,7 +248,7 @@ def _bits(rows: DataFrame, models: Models) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = buffers(batch.column(1))
-            for lo, hi in slices(offsets, 1 << 20):
+            for lo, hi in slices(offsets):
                 total, symbols = sent.value.bits(Words(batch.column(1).slice(lo, hi - lo).to_pylist()))
                 langs = batch.column(0).slice(lo, hi - lo).to_pylist()
                 use = np.flatnonzero((symbols > 0) & np.isin(langs, sent.value.langs))
@@ -297,7 +300,7 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = buffers(batch.column(at))
-            for lo, hi in slices(offsets, 1 << 20):
+            for lo, hi in slices(offsets):
                 own = batch.slice(lo, hi - lo)
                 found = sent.value.predict(own.column(at).to_pylist())
                 new = [
