@@ -44,7 +44,7 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(keyed, id_col=key).select(F.col("doc_id").alias("member"), "component_id")
     ids = keyed.select(F.col(key).alias("member"), F.col("doc_id").alias("id"))
     first = F.min(F.struct(F.col("id").isNull(), "id", "member"))
-    kept = found.join(ids, "member").groupBy("component_id").agg(first["member"].alias("member"))
+    kept = staged(found.join(ids, "member").groupBy("component_id").agg(first["member"].alias("member")), "near-kept")
     return keyed.join(kept, F.col(key) == F.col("member"), "left_semi").select(*docs.columns)
 
 

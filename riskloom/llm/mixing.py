@@ -14,7 +14,9 @@ Prefix sums run in two levels (hash bucket, then inside the bucket), so a
 source that holds most rows is spread over thousands of groups. Joins of tables
 that grow with the input are told to merge: their files are so compressible
 that their size on disk says nothing about a broadcast's. Everything is
-DataFrame functions; no Python runs on the executors.
+DataFrame functions; no Python runs on the executors. What several steps read
+is written between them: the driver describes a plan anew after each of its
+stages, so one long plan costs it more than the short ones.
 
 Defined results: null text or a text without words has size 0 and takes
 nothing; a null source is a source of its own (last in order); repeated rows
@@ -151,7 +153,7 @@ def mix_sources(
     side = F.broadcast(sources) if sources.count() <= CELLS else sources
     named = sized.join(side, sized["source"].eqNullSafe(sources["source"]))
     named = named.select("doc_id", sized["source"], "size", "h", "sid", "source_size", "target").withColumn("bucket", _bucket(F.col("h")))
-    placed = _prefix(named, ["sid"], "bucket", ["h", "doc_id", "size"], "size").withColumnRenamed("at", "start")
+    placed = staged(_prefix(named, ["sid"], "bucket", ["h", "doc_id", "size"], "size").withColumnRenamed("at", "start"), "mix-placed")
 
     # every epoch's blocks in shuffled order, up to the target
     n = F.lit(block_words)
@@ -184,6 +186,7 @@ def mix_sources(
     )
     slots = _points(spark, n_slots + n_slots // 16 + 64 if n_slots else 0).withColumn("cell", F.floor(F.col("u") * CELLS))
     dealt = slots.join(ranges, "cell").where("u >= lo and u < hi").select("sid", "slot", F.floor(F.col("slot") / 65536).alias("bucket"), F.lit(1).alias("one"))
+    dealt = staged(dealt, "mix-dealt")
     ranked = _prefix(dealt, ["sid"], "bucket", ["slot"], "one").select("sid", "rank", "slot")
     # a block whose source got a slot too few stands after the dealt slots
     late = F.lit(n_slots + n_slots // 16 + 64) + F.col("rank")
@@ -215,6 +218,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = row_hash(id_col, text_col, source_col)
     mix = mix_sources(docs, id_col, text_col, source_col, **options)
     times = mix.documents.where("size > 0").groupBy(F.col("h").alias("mix_key_")).agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).alias("mix_times_"))
+    times = staged(times, "mix-times")
     keyed = docs.withColumn("mix_row_", key).dropDuplicates(["mix_row_"])
     joined = keyed.join(times.where("mix_times_ > 0").hint("merge"), F.col("mix_row_") == F.col("mix_key_"))
     return joined.withColumn("mix_nth_", F.explode(F.sequence(F.lit(1).cast("long"), "mix_times_"))).select(*[keyed[c] for c in docs.columns])

@@ -391,7 +391,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         search.exhaust(staged(prefix_keys(search.texts(doubtful), percent), "near-prefixes").distinct())
 
     named = rows.select("doc_id", "n", "a", "b").join(classes, ["a", "b"], "left").withColumn("node", F.when(F.col("n") > 0, F.col("node")))
-    named = search.labelled(named, "node", "comp")
+    named = staged(search.labelled(named, "node", "comp").select("doc_id", "n", "node", "comp"), "near-rows")
     ids = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     out = named.where("n > 0").join(ids, "comp").select("doc_id", "n", "component_id", "node")
     out = out.unionByName(named.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node")))
